@@ -158,22 +158,19 @@ def _run_of(counts: dict) -> SilverRun:
     return SilverRun(valid + sum(per_reason.values()), valid, per_reason)
 
 
-def _stored_partitions(spark: SparkSession, path: str, columns: list[str], schema, format: str) -> list:
-    return L.read(spark, path, schema, format).select(*columns).distinct().collect()
-
-
 def _clear_stale(spark: SparkSession, lake: Lake, touched: set, counts: dict, whole: bool) -> None:
     """Drop stored partitions of this run's scope that it produced no rows for."""
-    column = lake.partition
-    bronze = read_bronze(spark, lake)
-    in_scope = (lambda value: True) if whole else touched.__contains__
-    for (value,) in _stored_partitions(spark, lake.silver, [column], silver_schema(bronze), lake.format):
-        if in_scope(value) and (value, VALID) not in counts:
-            L.drop_partition(spark, lake.silver, (column, value))
-    by = L.quarantine_partitions(lake)
-    for value, why in _stored_partitions(spark, lake.quarantine, by, quarantine_schema(bronze), lake.format):
-        if in_scope(value) and (value, why) not in counts:
-            L.drop_partition(spark, lake.quarantine, (column, value), (REJECT_REASON, why))
+    folder = {value: L.partition_folder(lake.partition, value) for value in touched}
+    written = {why: {folder[v] for v, w in counts if w == why} for why in {w for _, w in counts}}
+    in_scope = set(folder.values())
+    for day in L.subfolders(spark, lake.silver):
+        if (whole or day in in_scope) and "=" in day and day not in written.get(VALID, ()):
+            L.delete(spark, f"{lake.silver}/{day}")
+    for day in L.subfolders(spark, lake.quarantine):
+        if (whole or day in in_scope) and "=" in day:
+            for reason in L.subfolders(spark, f"{lake.quarantine}/{day}"):
+                if day not in written.get(reason.removeprefix(f"{REJECT_REASON}="), ()):
+                    L.delete(spark, f"{lake.quarantine}/{day}/{reason}")
 
 
 def _verify(spark: SparkSession, lake: Lake, bronze: DataFrame, touched: set, counts: dict) -> None:

@@ -189,7 +189,7 @@ def sql() -> dict[str, str]:
         COUNT(*) FILTER (WHERE reject_reason <> 'valid') AS quarantine_rows,
         CAST(0 AS BIGINT) AS difference FROM tagged GROUP BY trip_date"""
     named = f"{_title('n_name')} AS zone_name"
-    in_month = "CAST(date_trunc('month', trip_date) AS DATE) AS trip_month"
+    in_year = "CAST(date_trunc('year', trip_date) AS DATE) AS trip_year"
     return {
         "ingest_typed": _with(TRIPS, body="SELECT * FROM trips"),
         "incremental_append": _with(
@@ -322,14 +322,14 @@ placed AS (SELECT *, CASE WHEN first_reason = 'valid' THEN row_number() OVER (
               FROM revenue""",
             REVENUE,
         ),
-        "stored_silver": _SILVER_ROWS.replace("SELECT * FROM silver", f"SELECT *, {in_month} FROM silver"),
-        "stored_quarantine": _QUARANTINE_ROWS.replace("SELECT * FROM tagged", f"SELECT *, {in_month} FROM tagged"),
+        "stored_silver": _SILVER_ROWS.replace("SELECT * FROM silver", f"SELECT *, {in_year} FROM silver"),
+        "stored_quarantine": _QUARANTINE_ROWS.replace("SELECT * FROM tagged", f"SELECT *, {in_year} FROM tagged"),
         "stored_reconcile": _tagged(
-            per_day.replace("SELECT trip_date", f"SELECT {in_month}").replace(
-                "GROUP BY trip_date", "GROUP BY date_trunc('month', trip_date)"
+            per_day.replace("SELECT trip_date", f"SELECT {in_year}").replace(
+                "GROUP BY trip_date", "GROUP BY date_trunc('year', trip_date)"
             )
         ),
-        "stream_silver": _SILVER_ROWS.replace("SELECT * FROM silver", f"SELECT *, {in_month} FROM silver"),
+        "stream_silver": _SILVER_ROWS.replace("SELECT * FROM silver", f"SELECT *, {in_year} FROM silver"),
         "stream_first_seen": _with(TRIPS, body="SELECT DISTINCT trip_id FROM trips WHERE trip_id IS NOT NULL"),
         "stream_daily_revenue": _with(
             TRIPS,

@@ -87,11 +87,11 @@ def event_days(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stored(spark: SparkSession, folder: str) -> Lake:
-    """A lake in a new folder: all of bronze, a full run, then a rerun of two months."""
-    lake = Lake(new_folder(spark, "lake"), grain="month")
+    """A lake in a new folder: all of bronze, a full run, then a rerun of two years."""
+    lake = Lake(new_folder(spark, "lake"), grain="year")
     medallion.write_bronze(trips(spark, folder), lake)
     medallion.run_silver(spark, lake, tie_break=TIE_BREAK)
-    medallion.run_silver(spark, lake, tie_break=TIE_BREAK, partitions=[date(1995, 3, 1), date(1997, 7, 1)])
+    medallion.run_silver(spark, lake, tie_break=TIE_BREAK, partitions=[date(1995, 1, 1), date(1997, 1, 1)])
     return lake
 
 
@@ -111,7 +111,7 @@ def stored_reconcile(spark: SparkSession, folder: str) -> DataFrame:
 
 def _landed(spark: SparkSession, folder: str) -> tuple[DataFrame, Lake]:
     """The trips as landed files, as a stream, and a new lake beside them."""
-    lake = Lake(new_folder(spark, "stream"), grain="month")
+    lake = Lake(new_folder(spark, "stream"), grain="year")
     rows = trips(spark, folder)
     landing = lake.path("landing")
     rows.repartitionByRange(4, "trip_start_timestamp").write.parquet(landing)

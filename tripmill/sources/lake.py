@@ -19,9 +19,9 @@ HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 class Lake:
     """Paths below ``root``, the partitioning grain and the file format.
 
-    ``grain`` is 'day' (partition column ``trip_date``) or 'month' (``trip_month``, the
-    first day of the month), for volumes at which a day would be a tiny file. ``format``
-    may name a transactional format whose package is on the classpath.
+    ``grain`` is 'day' (partition column ``trip_date``), 'month' (``trip_month``, the first
+    day of the month) or 'year' (``trip_year``), for volumes at which a day would be a
+    tiny file. ``format`` may name a transactional format whose package is on the classpath.
     """
 
     root: str
@@ -52,12 +52,12 @@ class Lake:
 
     @property
     def partition(self) -> str:
-        return {"day": "trip_date", "month": "trip_month"}[self.grain]
+        return {"day": "trip_date", "month": "trip_month", "year": "trip_year"}[self.grain]
 
     def with_partition(self, df: DataFrame) -> DataFrame:
         if self.grain == "day":
             return df
-        return df.withColumn(self.partition, F.trunc("trip_date", "month"))
+        return df.withColumn(self.partition, F.trunc("trip_date", self.grain))
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -101,15 +101,16 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str], format: str =
     )
 
 
-def partition_folder(path: str, column: str, value: date | str | None) -> str:
-    return f"{path}/{column}={HIVE_NULL if value is None else value}"
+def partition_folder(column: str, value: date | str | None) -> str:
+    return f"{column}={HIVE_NULL if value is None else value}"
 
 
-def drop_partition(spark: SparkSession, path: str, *parts: tuple[str, date | str | None]) -> None:
-    """Delete one partition folder; nothing happens when it is not there."""
-    for column, value in parts:
-        path = partition_folder(path, column, value)
-    delete(spark, path)
+def subfolders(spark: SparkSession, path: str) -> set[str]:
+    """Names of the partition folders directly below ``path``; reads no data file."""
+    if not exists(spark, path):
+        return set()
+    fs, p = _file_system(spark, path)
+    return {entry.getPath().getName() for entry in fs.listStatus(p) if entry.isDirectory()}
 
 
 def write_gold(df: DataFrame, path: str, *order) -> None:

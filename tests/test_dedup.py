@@ -1,0 +1,88 @@
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tests.helpers import bronze, rows
+from tripmill.operators import dedup, ordered, quality
+from tripmill.operators.dedup import SkewPolicy
+from tripmill.operators.ingest import typed
+
+EAGER = SkewPolicy(hot_rows=50, sample_hits=50)
+
+
+def skewed(spark, n: int = 600):
+    """A third of the rows in one id, among them many identical copies; some ids twice."""
+    pick = random.Random(5)
+    changes = []
+    for i in range(n):
+        change = {"trip_id": "HOT" if i % 3 == 0 else f"T{pick.randrange(n // 4)}"}
+        change["note"] = "copy" if i % 6 == 0 else str(i)
+        change["trip_end_timestamp"] = None if i % 6 == 0 else f"2023-10-08 11:{pick.randrange(60):02d}:00"
+        change["trip_total"] = None if i % 6 == 0 else str(pick.randrange(5))
+        changes.append(change)
+    return typed(bronze(spark, *changes, {"trip_id": None}, {"trip_id": None}))
+
+
+def test_a_hot_id_is_found(spark):
+    data = skewed(spark)
+    assert [r[0] for r in dedup.hot_ids(data.filter("trip_id is not null"), skew=EAGER).collect()] == ["HOT"]
+    assert dedup.hot_ids(data, skew=SkewPolicy()) is None
+
+
+@pytest.fixture
+def small_slices(spark):
+    """Keep the small test partitions apart, which Spark would merge into one."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_hot_ids_get_the_ranks_of_a_plain_window(spark, small_slices):
+    data = skewed(spark).repartition(5)
+    plain, sliced = dedup.ranked(data), dedup.ranked(data, skew=EAGER)
+    assert rows(plain) == rows(sliced)
+    hot = sorted(r[0] for r in sliced.filter("trip_id = 'HOT'").select("_duplicate_rank").collect())
+    assert hot == list(range(1, 201))
+
+
+def test_a_hot_id_spans_several_slices(spark, small_slices):
+    data = skewed(spark, 3000).filter("trip_id = 'HOT'").withColumn("_row", F.monotonically_increasing_id())
+    order = [*dedup.newest_first(data), F.col("_row").asc()]
+    sizes = data.repartitionByRange("trip_id", *order).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 3 and max(r["count"] for r in sizes) < 500
+    totals = ordered.running_total(data, ["trip_id"], order, F.lit(1), "upto")
+    assert sorted(r[0] for r in totals.select("upto").collect()) == list(range(1, 1001))
+
+
+def test_latest_is_rank_one(spark):
+    data = skewed(spark)
+    first = dedup.ranked(data).filter("_duplicate_rank = 1").drop("_duplicate_rank")
+    assert rows(dedup.latest(data)) == rows(first)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.randoms(use_true_random=False))
+def test_row_order_does_not_change_silver(spark, pick):
+    changes = [
+        {"trip_id": f"T{i % 5}", "note": str(i), "tips": str(i % 3), "trip_total": str(i % 2)} for i in range(30)
+    ]
+    expected = rows(quality.silver(bronze(spark, *changes)))
+    pick.shuffle(changes)
+    assert rows(quality.silver(bronze(spark, *changes).repartition(3))) == expected
+
+
+def test_percentiles_match_a_sort(spark, small_slices):
+    pick = random.Random(3)
+    values = [pick.choice([1.0, 2.5, pick.random() * 100]) for _ in range(997)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    probabilities = {"a": 0.0, "b": 0.5, "c": 0.9, "d": 0.999, "e": 1.0}
+    row = ordered.measure_percentiles(df, {"v": F.col("v")}, probabilities).first()
+    values.sort()
+
+    def smallest_reaching(p):
+        return next(v for i, v in enumerate(values, 1) if i / len(values) >= p)
+
+    assert [row[n] for n in probabilities] == [smallest_reaching(p) for p in probabilities.values()]
+    assert (row["minimum"], row["maximum"]) == (values[0], values[-1])

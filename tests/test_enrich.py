@@ -1,0 +1,71 @@
+import csv
+import glob
+import json
+from datetime import date
+
+from tripmill.operators import enrich
+from tripmill.sources.files import read_areas, read_raw_csv, write_csv
+
+ZONES = "pickup_community_area int, nb_trips bigint"
+AREAS = "area_num_1 string, community string, geometry string"
+
+
+def test_zone_names_keep_unknown_zones_and_never_multiply_rows(spark):
+    zones = spark.createDataFrame([(8, 5), (76, 3), (99, 1)], ZONES)
+    areas = spark.createDataFrame(
+        [("8", "NEAR NORTH SIDE", "a"), ("76", "O'HARE", "b"), ("76", "O'HARE", "b")], AREAS
+    )
+    named = enrich.with_zone_names(zones, areas)
+    assert named.columns == ["pickup_community_area", "zone_name", "nb_trips"]
+    assert {tuple(r) for r in named.collect()} == {(8, "Near North Side", 5), (76, "O'Hare", 3), (99, None, 1)}
+    assert {r["zone_name"] for r in enrich.with_zone_names(zones, areas.limit(0)).collect()} == {None}
+    assert {tuple(r) for r in enrich.zone_map(zones, areas).collect()} == {("8", 5, "a"), ("76", 3, "b")}
+
+
+def test_events_overlap_inclusively(spark):
+    events = spark.createDataFrame(
+        [("one", date(2023, 10, 8), date(2023, 10, 8)), ("fair", date(2023, 8, 3), date(2023, 8, 6))],
+        enrich.EVENTS_SCHEMA,
+    )
+    bands = {r["name"]: (r["start"], r["band_end"]) for r in enrich.event_bands(events).collect()}
+    assert bands == {
+        "one": (date(2023, 10, 8), date(2023, 10, 9)),
+        "fair": (date(2023, 8, 3), date(2023, 8, 6)),
+    }
+    names = lambda *period: {r["name"] for r in enrich.event_bands(events, *period).collect()}
+    assert names(date(2023, 8, 6), date(2023, 10, 7)) == {"fair"}
+    assert names(date(2023, 8, 7), date(2023, 10, 8)) == {"one"}
+
+    days = spark.createDataFrame([(date(2023, 8, n), n) for n in (2, 3, 6, 7)], "trip_date date, n int")
+    marked = {r["n"]: r["event_name"] for r in enrich.with_event_names(days, events).collect()}
+    assert marked == {2: None, 3: "fair", 6: "fair", 7: None}
+    clipped = enrich.with_event_names(days, events, date(2023, 8, 4), date(2023, 8, 6))
+    assert {r["n"]: r["event_name"] for r in clipped.collect()} == {2: None, 3: None, 6: "fair", 7: None}
+
+
+def test_display_and_long_form(spark):
+    table = spark.createDataFrame(
+        [(date(2023, 10, 8), 3, 1.0, 2.0, 3.0)],
+        "trip_date date, nb_trips bigint, avg_trip_minutes double, median_trip_minutes double, p90_trip_minutes double",
+    )
+    shown = enrich.pretty(table.select("trip_date", "nb_trips"))
+    assert shown.columns == ["Date", "Nombre de trajets"] and shown.first()[0] == "2023-10-08"
+    long = {(r["variable"], r["value"]) for r in enrich.duration_long(table).collect()}
+    assert long == {("avg_trip_minutes", 1.0), ("median_trip_minutes", 2.0), ("p90_trip_minutes", 3.0)}
+
+
+def test_area_file_and_csv_round_trip(spark, tmp_path):
+    file = tmp_path / "areas.geojson"
+    outline = {"type": "Point", "coordinates": [0, 1]}
+    feature = {"properties": {"area_num_1": "8", "community": "LOOP", "other": 1}, "geometry": outline}
+    file.write_text(json.dumps({"type": "FeatureCollection", "features": [feature]}, indent=1))
+    row = read_areas(spark, str(file)).first()
+    assert (row["area_num_1"], row["community"]) == ("8", "LOOP") and json.loads(row["geometry"]) == outline
+
+    table = spark.createDataFrame([(date(2023, 1, 2), 1), (date(2023, 1, 1), 2)], "trip_date date, nb_trips bigint")
+    write_csv(table, str(tmp_path / "out"))
+    (path,) = glob.glob(str(tmp_path / "out" / "*.csv"))
+    with open(path) as lines:
+        assert list(csv.reader(lines)) == [["trip_date", "nb_trips"], ["2023-01-01", "2"], ["2023-01-02", "1"]]
+    back = read_raw_csv(spark, str(tmp_path / "out"))
+    assert [f.dataType.simpleString() for f in back.schema] == ["string", "string"]

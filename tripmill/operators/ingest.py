@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions import columns as C
-from tripmill.schema import AMOUNTS, AREAS, require_columns
+from tripmill.schema import AMOUNTS, AREAS, TYPED, require_columns
 
 
 def with_trip_date(df: DataFrame) -> DataFrame:
@@ -16,20 +16,23 @@ def with_trip_date(df: DataFrame) -> DataFrame:
 
 
 def typed(df: DataFrame) -> DataFrame:
-    """Apply the column types; malformed values become NULL, other columns pass through."""
-    require_columns(df)
-    return df.withColumns(
-        {
-            "trip_id": F.col("trip_id").cast("string"),
-            "trip_start_timestamp": C.wall_clock("trip_start_timestamp"),
-            "trip_end_timestamp": C.wall_clock("trip_end_timestamp"),
-            "trip_seconds": C.whole_number("trip_seconds"),
-            "trip_miles": C.decimal_number("trip_miles"),
-            **{name: C.amount(name) for name in AMOUNTS},
-            **{name: C.whole_number(name, "int") for name in AREAS},
-            "trip_date": F.col("trip_date").try_cast("date"),
-        }
-    )
+    """Apply the column types; malformed values become NULL, other columns pass through.
+
+    Columns that have their type already are left alone, which keeps the generated code
+    small; amounts are always cleared of values that are no amounts.
+    """
+    present = {field.name: field.dataType for field in require_columns(df).schema}
+    conversions = {
+        "trip_id": F.col("trip_id").cast("string"),
+        "trip_start_timestamp": C.wall_clock("trip_start_timestamp"),
+        "trip_end_timestamp": C.wall_clock("trip_end_timestamp"),
+        "trip_seconds": C.whole_number("trip_seconds"),
+        "trip_miles": C.decimal_number("trip_miles"),
+        **{name: C.whole_number(name, "int") for name in AREAS},
+        "trip_date": F.col("trip_date").try_cast("date"),
+    }
+    needed = {name: column for name, column in conversions.items() if present[name] != TYPED[name]}
+    return df.withColumns({**needed, **{name: C.amount(name) for name in AMOUNTS}})
 
 
 def high_water_mark(existing: DataFrame, at: str = "trip_start_timestamp") -> datetime | None:

@@ -32,12 +32,9 @@ class Thresholds:
 Rule = tuple[str, Column]
 
 
-def _any(conditions) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
-def _outside(name: str, low, high) -> Column:
-    return F.col(name).isNull() | (F.col(name) < F.lit(low)) | (F.col(name) > F.lit(high))
+def _unless(condition: Column) -> Column:
+    """True where ``condition`` is false or unknown: a missing value breaks the rule."""
+    return ~F.coalesce(condition, F.lit(False))
 
 
 NO_ID = "null_trip_id"
@@ -49,17 +46,23 @@ def id_rules() -> list[Rule]:
 
 
 def value_rules(limits: Thresholds = Thresholds()) -> list[Rule]:
-    start, end = F.col("trip_start_timestamp"), F.col("trip_end_timestamp")
+    seconds, miles, speed = F.col("trip_seconds"), F.col("trip_miles"), F.col(SPEED)
+    in_order = F.col("trip_end_timestamp") >= F.col("trip_start_timestamp")
     return [
-        ("invalid_timestamp", start.isNull() | end.isNull() | (end < start)),
-        ("invalid_duration", _outside("trip_seconds", limits.min_seconds, limits.max_seconds)),
-        ("invalid_distance", _outside("trip_miles", limits.min_miles, limits.max_miles)),
-        ("invalid_speed", F.col(SPEED).isNull() | (F.col(SPEED) > F.lit(limits.max_speed_mph))),
-        ("negative_amount", _any(F.col(a).isNotNull() & (F.col(a) < 0) for a in AMOUNTS)),
-        ("missing_geography", _any(F.col(a).isNull() for a in AREAS)),
+        ("invalid_timestamp", _unless(in_order)),
+        ("invalid_duration", _unless(seconds.between(limits.min_seconds, limits.max_seconds))),
+        ("invalid_distance", _unless(miles.between(limits.min_miles, limits.max_miles))),
+        ("invalid_speed", _unless(speed <= F.lit(limits.max_speed_mph))),
+        ("negative_amount", _negative_amount()),
+        ("missing_geography", F.col(AREAS[0]).isNull() | F.col(AREAS[1]).isNull()),
     ]
 
 
+def _negative_amount() -> Column:
+    """Whether the smallest of the known amounts is below zero."""
+    return F.least(*AMOUNTS) < 0
+
+
 def reason(rules: list[Rule]) -> Column:
     """Name of the first rule that applies, else ``valid``."""
     first, *others = rules
@@ -174,12 +177,11 @@ def checks(
     """Four checks of a run as rows (check, passed, observed), from one aggregate."""
     valid = _is_valid()
     valid_id = F.when(valid, F.col("trip_id"))
-    negative = _any(F.coalesce(F.col(a) < 0, F.lit(False)) for a in AMOUNTS)
     facts = tagged_rows.agg(
         F.count("*").alias("total"),
         F.count_if(valid).alias("valid"),
         F.count_distinct(valid_id).alias("ids"),
-        F.count_if(valid & negative).alias("negative"),
+        F.count_if(valid & _negative_amount()).alias("negative"),
     ).withColumn("kept", F.coalesce(retention_pct(F.col("valid"), F.col("total")), F.lit(0.0)))
     repeated = F.col("valid") - F.col("ids")
     rows = [

@@ -103,7 +103,7 @@ def test_refused_input_writes_nothing(spark, lake):
     with pytest.raises(ContractError, match="fare, tips"):
         M.run_silver(spark, Lake(lake.root + "2"))
     M.write_bronze(raw(spark, day(1)), lake)
-    L.delete(spark, L.read and f"{lake.bronze}/trip_date=2023-10-01")
+    L.delete(spark, f"{lake.bronze}/trip_date=2023-10-01")
     spark.createDataFrame([], M.ingest.with_trip_date(raw(spark, day(1))).schema).drop("trip_date").write.mode(
         "append"
     ).parquet(f"{lake.bronze}/trip_date=2023-10-01")

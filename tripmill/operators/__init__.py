@@ -1 +1,2 @@
-"""DataFrame -> DataFrame operators; nothing in here reads or writes a table."""
+"""DataFrame -> DataFrame operators. Stored tables are left to ``plans``; at most an
+intermediate result is staged."""

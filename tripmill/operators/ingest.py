@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.functions import columns as C
@@ -85,7 +85,27 @@ def new_rows(
     if total_rows is not None:
         left = max(0, total_rows - existing.count())
         room = left if room is None else min(room, left)
-    return fresh if room is None else fresh.orderBy(at, key, F.xxhash64(*fresh.columns)).limit(room)
+    return fresh if room is None else _earliest(fresh, room, at, key)
+
+
+def _earliest(rows: DataFrame, n: int, at: str, key: str) -> DataFrame:
+    """The ``n`` earliest rows, ordered by time, then key.
+
+    Sorting all rows for a limit would send up to ``n`` rows of every task to one task.
+    Here rows are counted per moment to find the one at which ``n`` is reached; all
+    earlier rows pass through, and only those of that one moment are ordered.
+    """
+    if n == 0:
+        return rows.limit(0)
+    per_moment = rows.groupBy(C.wall_clock(at).alias("moment")).count()
+    first = per_moment.orderBy("moment").limit(n)  # n moments hold at least n rows
+    upto = F.sum("count").over(Window.orderBy("moment"))
+    reached = first.withColumn("upto", upto).filter(F.col("upto") >= n).orderBy("moment").first()
+    if reached is None:
+        return rows
+    cut, still_free = _moment(reached["moment"]), n - (reached["upto"] - reached["count"])
+    at_cut = rows.filter(C.wall_clock(at) == cut).orderBy(key, F.xxhash64(*rows.columns)).limit(still_free)
+    return rows.filter(C.wall_clock(at) < cut).unionByName(at_cut)
 
 
 def appended(existing: DataFrame, incoming: DataFrame, end: date, **options) -> DataFrame:

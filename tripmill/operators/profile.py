@@ -32,16 +32,16 @@ def identity(df: DataFrame, approximate: bool = False) -> DataFrame:
     return df.agg(*_identity(distinct))
 
 
-def distribution(df: DataFrame, measure: Column, unit: str) -> DataFrame:
+def distribution(df: DataFrame, measure: Column, unit: str, to: str = "double") -> DataFrame:
     """Exact minimum, percentiles and maximum of one measure, one row."""
     points = {_point_name(p): p for p in PROBABILITIES}
     found = measure_percentiles(df, {unit: measure}, points)
-    names = {"minimum": f"min_{unit}", "maximum": f"max_{unit}", **{n: f"{n}_{unit}" for n in points}}
-    return found.drop("measure").withColumnsRenamed(names)
+    names = {"minimum": f"min_{unit}", **{n: f"{n}_{unit}" for n in points}, "maximum": f"max_{unit}"}
+    return found.select(*[F.col(c).cast(to).alias(name) for c, name in names.items()])
 
 
 def duration(df: DataFrame) -> DataFrame:
-    return distribution(df, F.col("trip_seconds"), "seconds")
+    return distribution(df, F.col("trip_seconds"), "seconds", to="bigint")
 
 
 def distance(df: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from tripmill.operators.quality import VALID, Thresholds
 from tripmill.schema import DUPLICATE_RANK, REJECT_REASON, SPEED, ContractError, require_columns
 from tripmill.sources import lake as L
 from tripmill.sources.lake import Lake
-from tripmill.sources.staging import new_folder
+from tripmill.sources.staging import staged, staging_scope
 
 REVENUE, DURATION, ZONES = "revenue_by_day", "avg_trip_duration", "top_pickup_zones"
 
@@ -121,15 +121,12 @@ def run_silver(
     if bronze.isEmpty():
         raise ContractError("bronze has no rows")
     column = lake.partition
-    rows = bronze if partitions is None else _rows_to_rank(bronze, partitions, column)
-    tagged = quality.tagged(rows, limits, tie_break, dedup_after_validation, skew)
-    if partitions is not None:
-        tagged = tagged.filter(L.among(column, partitions))
-
-    staging = new_folder(spark, "tagged")
-    try:
-        tagged.write.parquet(staging)
-        tagged = spark.read.schema(tagged.schema).parquet(staging)
+    with staging_scope(spark):
+        rows = bronze if partitions is None else _rows_to_rank(bronze, partitions, column)
+        tagged = quality.tagged(rows, limits, tie_break, dedup_after_validation, skew)
+        if partitions is not None:
+            tagged = tagged.filter(L.among(column, partitions))
+        tagged = staged(tagged, "tagged")
         # One row per partition and reason: small enough for the driver.
         counts = {
             (row[column], row[REJECT_REASON]): row["n_rows"]
@@ -141,11 +138,9 @@ def run_silver(
         silver, quarantine = quality.split(tagged)
         L.overwrite_partitions(silver, lake.silver, [column], lake.format)
         L.overwrite_partitions(quarantine, lake.quarantine, L.quarantine_partitions(lake), lake.format)
-        touched = {value for value, _ in counts} | set(partitions or [])
-        _clear_stale(spark, lake, touched, counts, whole=partitions is None)
-        _verify(spark, lake, bronze, touched, counts)
-    finally:
-        L.delete(spark, staging)
+    touched = {value for value, _ in counts} | set(partitions or [])
+    _clear_stale(spark, lake, touched, counts, whole=partitions is None)
+    _verify(spark, lake, bronze, touched, counts)
     L.append_metrics(spark, lake, _metrics_row(run, lake))
     return run
 

@@ -139,14 +139,26 @@ def _silver(body: str, *more: str) -> str:
     return _with(*_TO_SILVER, *more, body=body)
 
 
-def _distribution(measure: str, unit: str) -> str:
-    points = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99, "p99_5": 0.995, "p99_9": 0.999}
-    columns = ", ".join(f"quantile_disc(m, {p}) AS {name}_{unit}" for name, p in points.items())
+POINTS = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99, "p99_5": 0.995, "p99_9": 0.999}
+
+
+def _distribution(measure: str, unit: str, to: str = "DOUBLE") -> str:
+    columns = ", ".join(f"quantile_disc(m, {p}) AS {name}_{unit}" for name, p in POINTS.items())
     return _with(
         TRIPS,
         body=f"""SELECT MIN(m) AS min_{unit}, {columns}, MAX(m) AS max_{unit}
-          FROM (SELECT CAST({measure} AS DOUBLE) AS m FROM trips)""",
+          FROM (SELECT CAST({measure} AS {to}) AS m FROM trips)""",
+    )
+
+
+def _distributions(measures: dict[str, str]) -> str:
+    columns = ", ".join(f"quantile_disc(m, {p}) AS {name}" for name, p in POINTS.items())
+    one = (
+        f"SELECT '{unit}' AS measure, MIN(m) AS minimum, {columns}, MAX(m) AS maximum "
+        f"FROM (SELECT CAST({measure} AS DOUBLE) AS m FROM trips)"
+        for unit, measure in measures.items()
     )
+    return _with(TRIPS, body="\nUNION ALL\n".join(one))
 
 
 def _extremes(by: str) -> str:
@@ -192,6 +204,11 @@ def sql() -> dict[str, str]:
     in_year = "CAST(date_trunc('year', trip_date) AS DATE) AS trip_year"
     return {
         "ingest_typed": _with(TRIPS, body="SELECT * FROM trips"),
+        "ingest_csv": _with(
+            TRIPS,
+            body="""SELECT * EXCLUDE (l_partkey, l_suppkey, l_quantity, l_extendedprice),
+                CAST(l_partkey AS VARCHAR) AS l_partkey, CAST(l_suppkey AS VARCHAR) AS l_suppkey FROM trips""",
+        ),
         "incremental_append": _with(
             TRIPS, body="SELECT * FROM trips WHERE trip_start_timestamp < TIMESTAMP '1999-01-01 00:00:00'"
         ),
@@ -283,9 +300,12 @@ placed AS (SELECT *, CASE WHEN first_reason = 'valid' THEN row_number() OVER (
             body="""SELECT COUNT(*) AS rows, COUNT(DISTINCT trip_id) AS distinct_trip_id,
                 COUNT(*) FILTER (WHERE trip_id IS NULL) AS null_trip_id FROM trips""",
         ),
-        "profile_duration": _distribution("trip_seconds", "seconds"),
+        "profile_duration": _distribution("trip_seconds", "seconds", "BIGINT"),
         "profile_distance": _distribution("trip_miles", "miles"),
         "profile_speed": _distribution(MOVING_SPEED, "speed"),
+        "profile_distributions": _distributions(
+            {"seconds": "trip_seconds", "miles": "trip_miles", "speed": MOVING_SPEED}
+        ),
         "extreme_distances": _extremes("trip_miles"),
         "extreme_speeds": _extremes("trip_speed_mph"),
         "zone_names": _silver(
@@ -322,6 +342,24 @@ placed AS (SELECT *, CASE WHEN first_reason = 'valid' THEN row_number() OVER (
               FROM revenue""",
             REVENUE,
         ),
+        "revenue_csv": _silver(
+            """SELECT CAST(trip_date AS VARCHAR) AS trip_date, CAST(nb_trips AS VARCHAR) AS nb_trips FROM revenue
+               WHERE trip_date BETWEEN DATE '1995-03-01' AND DATE '1996-08-31'""",
+            REVENUE,
+        ),
+        "stored_duration": _silver("SELECT * FROM duration", DURATION),
+        "stored_metrics": _with(
+            *_TO_TAGGED,
+            """
+runs AS (SELECT 1 AS run, reject_reason FROM tagged
+  UNION ALL SELECT 2, reject_reason FROM tagged WHERE year(trip_date) IN (1995, 1997)),
+totals AS (SELECT run, COUNT(*) AS bronze_rows,
+    COUNT(*) FILTER (WHERE reject_reason = 'valid') AS silver_rows,
+    COUNT(*) FILTER (WHERE reject_reason = 'null_trip_id') AS null_ids FROM runs GROUP BY run)""",
+            body="""SELECT bronze_rows, silver_rows, bronze_rows - silver_rows AS rejected_rows, null_ids,
+                silver_rows / CAST(bronze_rows AS DOUBLE) * CAST(100 AS DOUBLE) AS retention_rate_pct,
+                bronze_rows - LAG(bronze_rows) OVER (ORDER BY run) AS bronze_rows_change FROM totals""",
+        ),
         "stored_silver": _SILVER_ROWS.replace("SELECT * FROM silver", f"SELECT *, {in_year} FROM silver"),
         "stored_quarantine": _QUARANTINE_ROWS.replace("SELECT * FROM tagged", f"SELECT *, {in_year} FROM tagged"),
         "stored_reconcile": _tagged(

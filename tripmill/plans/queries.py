@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tripmill.operators import dedup, enrich, gold, ingest, profile, quality, serve
 from tripmill.operators.quality import Thresholds
 from tripmill.plans import medallion
-from tripmill.sources.lake import Lake
+from tripmill.sources.files import read_raw_csv, write_csv
+from tripmill.sources.lake import Lake, read_metrics
 from tripmill.sources.staging import new_folder
 from tripmill.sources.trips_view import TIE_BREAK, areas, trips
 from tripmill.streaming import jobs
@@ -55,6 +56,13 @@ def _of(source: Query, operator: Callable[..., DataFrame], *args, **options) ->
     return lambda spark, folder: operator(source(spark, folder), *args, **options)
 
 
+def ingest_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The trips landed as CSV text, read back as text and typed."""
+    path = new_folder(spark, "csv")
+    trips(spark, folder).drop("trip_date", "l_quantity", "l_extendedprice").write.option("header", True).csv(path)
+    return ingest.typed(ingest.with_trip_date(read_raw_csv(spark, path)))
+
+
 def incremental_append(spark: SparkSession, folder: str) -> DataFrame:
     """A table stored up to noon of a day is grown to the end of 1998."""
     rows = trips(spark, folder)
@@ -109,6 +117,33 @@ def stored_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     return quality.reconciliation(*tables, by=lake.partition)
 
 
+def stored_duration(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily gold written from stored silver, one year of it recomputed, read as a table."""
+    lake = _stored(spark, folder)
+    medallion.run_gold(spark, lake)
+    medallion.refresh_gold(spark, lake, [date(1996, 1, 1)])
+    return spark.read.parquet(lake.gold(medallion.DURATION))
+
+
+def stored_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    history = medallion.metrics_history(read_metrics(spark, _stored(spark, folder)))
+    return history.select(
+        "bronze_rows",
+        "silver_rows",
+        "rejected_rows",
+        F.col("rejection_counts")["null_trip_id"].alias("null_ids"),
+        "retention_rate_pct",
+        "bronze_rows_change",
+    )
+
+
+def revenue_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The exported file of a period, read back as text."""
+    path = new_folder(spark, "export")
+    write_csv(serve.revenue_by_day(revenue(spark, folder), *PERIOD), path)
+    return read_raw_csv(spark, path).select("trip_date", "nb_trips")
+
+
 def _landed(spark: SparkSession, folder: str) -> tuple[DataFrame, Lake]:
     """The trips as landed files, as a stream, and a new lake beside them."""
     lake = Lake(new_folder(spark, "stream"), grain="year")
@@ -152,6 +187,7 @@ def stream_daily_revenue(spark: SparkSession, folder: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "ingest_typed": typed_trips,
+        "ingest_csv": ingest_csv,
         "incremental_append": incremental_append,
         "quality_tagged": tagged,
         "quality_silver": silver,
@@ -189,6 +225,7 @@ def all_queries() -> dict[str, Query]:
         "profile_duration": _of(typed_trips, profile.duration),
         "profile_distance": _of(typed_trips, profile.distance),
         "profile_speed": _of(typed_trips, profile.speed),
+        "profile_distributions": _of(typed_trips, profile.distributions),
         "extreme_distances": _of(typed_trips, profile.extreme_distances),
         "extreme_speeds": _of(typed_trips, profile.extreme_speeds),
         "zone_names": zone_names,
@@ -196,7 +233,10 @@ def all_queries() -> dict[str, Query]:
         "event_days": event_days,
         "duration_long": _of(duration, enrich.duration_long),
         "revenue_display": _of(_of(revenue, serve.revenue_by_day), enrich.pretty),
+        "revenue_csv": revenue_csv,
         "stored_silver": stored_silver,
+        "stored_duration": stored_duration,
+        "stored_metrics": stored_metrics,
         "stored_quarantine": stored_quarantine,
         "stored_reconcile": stored_reconcile,
         "stream_silver": stream_silver,

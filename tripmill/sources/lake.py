@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.schema import REJECT_REASON, RUN_METRICS, ContractError
-from tripmill.sources.staging import new_folder
+from tripmill.sources.staging import delete, file_system, staged, staging_scope
 
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+GRAINS = {"day": "trip_date", "month": "trip_month", "year": "trip_year"}
+FILE_FORMATS = ("parquet", "orc")
 
 
 @dataclass(frozen=True)
@@ -21,13 +23,18 @@ class Lake:
 
     ``grain`` is 'day' (partition column ``trip_date``), 'month' (``trip_month``, the first
     day of the month) or 'year' (``trip_year``), for volumes at which a day would be a
-    tiny file. ``format`` may name a transactional format whose package is on the classpath.
+    tiny file. ``format`` is that of the partitioned tables; stale partitions are cleared
+    as folders, so it must be a plain file format.
     """
 
     root: str
     grain: str = "day"
     format: str = "parquet"
 
+    def __post_init__(self):
+        if self.grain not in GRAINS or self.format not in FILE_FORMATS:
+            raise ValueError(f"grain must be one of {list(GRAINS)}, format one of {list(FILE_FORMATS)}")
+
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
@@ -52,7 +59,7 @@ class Lake:
 
     @property
     def partition(self) -> str:
-        return {"day": "trip_date", "month": "trip_month", "year": "trip_year"}[self.grain]
+        return GRAINS[self.grain]
 
     def with_partition(self, df: DataFrame) -> DataFrame:
         if self.grain == "day":
@@ -60,21 +67,11 @@ class Lake:
         return df.withColumn(self.partition, F.trunc("trip_date", self.grain))
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _file_system(spark, path)
+    fs, p = file_system(spark, path)
     return fs.exists(p)
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    fs, p = _file_system(spark, path)
-    fs.delete(p, True)
-
-
 def read(spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet") -> DataFrame:
     """Table at ``path``, with no rows where nothing was written yet.
 
@@ -109,7 +106,7 @@ def subfolders(spark: SparkSession, path: str) -> set[str]:
     """Names of the partition folders directly below ``path``; reads no data file."""
     if not exists(spark, path):
         return set()
-    fs, p = _file_system(spark, path)
+    fs, p = file_system(spark, path)
     return {entry.getPath().getName() for entry in fs.listStatus(p) if entry.isDirectory()}
 
 
@@ -120,11 +117,8 @@ def write_gold(df: DataFrame, path: str, *order) -> None:
 
 def replace_table(df: DataFrame, path: str, *order) -> None:
     """``write_gold`` for a result that is computed from the table it replaces."""
-    spark = df.sparkSession
-    folder = new_folder(spark, "replace")
-    df.write.parquet(folder)
-    write_gold(spark.read.schema(df.schema).parquet(folder), path, *order)
-    delete(spark, folder)
+    with staging_scope(df.sparkSession):
+        write_gold(staged(df, "replace"), path, *order)
 
 
 def register_gold(spark: SparkSession, lake: Lake, tables: list[str]) -> None:

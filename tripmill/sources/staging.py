@@ -8,9 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open_scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a local one only where that is unset."""
@@ -30,5 +35,33 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new staging table and return a scan of it."""
     path = new_folder(df.sparkSession, label)
+    scope = _open_scope.get()
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, every table staged inside. Outside a scope the tables stay,
+    since a returned frame still reads them."""
+    created: list[str] = []
+    token = _open_scope.set(created)
+    try:
+        yield
+    finally:
+        _open_scope.reset(token)
+        for path in created:
+            delete(spark, path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop file system of ``path`` and the path in its terms."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)

@@ -3,13 +3,15 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from tests.helpers import bronze, rows
 from tripmill.operators import dedup, ordered, quality
-from tripmill.operators.dedup import SkewPolicy
+from tripmill.operators.dedup import CopyPolicy
 from tripmill.operators.ingest import typed
 
-EAGER = SkewPolicy(hot_rows=50, sample_hits=50)
+SLICED = CopyPolicy(hot_rows=50)
+ALL_SHUFFLED = CopyPolicy(broadcast_ids=0)
 
 
 def skewed(spark, n: int = 600):
@@ -25,10 +27,9 @@ def skewed(spark, n: int = 600):
     return typed(bronze(spark, *changes, {"trip_id": None}, {"trip_id": None}))
 
 
-def test_a_hot_id_is_found(spark):
-    data = skewed(spark)
-    assert [r[0] for r in dedup.hot_ids(data.filter("trip_id is not null"), skew=EAGER).collect()] == ["HOT"]
-    assert dedup.hot_ids(data, skew=SkewPolicy()) is None
+def test_repeated_ids_are_counted(spark):
+    data = typed(bronze(spark, {"trip_id": "A"}, {"trip_id": "A"}, {"trip_id": "B"}, {"trip_id": "A"}))
+    assert [tuple(r) for r in dedup.repeated_ids(data).collect()] == [("A", 3)]
 
 
 @pytest.fixture
@@ -39,14 +40,25 @@ def small_slices(spark):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_hot_ids_get_the_ranks_of_a_plain_window(spark, small_slices):
+@pytest.mark.parametrize(
+    "policy", [CopyPolicy(), SLICED, ALL_SHUFFLED, CopyPolicy(hot_rows=50, broadcast_ids=0), CopyPolicy(hot_rows=2)]
+)
+def test_every_way_gives_the_ranks_of_a_plain_window(spark, small_slices, policy):
     data = skewed(spark).repartition(5)
-    plain, sliced = dedup.ranked(data), dedup.ranked(data, skew=EAGER)
-    assert rows(plain) == rows(sliced)
-    hot = sorted(r[0] for r in sliced.filter("trip_id = 'HOT'").select("_duplicate_rank").collect())
+    order = Window.partitionBy("trip_id").orderBy(*dedup.newest_first(data))
+    place = F.when(F.col("trip_id").isNotNull(), F.row_number().over(order)).cast("bigint")
+    found = dedup.ranked(data, policy=policy)
+    assert rows(found) == rows(data.withColumn("_duplicate_rank", place))
+    hot = sorted(r[0] for r in found.filter("trip_id = 'HOT'").select("_duplicate_rank").collect())
     assert hot == list(range(1, 201))
 
 
+def test_ids_without_copies_need_no_shuffle(spark):
+    data = typed(bronze(spark, {"trip_id": "A"}, {"trip_id": "B"}, {"trip_id": None}))
+    plan = dedup.ranked(data)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
 def test_a_hot_id_spans_several_slices(spark, small_slices):
     data = skewed(spark, 3000).filter("trip_id = 'HOT'").withColumn("_row", F.monotonically_increasing_id())
     order = [*dedup.newest_first(data), F.col("_row").asc()]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,22 +17,14 @@ NEWEST_FIRST = ("trip_end_timestamp", "trip_start_timestamp", "trip_total")
 
 
 @dataclass(frozen=True)
-class SkewPolicy:
-    """When a trip id counts as hot and is ranked in slices instead of one task.
-
-    Ids are counted on a row sample in which an id of ``hot_rows`` rows is expected
-    to show ``sample_hits`` times. The choice decides only how an id is ranked, never
-    the result, so a missed id costs time and nothing else.
-    """
+class CopyPolicy:
+    """How the copies of an id are brought together. Changes the cost, never a result."""
 
+    # Ids with at least this many rows are ranked in slices instead of one task.
     hot_rows: int = 1_000_000
-    sample_hits: int = 100
-    max_hot_ids: int = 100_000
-    seed: int = 17
-
-    @property
-    def fraction(self) -> float:
-        return min(1.0, self.sample_hits / self.hot_rows)
+    # A list of ids is broadcast up to this many rows and bytes of text.
+    broadcast_ids: int = 500_000
+    broadcast_bytes: int = 32 * 1024 * 1024
 
 
 def newest_first(df: DataFrame, tie_break: tuple[str, ...] | None = None) -> list[Column]:
@@ -55,44 +48,66 @@ def _holds_map(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.MapType, T.VariantType))
 
 
-def hot_ids(df: DataFrame, key: str = "trip_id", skew: SkewPolicy = SkewPolicy()) -> DataFrame | None:
-    """Ids with about ``skew.hot_rows`` rows or more, or None when there is none.
+def repeated_ids(df: DataFrame, key: str = "trip_id") -> DataFrame:
+    """Ids that occur more than once, with their row count ``n``.
 
-    Runs one job that reads the id column only. At most ``max_hot_ids`` ids reach the
-    driver, which bounds the broadcast of the returned frame.
+    Reads and shuffles the id column only, after a count inside each map task. The
+    result is staged: what it tells decides the plan, and several branches read it.
     """
-    sample = df.select(key).sample(fraction=skew.fraction, seed=skew.seed)
-    hits = sample.groupBy(key).count().filter(F.col("count") >= skew.sample_hits)
-    largest = hits.orderBy(F.desc("count"), key).limit(skew.max_hot_ids).select(key).collect()
-    if not largest:
-        return None
-    return F.broadcast(df.sparkSession.createDataFrame(largest, df.select(key).schema))
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    return staged(counts.filter(F.col("n") > 1), "repeated-ids")
+
+
+def _measured(ids: DataFrame, key: str) -> tuple[int, int]:
+    """(rows, bytes) of a list of ids."""
+    found = ids.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(key)), F.lit(0))).first()
+    return found[0], found[1]
 
 
 def ranked(
     df: DataFrame,
     key: str = "trip_id",
     tie_break: tuple[str, ...] | None = None,
-    skew: SkewPolicy = SkewPolicy(),
+    policy: CopyPolicy = CopyPolicy(),
     rank: str = DUPLICATE_RANK,
 ) -> DataFrame:
     """Add the rank of each row among the copies of its id, 1 for the newest.
 
-    Rows without an id have no copies: they get no rank and pass by the shuffle.
+    The ids are counted first. Where those that repeat are few enough to broadcast, only
+    their rows are shuffled and all others get rank 1 on the spot; otherwise every row
+    is shuffled by id. Ids with very many rows are ranked in slices. Rows without an id
+    have no copies: they get no rank and pass by the shuffle.
     """
     order = newest_first(df, tie_break)
     without_id = df.filter(F.col(key).isNull()).withColumn(rank, F.lit(None).cast("bigint"))
     with_id = df.filter(F.col(key).isNotNull())
-    hot = hot_ids(with_id, key, skew)
-    if hot is None:
-        return _ranked_by_window(with_id, key, order, rank).unionByName(without_id)
-    light = with_id.join(hot, key, "left_anti").select(df.columns)
-    heavy = with_id.join(hot, key, "left_semi").select(df.columns)
-    return (
-        _ranked_by_window(light, key, order, rank)
-        .unionByName(_ranked_in_slices(heavy, key, order, rank))
-        .unionByName(without_id)
-    )
+
+    repeats = repeated_ids(with_id, key)
+    n_repeats, size = _measured(repeats, key)
+    hot = repeats.filter(F.col("n") >= policy.hot_rows).select(key)
+    n_hot, hot_size = _measured(hot, key)
+
+    def listed(ids: DataFrame, n: int, size: int) -> DataFrame:
+        small = n <= policy.broadcast_ids and size <= policy.broadcast_bytes
+        return F.broadcast(ids) if small else ids
+
+    def rows_of(ids: DataFrame, how: str) -> DataFrame:
+        return with_id.join(ids, key, how).select(df.columns)
+
+    parts = [without_id]
+    if n_repeats <= policy.broadcast_ids and size <= policy.broadcast_bytes:
+        single = rows_of(F.broadcast(repeats), "left_anti") if n_repeats else with_id
+        parts.append(single.withColumn(rank, F.lit(1).cast("bigint")))
+        if n_repeats > n_hot:
+            some = F.broadcast(repeats.filter(F.col("n") < policy.hot_rows))
+            parts.append(_ranked_by_window(rows_of(some, "left_semi"), key, order, rank))
+    else:
+        light = rows_of(listed(hot, n_hot, hot_size), "left_anti") if n_hot else with_id
+        parts.append(_ranked_by_window(light, key, order, rank))
+    if n_hot:
+        heavy = rows_of(listed(hot, n_hot, hot_size), "left_semi")
+        parts.append(_ranked_in_slices(heavy, key, order, rank))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _ranked_by_window(df: DataFrame, key: str, order: list[Column], rank: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.columns import speed_mph
 from tripmill.operators import dedup
-from tripmill.operators.dedup import SkewPolicy
+from tripmill.operators.dedup import CopyPolicy
 from tripmill.operators.ingest import typed
 from tripmill.schema import AMOUNTS, AREAS, DUPLICATE_RANK, REJECT_REASON, SPEED
 
@@ -79,7 +79,7 @@ def tagged(
     limits: Thresholds = Thresholds(),
     tie_break: tuple[str, ...] | None = None,
     dedup_after_validation: bool = False,
-    skew: SkewPolicy = SkewPolicy(),
+    policy: CopyPolicy = CopyPolicy(),
 ) -> DataFrame:
     """Type, rank and tag every row of ``bronze``.
 
@@ -89,12 +89,12 @@ def tagged(
     """
     rows = typed(bronze)
     if not dedup_after_validation:
-        rows = dedup.ranked(rows, tie_break=tie_break, skew=skew).withColumn(SPEED, speed_mph())
+        rows = dedup.ranked(rows, tie_break=tie_break, policy=policy).withColumn(SPEED, speed_mph())
         return tag(rows, id_rules() + value_rules(limits))
     no_id = id_rules()[:1]
     checked = tag(rows.withColumn(SPEED, speed_mph()), no_id + value_rules(limits))
     sound, unsound = (checked.filter(c) for c in (_is_valid(), ~_is_valid()))
-    competing = dedup.ranked(sound.drop(REJECT_REASON), tie_break=tie_break, skew=skew)
+    competing = dedup.ranked(sound.drop(REJECT_REASON), tie_break=tie_break, policy=policy)
     unranked = unsound.withColumn(DUPLICATE_RANK, F.lit(None).cast("bigint"))
     return tag(competing, id_rules()).unionByName(unranked)
 

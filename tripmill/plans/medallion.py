@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tripmill.functions.columns import speed_mph
 from tripmill.operators import gold, ingest, quality
-from tripmill.operators.dedup import SkewPolicy
+from tripmill.operators.dedup import CopyPolicy
 from tripmill.operators.quality import VALID, Thresholds
 from tripmill.schema import DUPLICATE_RANK, REJECT_REASON, SPEED, ContractError, require_columns
 from tripmill.sources import lake as L
@@ -108,7 +108,7 @@ def run_silver(
     partitions: list[date | None] | None = None,
     tie_break: tuple[str, ...] | None = None,
     dedup_after_validation: bool = False,
-    skew: SkewPolicy = SkewPolicy(),
+    policy: CopyPolicy = CopyPolicy(),
 ) -> SilverRun:
     """Clean bronze into silver and quarantine, for everything or for some partitions.
 
@@ -123,7 +123,7 @@ def run_silver(
     column = lake.partition
     with staging_scope(spark):
         rows = bronze if partitions is None else _rows_to_rank(bronze, partitions, column)
-        tagged = quality.tagged(rows, limits, tie_break, dedup_after_validation, skew)
+        tagged = quality.tagged(rows, limits, tie_break, dedup_after_validation, policy)
         if partitions is not None:
             tagged = tagged.filter(L.among(column, partitions))
         tagged = staged(tagged, "tagged")

@@ -11,7 +11,14 @@ from tripmill.operators.dedup import CopyPolicy
 from tripmill.operators.ingest import typed
 
 SLICED = CopyPolicy(hot_rows=50)
-ALL_SHUFFLED = CopyPolicy(broadcast_ids=0)
+POLICIES = [
+    CopyPolicy(),
+    CopyPolicy(copy_share=1.0),
+    SLICED,
+    CopyPolicy(hot_rows=50, copy_share=1.0),
+    CopyPolicy(hot_rows=50, broadcast_ids=0),
+    CopyPolicy(hot_rows=2, copy_share=1.0),
+]
 
 
 def skewed(spark, n: int = 600):
@@ -29,7 +36,11 @@ def skewed(spark, n: int = 600):
 
 def test_repeated_ids_are_counted(spark):
     data = typed(bronze(spark, {"trip_id": "A"}, {"trip_id": "A"}, {"trip_id": "B"}, {"trip_id": "A"}))
-    assert [tuple(r) for r in dedup.repeated_ids(data).collect()] == [("A", 3)]
+    copies = dedup.copies_of(data, policy=CopyPolicy(hot_rows=3))
+    assert [tuple(r) for r in copies.ids.collect()] == [("A", 3)]
+    assert (copies.n_rows, copies.n_ids, copies.n_copies, copies.size, copies.n_hot, copies.hot_size) == (4, 1, 3, 1, 1, 1)
+    none = dedup.copies_of(data.limit(0))
+    assert (none.n_rows, none.n_ids, none.n_copies, none.size, none.n_hot, none.hot_size) == (0,) * 6
 
 
 @pytest.fixture
@@ -40,9 +51,7 @@ def small_slices(spark):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-@pytest.mark.parametrize(
-    "policy", [CopyPolicy(), SLICED, ALL_SHUFFLED, CopyPolicy(hot_rows=50, broadcast_ids=0), CopyPolicy(hot_rows=2)]
-)
+@pytest.mark.parametrize("policy", POLICIES)
 def test_every_way_gives_the_ranks_of_a_plain_window(spark, small_slices, policy):
     data = skewed(spark).repartition(5)
     order = Window.partitionBy("trip_id").orderBy(*dedup.newest_first(data))

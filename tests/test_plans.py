@@ -28,7 +28,7 @@ def lake(spark, tmp_path_factory):
 def test_tagging_shuffles_only_repeated_ids_and_once(spark, lake, tmp_path):
     assert "Exchange" not in plan(quality.tagged(M.read_bronze(spark, lake)))
     other = Lake(str(tmp_path))
-    M.write_bronze(raw(spark, {}, {"trip_total": "1"}, {"trip_id": "B"}), other)
+    M.write_bronze(raw(spark, {}, {"trip_total": "1"}, *({"trip_id": f"B{i}"} for i in range(6))), other)
     text = plan(quality.tagged(M.read_bronze(spark, other)))
     assert text.count("Exchange hashpartitioning(trip_id") == 1 and text.count("BroadcastExchange") == 2
     assert text.count("Exchange") == 3 and "LeftAnti" in text and "LeftSemi" in text

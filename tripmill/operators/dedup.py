@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,9 +22,14 @@ class CopyPolicy:
 
     # Ids with at least this many rows are ranked in slices instead of one task.
     hot_rows: int = 1_000_000
-    # A list of ids is broadcast up to this many rows and bytes of text.
+    # A list of ids is broadcast up to this many ids and bytes of text.
     broadcast_ids: int = 500_000
     broadcast_bytes: int = 32 * 1024 * 1024
+    # Copies are picked out of the rows, for a second scan, up to this share of them.
+    copy_share: float = 0.25
+
+    def fits(self, ids: int, size: int) -> bool:
+        return ids <= self.broadcast_ids and size <= self.broadcast_bytes
 
 
 def newest_first(df: DataFrame, tie_break: tuple[str, ...] | None = None) -> list[Column]:
@@ -48,20 +53,40 @@ def _holds_map(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.MapType, T.VariantType))
 
 
-def repeated_ids(df: DataFrame, key: str = "trip_id") -> DataFrame:
-    """Ids that occur more than once, with their row count ``n``.
+@dataclass(frozen=True)
+class Copies:
+    """The ids that occur more than once (``trip_id``, ``n``) and how many there are."""
 
-    Reads and shuffles the id column only, after a count inside each map task. The
-    result is staged: what it tells decides the plan, and several branches read it.
-    """
-    counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    return staged(counts.filter(F.col("n") > 1), "repeated-ids")
+    ids: DataFrame
+    n_rows: int  # rows of all ids, repeated or not
+    n_ids: int
+    n_copies: int
+    size: int
+    n_hot: int
+    hot_size: int
 
 
-def _measured(ids: DataFrame, key: str) -> tuple[int, int]:
-    """(rows, bytes) of a list of ids."""
-    found = ids.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(key)), F.lit(0))).first()
-    return found[0], found[1]
+def copies_of(df: DataFrame, key: str = "trip_id", policy: CopyPolicy = CopyPolicy()) -> Copies:
+    """Find the repeated ids of ``df`` in one job.
+
+    Reads and shuffles the id column only, after a count inside each map task. The ids
+    are staged, since several branches of the plan read them; their numbers are seen
+    during that write.
+    """
+    is_hot, size = F.col("n") >= policy.hot_rows, F.octet_length(key)
+    every, repeated = Observation(), Observation()
+    counts = df.groupBy(key).agg(F.count("*").alias("n")).observe(every, F.sum("n").alias("n_rows"))
+    repeats = counts.filter(F.col("n") > 1).observe(
+        repeated,
+        F.count(F.lit(1)).alias("n_ids"),
+        F.sum("n").alias("n_copies"),
+        F.sum(size).alias("size"),
+        F.count_if(is_hot).alias("n_hot"),
+        F.sum(F.when(is_hot, size)).alias("hot_size"),
+    )
+    ids = staged(repeats, "repeated-ids")
+    seen = {**every.get, **repeated.get}
+    return Copies(ids, **{name: value or 0 for name, value in seen.items()})
 
 
 def ranked(
@@ -73,40 +98,35 @@ def ranked(
 ) -> DataFrame:
     """Add the rank of each row among the copies of its id, 1 for the newest.
 
-    The ids are counted first. Where those that repeat are few enough to broadcast, only
-    their rows are shuffled and all others get rank 1 on the spot; otherwise every row
-    is shuffled by id. Ids with very many rows are ranked in slices. Rows without an id
-    have no copies: they get no rank and pass by the shuffle.
+    The ids are counted first. Where those that repeat are few, only their rows are
+    shuffled and all others get rank 1 on the spot; otherwise every row is shuffled by
+    id. Ids with very many rows are ranked in slices. Rows without an id have no copies:
+    they get no rank and pass by the shuffle.
     """
     order = newest_first(df, tie_break)
     without_id = df.filter(F.col(key).isNull()).withColumn(rank, F.lit(None).cast("bigint"))
     with_id = df.filter(F.col(key).isNotNull())
+    copies = copies_of(with_id, key, policy)
 
-    repeats = repeated_ids(with_id, key)
-    n_repeats, size = _measured(repeats, key)
-    hot = repeats.filter(F.col("n") >= policy.hot_rows).select(key)
-    n_hot, hot_size = _measured(hot, key)
-
-    def listed(ids: DataFrame, n: int, size: int) -> DataFrame:
-        small = n <= policy.broadcast_ids and size <= policy.broadcast_bytes
-        return F.broadcast(ids) if small else ids
+    def rows_of(ids: DataFrame, how: str, fits: bool) -> DataFrame:
+        ids = ids.select(key)
+        return with_id.join(F.broadcast(ids) if fits else ids, key, how).select(df.columns)
 
-    def rows_of(ids: DataFrame, how: str) -> DataFrame:
-        return with_id.join(ids, key, how).select(df.columns)
+    hot, light = (copies.ids.filter(c) for c in (F.col("n") >= policy.hot_rows, F.col("n") < policy.hot_rows))
+    hot_fits = policy.fits(copies.n_hot, copies.hot_size)
+    few = policy.fits(copies.n_ids, copies.size) and copies.n_copies <= policy.copy_share * copies.n_rows
 
     parts = [without_id]
-    if n_repeats <= policy.broadcast_ids and size <= policy.broadcast_bytes:
-        single = rows_of(F.broadcast(repeats), "left_anti") if n_repeats else with_id
+    if few:
+        single = rows_of(copies.ids, "left_anti", True) if copies.n_ids else with_id
         parts.append(single.withColumn(rank, F.lit(1).cast("bigint")))
-        if n_repeats > n_hot:
-            some = F.broadcast(repeats.filter(F.col("n") < policy.hot_rows))
-            parts.append(_ranked_by_window(rows_of(some, "left_semi"), key, order, rank))
+        if copies.n_ids > copies.n_hot:
+            parts.append(_ranked_by_window(rows_of(light, "left_semi", True), key, order, rank))
     else:
-        light = rows_of(listed(hot, n_hot, hot_size), "left_anti") if n_hot else with_id
-        parts.append(_ranked_by_window(light, key, order, rank))
-    if n_hot:
-        heavy = rows_of(listed(hot, n_hot, hot_size), "left_semi")
-        parts.append(_ranked_in_slices(heavy, key, order, rank))
+        rest = rows_of(hot, "left_anti", hot_fits) if copies.n_hot else with_id
+        parts.append(_ranked_by_window(rest, key, order, rank))
+    if copies.n_hot:
+        parts.append(_ranked_in_slices(rows_of(hot, "left_semi", hot_fits), key, order, rank))
     return reduce(DataFrame.unionByName, parts)
 
 

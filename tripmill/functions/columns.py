@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Amounts below this bound are summed as whole cents; above it a double no longer
 # resolves a cent anyway.
@@ -77,6 +78,19 @@ def title_case(name: str) -> Column:
     return F.array_join(parts, "'")
 
 
+def row_hash(schema: T.StructType) -> Column:
+    """Hash of every column that can be hashed, whatever the column order."""
+    return F.xxhash64(*sorted(f.name for f in schema if not _holds_map(f.dataType)))
+
+
+def _holds_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _holds_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_holds_map(f.dataType) for f in dtype)
+    return isinstance(dtype, (T.MapType, T.VariantType))
+
+
 def area_key(name: str) -> Column:
     """Area number as text without a fraction: 8, 8.0 and '8' all give '8'."""
     return whole_number(name, "int").cast("string")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tripmill.functions.columns import row_hash
 from tripmill.operators.ordered import running_total
 from tripmill.schema import DUPLICATE_RANK
 from tripmill.sources.staging import staged
@@ -41,16 +41,7 @@ def newest_first(df: DataFrame, tie_break: tuple[str, ...] | None = None) -> lis
     order = [F.col(c).desc_nulls_last() for c in NEWEST_FIRST]
     if tie_break is not None:
         return order + [F.col(c).desc_nulls_last() for c in tie_break]
-    hashable = sorted(f.name for f in df.schema if not _holds_map(f.dataType))
-    return order + [F.xxhash64(*hashable).desc()]
-
-
-def _holds_map(dtype: T.DataType) -> bool:
-    if isinstance(dtype, T.ArrayType):
-        return _holds_map(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return any(_holds_map(f.dataType) for f in dtype)
-    return isinstance(dtype, (T.MapType, T.VariantType))
+    return order + [row_hash(df.schema).desc()]
 
 
 @dataclass(frozen=True)
@@ -71,7 +62,7 @@ def copies_of(df: DataFrame, key: str = "trip_id", policy: CopyPolicy = CopyPoli
 
     Reads and shuffles the id column only, after a count inside each map task. The ids
     are staged, since several branches of the plan read them; their numbers are seen
-    during that write.
+    during that write, in its last stage, where a repeated task counts once.
     """
     is_hot, size = F.col("n") >= policy.hot_rows, F.octet_length(key)
     every, repeated = Observation(), Observation()
@@ -86,7 +77,7 @@ def copies_of(df: DataFrame, key: str = "trip_id", policy: CopyPolicy = CopyPoli
     )
     ids = staged(repeats, "repeated-ids")
     seen = {**every.get, **repeated.get}
-    return Copies(ids, **{name: value or 0 for name, value in seen.items()})
+    return Copies(ids, **{f.name: seen.get(f.name) or 0 for f in fields(Copies) if f.name != "ids"})
 
 
 def ranked(

@@ -104,7 +104,7 @@ def _earliest(rows: DataFrame, n: int, at: str, key: str) -> DataFrame:
     if reached is None:
         return rows
     cut, still_free = _moment(reached["moment"]), n - (reached["upto"] - reached["count"])
-    at_cut = rows.filter(C.wall_clock(at) == cut).orderBy(key, F.xxhash64(*rows.columns)).limit(still_free)
+    at_cut = rows.filter(C.wall_clock(at) == cut).orderBy(key, C.row_hash(rows.schema)).limit(still_free)
     return rows.filter(C.wall_clock(at) < cut).unionByName(at_cut)
 
 

@@ -9,7 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import byte_bpe, sql
+from tripmill.llm import byte_bpe, sql, token_files, url_filter
+from tripmill.sources.staging import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,8 +23,20 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(encoded))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written in packed files and read back."""
+    folder = new_folder(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), folder)
+    return token_files.digests(token_files.read(spark, folder))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL."""
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_byte_bpe,)}
+    return {f.__name__: f for f in (op3_byte_bpe, op7_token_files, op8_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:

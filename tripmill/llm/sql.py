@@ -1,3 +1,23 @@
 """SQL of the registered queries that SQL can express, for DuckDB."""
 
-SQL: dict[str, str] = {}
+OP8 = r"""
+WITH rules(host, path, verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+         ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (
+  SELECT page_id, regexp_extract(r, '^[^/?#]*') AS h, r FROM rest),
+urls AS (
+  SELECT page_id, coalesce(translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(substr(r, length(h) + 1), '^[^?#]*'), '') AS path, row_number() OVER () AS n
+  FROM parts),
+fitting AS (
+  SELECT u.n, r.host || r.path AS rule, r.verdict,
+         row_number() OVER (PARTITION BY u.n ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) AS place
+  FROM urls u JOIN rules r ON (u.host = r.host OR u.host LIKE '%.' || r.host) AND starts_with(u.path, r.path))
+SELECT u.page_id, u.host, u.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM urls u LEFT JOIN fitting f ON f.n = u.n AND f.place = 1
+"""
+
+SQL: dict[str, str] = {"op8_url_filter": OP8}

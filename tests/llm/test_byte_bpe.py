@@ -31,10 +31,15 @@ def found(docs, **options):
     return {r["doc_id"]: tuple(r)[1:] for r in frame.collect()}
 
 
-@pytest.mark.parametrize("block_words", [byte_bpe.BLOCK_WORDS, 7])
-def test_odd_texts(spark, library, block_words):
+@pytest.mark.parametrize("limits", [{}, {"block_words": 5}, {"block_distinct": 7}])
+def test_odd_texts(spark, library, limits):
     docs = odd_documents(spark)
-    assert found(docs, block_words=block_words) == expected(docs, library)
+    assert found(docs, **limits) == expected(docs, library)
+
+
+def test_blocks_stay_where_they_are(spark):
+    plan = byte_bpe.encode(documents(spark))._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
 
 
 def test_documents(spark, library):

@@ -1,20 +1,25 @@
 """Byte-level BPE: every distinct word is encoded once, for the whole corpus.
 
 1. Each task cuts its texts into words (matches of the pattern) and numbers the distinct
-   words of a block of texts; a block ends when it has ``block_words`` distinct words. A
-   text becomes the list of its words' numbers, which keeps their positions.
-2. The distinct words of all blocks are shuffled by word, so that each is merged into ids
-   once, and the ids return to their blocks.
+   words of a block of texts; a text becomes the list of its words' numbers, which keeps
+   their positions. The lists are written bucketed by block and never move again.
+2. The distinct words of all blocks are shuffled by their hash, so that each is merged
+   into ids once, and the ids return to their blocks. A row carries the words that one
+   block has in one part of the hash range, compressed.
 3. Each block's ids and its texts' numbers meet and give the ids of whole texts.
 
-A word that occurs everywhere costs one row per block. The only state of a task is the
-dictionary of one block. Decoding looks every id up in the table of token bytes, which is
-as small as the vocabulary and is sent to all tasks.
+A word that occurs everywhere costs one entry per block. The only state of a task is one
+block, which has a bounded number of words and distinct words. Decoding looks every id up
+in the table of token bytes, which is as small as the vocabulary and is sent to all tasks.
 """
 
 from __future__ import annotations
 
 import base64
+import itertools
+import re
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,15 +28,21 @@ import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from tripmill.llm import text as T
-from tripmill.sources.staging import staged
+from tripmill.sources.staging import new_folder
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-BLOCK_WORDS = 1 << 18
+#: A block of texts ends after so many distinct words, or so many words.
+BLOCK_DISTINCT, BLOCK_WORDS = 1 << 18, 1 << 22
 #: Words of consecutive texts that are compressed together.
-GROUP_WORDS = 1 << 14
+GROUP_WORDS = 1 << 16
+#: Distinct words whose ids a task remembers.
+KNOWN_WORDS = 1 << 19
+#: Texts below this code point are cut by the faster of two engines.
+NARROW = 0x250
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -60,6 +71,13 @@ class Splitter:
         exact = exact.replace("\0", rf"[^\s{inner}]")
         self._plain = regex.compile(pattern).findall
         self._exact = regex.compile(exact, regex.V1).findall
+        low = "".join(map(chr, range(NARROW)))
+        sets = {name: self._ranges(sorted(map(ord, regex.findall(name, low)))) for name in (r"\s", r"\p{L}", r"\p{N}")}
+        narrow = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{''.join(sets.values())}]").replace(r"\S", f"[^{sets[chr(92) + 's']}]")
+        for name, points in sets.items():
+            narrow = narrow.replace(name, f"[{points}]")
+        known = not re.search(r"\\[^UpsS]|\\p\{(?![LN]\})", pattern)
+        self._narrow = re.compile(narrow).findall if known else self._plain
 
     @staticmethod
     def _disagreement(category: str) -> list[int]:
@@ -83,8 +101,11 @@ class Splitter:
         cut = np.flatnonzero(np.diff(p) > 1)
         return "".join(rf"\U{a:08x}-\U{b:08x}" for a, b in zip(p[np.r_[0, cut + 1]], p[np.r_[cut, len(p) - 1]]))
 
-    def __call__(self, text: str) -> list[str]:
-        if self._odd and not text.isascii() and self._odd(text):
+    def __call__(self, text: str, narrow: bool = False) -> list[str]:
+        """``narrow`` promises that all characters are below ``NARROW``."""
+        if narrow:
+            return self._narrow(text)
+        if self._odd and self._odd(text):
             return self._exact(text)
         return self._plain(text)
 
@@ -114,71 +135,98 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
     return planes.reshape(4, -1).T.copy().view("<u4").ravel()
 
 
-def _blocks(batches, pattern: str, block_words: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+#: Rows of a block: its texts (keys, counts of words, numbers of words), or the words it
+#: has in one part of the hash range (as UTF-8, each with its length, and their numbers).
+def _block_schema(kind) -> S.StructType:
+    return S.StructType([
+        S.StructField("block", S.LongType()), S.StructField("part", S.IntegerType()), S.StructField("n", S.LongType()),
+        S.StructField("bytes", S.LongType()), S.StructField("words", S.BinaryType()), S.StructField("lengths", S.BinaryType()),
+        S.StructField("numbers", S.BinaryType()), S.StructField("keys", S.ArrayType(kind)),
+        S.StructField("counts", S.ArrayType(S.IntegerType())),
+    ])
+
+
+def _row(schema: pa.Schema, **values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([values.get(f.name)], f.type) for f in schema], schema=schema)
+
+
+def _blocks(batches, pattern: str, parts: int, distinct: int, words: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     split = _splitter(pattern)
     block = TaskContext.get().partitionId() << 32
-    numbers, keys, counts, parts, row = _Numbers(), [], [], [], 0
-    key_type = schema.field("keys").type.value_type
+    numbers, keys, counts, lists = _Numbers(), [], [], []
+    held = total = 0
 
     def group() -> pa.RecordBatch:
-        nonlocal keys, counts, parts, row
-        packed = _pack(np.concatenate(parts))
-        columns = [
-            pa.array([block], pa.int64()), pa.array([row], pa.int64()), pa.array([None], pa.string()),
-            pa.array([keys], pa.list_(key_type)), pa.array([counts], pa.list_(pa.int32())), pa.array([packed], pa.binary()),
-        ]
-        keys, counts, parts, row = [], [], [], row + 1
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
+        nonlocal keys, counts, lists, held
+        row = _row(schema, block=block, n=held, numbers=_pack(np.concatenate(lists)), keys=keys, counts=counts)
+        keys, counts, lists, held = [], [], [], 0
+        return row
 
     def dictionary() -> Iterator[pa.RecordBatch]:
-        nonlocal numbers, block, row
-        found = list(numbers)
-        for i in range(0, len(found), 20_000):
-            some = found[i : i + 20_000]
-            n = len(some)
-            columns = [
-                pa.array(np.full(n, block)), pa.array(np.arange(i, i + n)), pa.array(some, pa.string()),
-                pa.nulls(n, schema.field("keys").type), pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
-        numbers, block, row = _Numbers(), block + 1, 0
-
-    pending = 0
+        """Rows for each part of the hash range; words stay in order of their numbers."""
+        nonlocal numbers, block, total
+        found = [w.encode() for w in numbers]
+        part = np.fromiter(map(zlib.crc32, found), np.uint32, len(found)) % parts
+        order = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[order], np.arange(parts + 1))
+        for p in np.flatnonzero(np.diff(cuts)):
+            chosen = order[cuts[p] : cuts[p + 1]]
+            some = [found[i] for i in chosen]
+            joined = b"".join(some)
+            lengths = np.fromiter(map(len, some), np.uint32, len(some))
+            yield _row(
+                schema, block=block, part=int(p), n=len(some), bytes=len(joined), lengths=_pack(lengths),
+                words=pa.compress(joined, codec="zstd", asbytes=True), numbers=_pack(np.diff(chosen, prepend=0)),
+            )
+        numbers, block, total = _Numbers(), block + 1, 0
+
     for batch in batches:
-        for key, value in zip(batch.column(0), batch.column(1)):
-            found = split(value.as_py() or "")
-            part = np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found))
-            keys.append(key.as_py())
-            counts.append(len(part))
-            parts.append(part)
-            pending += len(part)
-            if pending >= GROUP_WORDS or len(keys) >= GROUP_WORDS or len(numbers) >= block_words:
-                yield group()
-                pending = 0
-            if len(numbers) >= block_words:
-                yield from dictionary()
+        for piece in T.pieces(batch, "text"):
+            data, offsets = T.raw(piece.column("text"))
+            for key, a, b in zip(piece.column("key").to_pylist(), offsets[:-1], offsets[1:]):
+                one = data[a:b]
+                # bytes above 0xC8 begin characters from U+0240 on
+                found = split(one.tobytes().decode(), len(one) == 0 or one.max() <= 0xC8)
+                keys.append(key)
+                counts.append(len(found))
+                lists.append(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)))
+                held, total = held + len(found), total + len(found)
+                full = len(numbers) >= distinct or total >= words
+                if full or held >= GROUP_WORDS or len(keys) >= GROUP_WORDS:
+                    yield group()
+                if full:
+                    yield from dictionary()
     if keys:
         yield group()
     yield from dictionary()
 
 
-def _merge(batches, ranks: dict, pattern: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+class _Merged(dict):
+    def __init__(self, encode):
+        self._encode = encode
+
+    def __missing__(self, word: bytes) -> list[int]:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        ids = self[word] = self._encode(word.decode())
+        return ids
+
+
+def _merge(batches, ranks, pattern: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     import tiktoken
 
     ranks = ranks.value
     if ("encoding", len(ranks)) not in _cache:
         _cache["encoding", len(ranks)] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    encode = _cache["encoding", len(ranks)].encode_ordinary
-    last, ids = None, []
+    known = _Merged(_cache["encoding", len(ranks)].encode_ordinary).__getitem__
     for batch in batches:
-        out = []
-        for word in batch.column("word").to_pylist():  # sorted: a repeated word follows itself
-            if word != last:
-                last, ids = word, encode(word)
-            out.append(ids)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("block"), batch.column("row"), pa.array(out, pa.list_(pa.int32()))], schema=schema
-        )
+        for row in batch.to_pylist():
+            data = pa.decompress(row["words"], decompressed_size=row["bytes"], codec="zstd", asbytes=True)
+            ends = np.cumsum(_unpack(row["lengths"], row["n"])).tolist()
+            ids = [known(data[a:b]) for a, b in zip([0, *ends], ends)]
+            lengths = np.fromiter(map(len, ids), np.uint32, len(ids))
+            flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum()))
+            yield _row(schema, block=row["block"], n=row["n"], lengths=_pack(lengths), numbers=row["numbers"], ids=_pack(flat))
 
 
 def _gather(values: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -188,91 +236,88 @@ def _gather(values: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.nda
     return values[np.arange(total) + np.repeat(begin - (ends - length), length)]
 
 
-def _assemble(batches, key_type: pa.DataType, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Rows come by block: first its words' ids, by number, then its groups of texts."""
-    block, lists, starts, lengths, flat = None, [], None, None, None
-    for batch in batches:
-        blocks = batch.column("block").to_numpy()
-        is_word = batch.column("ids").is_valid().to_numpy(zero_copy_only=False)
-        cuts = np.flatnonzero((blocks[1:] != blocks[:-1]) | (is_word[1:] != is_word[:-1])) + 1
-        for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(blocks)]):
-            if not b > a:
-                continue
-            if blocks[a] != block:
-                block, lists, flat = blocks[a], [], None
-            if is_word[a]:
-                lists.append(batch.column("ids").slice(a, b - a))
-                continue
-            if flat is None:
-                lengths = np.concatenate([np.zeros(0, np.int64), *(x.value_lengths().to_numpy() for x in lists)]).astype(np.int64)
-                flat = np.concatenate([np.zeros(0, np.int32), *(x.flatten().to_numpy() for x in lists)])
-                starts, lists = np.cumsum(lengths) - lengths, []
-            for i in range(a, b):
-                counts = np.array(batch.column("counts")[i].values, dtype=np.int64)
-                numbers = _unpack(batch.column("packed")[i].as_py(), int(counts.sum()))
-                size = lengths[numbers]
-                ends = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(counts)]]
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_gather(flat, starts[numbers], size)))
-                yield pa.RecordBatch.from_arrays([batch.column("keys")[i].values.cast(key_type), ids], schema=schema)
-
-
-def _arrow(schema: str | object, spark) -> pa.Schema:
+def _assemble(merged: pa.Table, texts: pa.Table, schema: pa.Schema) -> pa.Table:
+    """Ids of the texts of one block."""
+    starts = np.zeros(sum(merged.column("n").to_pylist()), np.int64)
+    lengths = np.zeros_like(starts)
+    flat, done = [np.zeros(0, np.uint32)], 0
+    for row in merged.to_pylist():
+        size = _unpack(row["lengths"], row["n"]).astype(np.int64)
+        numbers = np.cumsum(_unpack(row["numbers"], row["n"]))
+        lengths[numbers] = size
+        starts[numbers] = done + np.cumsum(size) - size
+        done += int(size.sum())
+        flat.append(_unpack(row["ids"], int(size.sum())))
+    values = np.concatenate(flat).astype(np.int32)
+    out = []
+    for row in texts.to_pylist():
+        numbers = _unpack(row["numbers"], row["n"])
+        size = lengths[numbers]
+        ends = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(row["counts"], dtype=np.int64)]]
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_gather(values, starts[numbers], size)))
+        out.append(pa.RecordBatch.from_arrays([pa.array(row["keys"], schema.field(0).type), ids], schema=schema))
+    return pa.Table.from_batches(out, schema=schema)
+
+
+def _arrow(schema: S.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(schema)
 
 
+def _bucketed(df: DataFrame, by: str, buckets: int) -> DataFrame:
+    """Written to the shared folder so that a later join by ``by`` leaves it in place."""
+    spark = df.sparkSession
+    name = f"blocks_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, by).option("path", new_folder(spark, "bpe-blocks")).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # an external one: its files stay and the frame reads them
+    return table
+
+
 def encode(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     ranks_path: str = RANKS,
     pattern: str = PATTERN,
+    block_distinct: int = BLOCK_DISTINCT,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """Rows (key, ids array<int>): the ids of every text.
 
     Null and empty texts have no ids. Every row gives a row, repeated and null keys
     included; other columns are ignored, whatever their names. An empty table gives an
-    empty table. The blocks are written to the shared folder, for two readers.
+    empty table. The blocks are written to the shared folder when this is called.
     """
-    from pyspark.sql import types as S
-
     spark = docs.sparkSession
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = source.schema["key"].dataType
-    blocks = S.StructType([
-        S.StructField("block", S.LongType()), S.StructField("row", S.LongType()), S.StructField("word", S.StringType()),
-        S.StructField("keys", S.ArrayType(kind)), S.StructField("counts", S.ArrayType(S.IntegerType())),
-        S.StructField("packed", S.BinaryType()),
-    ])
-    block_schema = _arrow(blocks, spark)
-    cut = staged(source.mapInArrow(lambda it: _blocks(it, pattern, block_words, block_schema), blocks), "bpe-blocks")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = _block_schema(kind)
+    block_schema = _arrow(blocks)
+    cut = _bucketed(
+        source.mapInArrow(lambda it: _blocks(it, pattern, parts, block_distinct, block_words, block_schema), blocks),
+        "block", parts,
+    )
 
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))  # as large as the vocabulary
     merged = S.StructType([
-        S.StructField("block", S.LongType()), S.StructField("row", S.LongType()),
-        S.StructField("ids", S.ArrayType(S.IntegerType())),
+        S.StructField("block", S.LongType()), S.StructField("n", S.LongType()), S.StructField("lengths", S.BinaryType()),
+        S.StructField("numbers", S.BinaryType()), S.StructField("ids", S.BinaryType()),
     ])
-    merged_schema = _arrow(merged, spark)
+    merged_schema = _arrow(merged)
     ids = (
-        cut.where(F.col("word").isNotNull())
-        .select("block", "row", "word")
-        .repartition("word")
-        .sortWithinPartitions("word")
+        cut.where(F.col("part").isNotNull())
+        .select("block", "part", "n", "bytes", "words", "lengths", "numbers")
+        .repartitionById(parts, "part")
         .mapInArrow(lambda it: _merge(it, ranks, pattern, merged_schema), merged)
     )
-    texts = cut.where(F.col("packed").isNotNull()).select("block", "row", "keys", "counts", "packed")
-    both = ids.unionByName(texts, allowMissingColumns=True)
+    texts = cut.where(F.col("part").isNull()).select("block", "n", "numbers", "keys", "counts")
     out = S.StructType([S.StructField("key", kind), S.StructField("ids", S.ArrayType(S.IntegerType()))])
-    out_schema = _arrow(out, spark)
-    key_type = out_schema.field("key").type
-    return (
-        both.repartition("block")
-        .sortWithinPartitions("block", F.col("ids").isNull(), "row")
-        .mapInArrow(lambda it: _assemble(it, key_type, out_schema), out)
-        .withColumnRenamed("key", key)
-    )
+    out_schema = _arrow(out)
+    together = ids.groupBy("block").cogroup(texts.groupBy("block"))
+    return together.applyInArrow(lambda a, b: _assemble(a, b, out_schema), out).withColumnRenamed("key", key)
 
 
 def _decode(batches, ranks, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -300,13 +345,11 @@ def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", ranks_path
     """Rows (key, ids, bytes): the bytes of each list of ids, joined with the token table.
 
     No ids and a null list give no bytes. An id outside the table is an error."""
-    from pyspark.sql import types as S
-
     spark = encoded.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     source = encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
     out = S.StructType([*source.schema.fields, S.StructField("bytes", S.BinaryType())])
-    schema = _arrow(out, spark)
+    schema = _arrow(out)
     return source.mapInArrow(lambda it: _decode(it, ranks, schema), out).withColumnRenamed("key", key)
 
 

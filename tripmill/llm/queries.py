@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import byte_bpe, sql, token_files, url_filter
+from tripmill.llm import byte_bpe, sql, token_files, url_filter, warc
 from tripmill.sources.staging import new_folder
 
 
@@ -23,6 +23,13 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(encoded))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to WARC archives and read back."""
+    folder = new_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written in packed files and read back."""
     folder = new_folder(spark, "token-files")
@@ -36,7 +43,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_byte_bpe, op7_token_files, op8_url_filter)}
+    return {f.__name__: f for f in (op3_byte_bpe, op5_warc, op7_token_files, op8_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -20,4 +20,14 @@ SELECT u.page_id, u.host, u.path, f.rule, coalesce(f.verdict, 'allow') AS verdic
 FROM urls u LEFT JOIN fitting f ON f.n = u.n AND f.place = 1
 """
 
-SQL: dict[str, str] = {"op8_url_filter": OP8}
+OP5 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM f
+"""
+
+SQL: dict[str, str] = {"op5_warc": OP5, "op8_url_filter": OP8}

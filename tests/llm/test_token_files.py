@@ -42,6 +42,15 @@ def test_every_code_point(spark, tmp_path):
     assert found(spark, docs, f"{tmp_path}/ids") == expected(docs)
 
 
+def test_few_known_words():
+    words = token_files._Words(token_files.TOKENIZER, 3)
+    texts = ["it's we'LL don\'\'t x2 \xb5\xb2 \xe9T\xc9 a\xa0b", "'s s' \'\'s \'\'\'ve", "İx ΣσΣ é", "<|endoftext|>y \x85z\x1c"]
+    for text in texts * 2:
+        words.learn(set(text.encode().split()))
+        ids = np.frombuffer(b"".join(words.known[w] for w in text.encode().split()), "<u4").tolist()
+        assert ids == words._tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_files_are_the_same_again(spark, tmp_path):
     docs = documents(spark)
     one = token_files.write(docs, f"{tmp_path}/a", shard_bytes=50_000)

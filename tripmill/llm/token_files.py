@@ -17,6 +17,9 @@ place of every document among all ids.
 
 from __future__ import annotations
 
+import itertools
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -39,7 +42,12 @@ BLOCK = 1 << 14
 #: Bytes of text per file, about.
 SHARD_BYTES = 1 << 25
 #: Words whose ids a task remembers.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 250_000
+#: How the tokenizer file cuts text, and the same for lower-case text of code points below
+#: U+0100, where the letters and digits are these.
+LATIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_L, _N, _S = r"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+LATIN_PARTS = rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+"
 
 ENCODED = S.StructType([S.StructField("shard", S.IntegerType()), S.StructField("key", S.LongType()),
                         S.StructField("n", S.LongType()), S.StructField("packed", S.BinaryType())])
@@ -67,23 +75,66 @@ def unpack(data: bytes, n: int, bits: int) -> np.ndarray:
     return np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel()
 
 
-class _Words(dict):
+class _Words:
     """Ids of words as bytes. The tokenizer drops white space and never merges across it,
-    so a text's ids are those of its words."""
+    so a text's ids are those of its words, and each new word is encoded once.
+
+    New words of Latin letters are cut as the tokenizer would cut them, and the new parts
+    go through it together, in one call: only the last id of a part ends a word, which
+    tells the parts' ids apart. All other words go through it one by one.
+    """
 
     def __init__(self, path: str, limit: int):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self._limit = limit
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self._tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        if len(self) >= self._limit:
-            self.clear()
-        value = self[word] = np.array(ids, "<u4").tobytes()
-        return value
+        settings = json.loads(self._tokenizer.to_str())
+        self._limit, self.known, self._parts = limit, {}, {}
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        suffix = settings["model"].get("end_of_word_suffix")
+        self._ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        self._cut = re.compile(LATIN_PARTS).findall if suffix and LATIN_PATTERN in self._patterns(settings) else None
+
+    @staticmethod
+    def _patterns(settings: dict) -> list[str]:
+        steps = (settings.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        return [s["pattern"].get("Regex") for s in steps if s["type"] == "Split"]
+
+    def _alone(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        ids = np.array(self._tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        stops = np.flatnonzero(self._ends[ids]) + 1
+        if len(stops) != len(parts) or (len(stops) and stops[-1] != len(ids)):
+            self._parts.update((p, self._alone(p)) for p in parts)
+            return
+        data, stops = ids.tobytes(), (4 * stops).tolist()
+        self._parts.update((p, data[a:b]) for p, a, b in zip(parts, [0, *stops], stops))
+
+    def learn(self, words: set[bytes]) -> None:
+        """Make ``words`` known. Forgets others beyond the limit."""
+        new = words - self.known.keys()
+        if len(self.known) + len(new) > self._limit:
+            self.known.clear()
+            new = words
+        if len(self._parts) > self._limit:
+            self._parts.clear()
+        cut = {}
+        for word in new:
+            text = word.decode()
+            if self._cut and (text.isascii() or max(text) <= "\xff"):
+                cut[word] = self._cut(text.lower())
+            else:
+                self.known[word] = self._alone(text)
+        missing = {p for parts in cut.values() for p in parts} - self._parts.keys()
+        if missing:
+            self._learn_parts(list(missing))
+        find = self._parts.__getitem__
+        for word, parts in cut.items():
+            self.known[word] = find(parts[0]) if len(parts) == 1 else b"".join(map(find, parts))
 
 
 _words: dict[str, _Words] = {}
@@ -92,7 +143,7 @@ _words: dict[str, _Words] = {}
 def _encode(batches, path: str, end: bytes, bits: int, bounds: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     if path not in _words:
         _words[path] = _Words(path, KNOWN_WORDS)
-    known = _words[path].__getitem__
+    words = _words[path]
     for batch in batches:
         for piece in T.pieces(batch, "text"):
             data, offsets = T.raw(piece.column("text"))
@@ -101,8 +152,11 @@ def _encode(batches, path: str, end: bytes, bits: int, bounds: np.ndarray, schem
             shard = np.searchsorted(bounds, keys.fill_null(0).to_numpy(), side="right").astype(np.int32)
             shard[keys.is_null().to_numpy(zero_copy_only=False)] = 0
             packed, counts = [], []
-            for a, b in zip(offsets[:-1], offsets[1:]):
-                ids = np.frombuffer(b"".join([*map(known, whole[a:b].split()), end]), "<u4")
+            texts = [whole[a:b].split() for a, b in zip(offsets[:-1], offsets[1:])]
+            words.learn(set(itertools.chain.from_iterable(texts)))
+            find = words.known.__getitem__
+            for text in texts:
+                ids = np.frombuffer(b"".join([*map(find, text), end]), "<u4")
                 counts.append(len(ids))
                 packed.append(pack(ids, bits))
             columns = [pa.array(shard), keys, pa.array(counts, pa.int64()), pa.array(packed, pa.binary())]
@@ -137,8 +191,6 @@ def _write(batches, folder: str, bits: int, schema: pa.Schema) -> Iterator[pa.Re
             waiting, held = [rest], len(rest)
 
         put(MAGIC + struct.pack("<II", bits, BLOCK))
-        import itertools
-
         for batch in itertools.chain([first], batches):
             key = batch.column("key")
             keys.append(key.fill_null(0).to_numpy())

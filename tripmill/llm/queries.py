@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import byte_bpe, sql, token_files, url_filter, warc
+from tripmill.llm import byte_bpe, decontaminate, fingerprint, license_scan, sql, token_files, url_filter, warc
 from tripmill.sources.staging import new_folder
 
 
@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, beside its edited text's and the next document's."""
+    return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the rank file, and the bytes they decode to."""
     encoded = byte_bpe.encode(table(spark, sf_dir, "documents"))
@@ -30,6 +35,16 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that the sentences of every document name or grant."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents hold."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written in packed files and read back."""
     folder = new_folder(spark, "token-files")
@@ -43,7 +58,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_byte_bpe, op5_warc, op7_token_files, op8_url_filter)}
+    return {f.__name__: f for f in (op1_fingerprint, op3_byte_bpe, op5_warc, op6_decontaminate, op7_token_files, op8_url_filter, op9_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -30,4 +30,36 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM f
 """
 
-SQL: dict[str, str] = {"op5_warc": OP5, "op8_url_filter": OP8}
+
+
+def _license_scan() -> str:
+    from tripmill.llm import license_scan as ls
+
+    sentences = ", ".join(f"('{s}', {ls.NUMBER[name]})" for name, s in ls.SENTENCES.items())
+    rules = ", ".join(
+        f"({rank}, '{licence}', {len(names)}, {k}, {ls.NUMBER[name]})"
+        for rank, (licence, names) in enumerate(ls.RULES)
+        for k, name in enumerate(names)
+    )
+    return f"""
+WITH known(sentence, num) AS (VALUES {sentences}),
+rules(rank, licence, len, k, num) AS (VALUES {rules}),
+docs AS (
+  SELECT row_number() OVER () AS n, doc_id,
+         list_filter(list_transform(regexp_split_to_array(text, '{ls.ENDS}'),
+           s -> trim(regexp_replace(translate(s, '{ls.UPPER}', '{ls.LOWER}'), '{ls.NOT_IN_WORDS}', ' ', 'g'))), s -> s <> '') AS list
+  FROM documents),
+sentences AS (SELECT n, doc_id, unnest(list) AS sentence, unnest(range(len(list))) AS pos FROM docs),
+hits AS (SELECT n, doc_id, pos, num FROM sentences JOIN known USING (sentence)),
+matches AS (
+  SELECT n, doc_id, rank, licence, len, pos - k AS start FROM hits JOIN rules USING (num)
+  GROUP BY ALL HAVING count(*) = len),
+placed AS (
+  SELECT *, max(start + len) OVER (PARTITION BY n ORDER BY start, len DESC, rank
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM matches)
+SELECT doc_id, start::INT AS first_sentence, len::INT AS n_sentences, licence FROM placed
+WHERE before IS NULL OR start + len > before
+"""
+
+
+SQL: dict[str, str] = {"op5_warc": OP5, "op8_url_filter": OP8, "op9_license_scan": _license_scan()}

@@ -18,7 +18,6 @@ from __future__ import annotations
 import base64
 import itertools
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 from tripmill.llm import text as T
-from tripmill.sources.staging import new_folder
+from tripmill.llm.blocks import bucketed, buckets
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -265,16 +264,6 @@ def _arrow(schema: S.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def _bucketed(df: DataFrame, by: str, buckets: int) -> DataFrame:
-    """Written to the shared folder so that a later join by ``by`` leaves it in place."""
-    spark = df.sparkSession
-    name = f"blocks_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets, by).option("path", new_folder(spark, "bpe-blocks")).saveAsTable(name)
-    table = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")  # an external one: its files stay and the frame reads them
-    return table
-
-
 def encode(
     docs: DataFrame,
     key: str = "doc_id",
@@ -293,12 +282,12 @@ def encode(
     spark = docs.sparkSession
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = source.schema["key"].dataType
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = buckets(docs)
     blocks = _block_schema(kind)
     block_schema = _arrow(blocks)
-    cut = _bucketed(
+    cut = bucketed(
         source.mapInArrow(lambda it: _blocks(it, pattern, parts, block_distinct, block_words, block_schema), blocks),
-        "block", parts,
+        "block", "bpe-blocks",
     )
 
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))  # as large as the vocabulary

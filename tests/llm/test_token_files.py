@@ -7,6 +7,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.helpers import documents, odd_documents
 from tripmill.llm import files, token_files
+from tripmill.llm import text as T
 
 
 def expected(docs):
@@ -46,8 +47,8 @@ def test_few_known_words():
     words = token_files._Words(token_files.TOKENIZER, 3)
     texts = ["it's we'LL don\'\'t x2 \xb5\xb2 \xe9T\xc9 a\xa0b", "'s s' \'\'s \'\'\'ve", "İx ΣσΣ é", "<|endoftext|>y \x85z\x1c"]
     for text in texts * 2:
-        words.learn(set(text.encode().split()))
-        ids = np.frombuffer(b"".join(words.known[w] for w in text.encode().split()), "<u4").tolist()
+        split = text.encode().split()
+        ids = words.ids(split, max(map(max, split)) <= 0xC3)[0].tolist()
         assert ids == words._tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -94,3 +95,13 @@ def test_a_broken_write_leaves_no_file(tmp_path):
         out.write(b"half")
         raise RuntimeError
     assert [p.name for p in tmp_path.rglob("*") if p.is_file()] == []
+
+
+def test_words_that_share_a_hash(monkeypatch):
+    data = np.frombuffer(b"one two one three two", np.uint8)
+    starts, ends, _ = T.words(data, np.array([0, len(data)]))
+    for collide in (False, True):
+        if collide:
+            monkeypatch.setattr(T, "word_hashes", lambda d, s, e: np.zeros(len(s), np.uint64))
+        distinct, number = T.distinct_words(data, starts, ends)
+        assert [distinct[i] for i in number] == data.tobytes().split() and len(distinct) == 3

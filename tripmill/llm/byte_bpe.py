@@ -228,13 +228,6 @@ def _merge(batches, ranks, pattern: str, schema: pa.Schema) -> Iterator[pa.Recor
             yield _row(schema, block=row["block"], n=row["n"], lengths=_pack(lengths), numbers=row["numbers"], ids=_pack(flat))
 
 
-def _gather(values: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """values[begin:begin + length] of every run, one after another."""
-    ends = np.cumsum(length)
-    total = int(ends[-1]) if len(ends) else 0
-    return values[np.arange(total) + np.repeat(begin - (ends - length), length)]
-
-
 def _assemble(merged: pa.Table, texts: pa.Table, schema: pa.Schema) -> pa.Table:
     """Ids of the texts of one block."""
     starts = np.zeros(sum(merged.column("n").to_pylist()), np.int64)
@@ -253,7 +246,7 @@ def _assemble(merged: pa.Table, texts: pa.Table, schema: pa.Schema) -> pa.Table:
         numbers = _unpack(row["numbers"], row["n"])
         size = lengths[numbers]
         ends = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(row["counts"], dtype=np.int64)]]
-        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_gather(values, starts[numbers], size)))
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(T.gather(values, starts[numbers], size)))
         out.append(pa.RecordBatch.from_arrays([pa.array(row["keys"], schema.field(0).type), ids], schema=schema))
     return pa.Table.from_batches(out, schema=schema)
 

@@ -91,12 +91,45 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return h
 
 
+def same_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> bool:
+    """Whether every word has the bytes of the word whose number ``other`` gives for it."""
+    length = ends - starts
+    if (length != length[other]).any():
+        return False
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    lanes = np.ndarray(shape=(len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    done, more = 0, np.flatnonzero(length > 0)
+    while len(more):
+        mask = _LANE_MASK[np.minimum(length[more] - done, 8)]
+        if ((lanes[starts[more] + done] ^ lanes[starts[other[more]] + done]) & mask).any():
+            return False
+        done += 8
+        more = more[length[more] > done]
+    return True
+
+
+def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words, and for each word its number among them."""
+    _, some, number = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    whole = data.tobytes()
+    if same_words(data, starts, ends, some[number]):
+        return [whole[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())], number
+    found: dict[bytes, int] = {}  # two words share a hash
+    every = [whole[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+    number = np.array([found.setdefault(w, len(found)) for w in every], np.int64)
+    return list(found), number
+
+
 def ascii_lower(data: np.ndarray) -> np.ndarray:
     return data + (((data >= 65) & (data <= 90)) * np.uint8(32))
 
 
-def odd_numbers(seed: int, n: int) -> np.ndarray:
-    return mix(np.arange(1, n + 1, dtype=U64) * U64(0x9E3779B97F4A7C15) + U64(seed)) | U64(1)
+def gather(values: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """values[begin:begin + length] of every run, one after another."""
+    ends = np.cumsum(length)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.arange(total) + np.repeat(begin - (ends - length), length)]
 
 
 class Spans:

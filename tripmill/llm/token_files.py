@@ -41,8 +41,8 @@ MAGIC = b"TMIDS001"
 BLOCK = 1 << 14
 #: Bytes of text per file, about.
 SHARD_BYTES = 1 << 25
-#: Words whose ids a task remembers.
-KNOWN_WORDS = 250_000
+#: Parts of words whose ids a task remembers.
+KNOWN_WORDS = 200_000
 #: How the tokenizer file cuts text, and the same for lower-case text of code points below
 #: U+0100, where the letters and digits are these.
 LATIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -76,26 +76,34 @@ def unpack(data: bytes, n: int, bits: int) -> np.ndarray:
 
 
 class _Words:
-    """Ids of words as bytes. The tokenizer drops white space and never merges across it,
-    so a text's ids are those of its words, and each new word is encoded once.
+    """Ids of words. The tokenizer drops white space and never merges across it, so a
+    text's ids are those of its words.
 
-    New words of Latin letters are cut as the tokenizer would cut them, and the new parts
-    go through it together, in one call: only the last id of a part ends a word, which
-    tells the parts' ids apart. All other words go through it one by one.
+    Words of Latin letters are cut as the tokenizer would cut them; parts not seen before
+    go through its model together: only the last id of a part ends a word, which tells the
+    parts' ids apart. All other words go through the whole tokenizer one by one.
     """
 
     def __init__(self, path: str, limit: int):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         settings = json.loads(self._tokenizer.to_str())
-        self._limit, self.known, self._parts = limit, {}, {}
+        self._limit, self._parts, self._others = limit, {}, {}
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         suffix = settings["model"].get("end_of_word_suffix")
         self._ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
-        self._cut = re.compile(LATIN_PARTS).findall if suffix and LATIN_PATTERN in self._patterns(settings) else None
+        known = suffix and LATIN_PATTERN in self._patterns(settings)
+        self._cut = re.compile(LATIN_PARTS + "|\n").findall if known else None
+        # the same model for parts that are cut, in lower case and spelt in its alphabet
+        self._model = Tokenizer.from_file(path)
+        self._model.encode_special_tokens = True
+        self._model.normalizer = normalizers.Sequence([])
+        self._model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._spell = lambda part: part if part.isascii() and part.isprintable() else spell.pre_tokenize_str(part)[0][0]
 
     @staticmethod
     def _patterns(settings: dict) -> list[str]:
@@ -105,61 +113,83 @@ class _Words:
     def _alone(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn_parts(self, parts: list[str]) -> None:
-        ids = np.array(self._tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+    def _learn(self, parts: list[str]) -> None:
+        lines = [" ".join(map(self._spell, parts[i : i + 1000])) for i in range(0, len(parts), 1000)]
+        found = self._model.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.fromiter(itertools.chain.from_iterable(e.ids for e in found), np.uint32)
         stops = np.flatnonzero(self._ends[ids]) + 1
-        if len(stops) != len(parts) or (len(stops) and stops[-1] != len(ids)):
+        if len(stops) != len(parts) or stops[-1] != len(ids):
             self._parts.update((p, self._alone(p)) for p in parts)
             return
-        data, stops = ids.tobytes(), (4 * stops).tolist()
+        data, stops = ids.astype("<u4").tobytes(), (4 * stops).tolist()
         self._parts.update((p, data[a:b]) for p, a, b in zip(parts, [0, *stops], stops))
 
-    def learn(self, words: set[bytes]) -> None:
-        """Make ``words`` known. Forgets others beyond the limit."""
-        new = words - self.known.keys()
-        if len(self.known) + len(new) > self._limit:
-            self.known.clear()
-            new = words
+    def _latin(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if len(self._parts) > self._limit:
             self._parts.clear()
-        cut = {}
-        for word in new:
-            text = word.decode()
-            if self._cut and (text.isascii() or max(text) <= "\xff"):
-                cut[word] = self._cut(text.lower())
-            else:
-                self.known[word] = self._alone(text)
-        missing = {p for parts in cut.values() for p in parts} - self._parts.keys()
+        self._parts["\n"] = b""  # stands between words
+        parts = self._cut(b"\n".join(words).decode().lower())
+        found = list(map(self._parts.get, parts))
+        missing = {p for p, ids in zip(parts, found) if ids is None}
         if missing:
-            self._learn_parts(list(missing))
-        find = self._parts.__getitem__
-        for word, parts in cut.items():
-            self.known[word] = find(parts[0]) if len(parts) == 1 else b"".join(map(find, parts))
+            self._learn(list(missing))
+            found = list(map(self._parts.__getitem__, parts))
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        between = np.fromiter(map("\n".__eq__, parts), bool, len(parts))
+        return np.frombuffer(b"".join(found), "<u4"), np.diff(np.r_[0, ends[between], ends[-1]]) // 4
+
+    def ids(self, words: list[bytes], latin: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after another, and how many each has. ``latin`` promises
+        that all characters are below U+0100."""
+        if not words:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if latin and self._cut:
+            return self._latin(words)
+        # bytes above 0xC3 begin characters from U+0100 on
+        other = [i for i, w in enumerate(words) if not self._cut or max(w) > 0xC3]
+        if len(self._others) > self._limit:
+            self._others.clear()
+        for i in other:
+            if words[i] not in self._others:
+                self._others[words[i]] = self._alone(words[i].decode())
+        rest = np.ones(len(words), bool)
+        rest[other] = False
+        lists: list = [None] * len(words)
+        chosen = np.flatnonzero(rest).tolist()
+        if chosen:
+            flat, length = self._latin([words[i] for i in chosen])
+            data, stops = flat.tobytes(), (4 * np.cumsum(length)).tolist()
+            for i, a, b in zip(chosen, [0, *stops], stops):
+                lists[i] = data[a:b]
+        for i in other:
+            lists[i] = self._others[words[i]]
+        return np.frombuffer(b"".join(lists), "<u4"), np.fromiter(map(len, lists), np.int64, len(lists)) // 4
 
 
 _words: dict[str, _Words] = {}
 
 
-def _encode(batches, path: str, end: bytes, bits: int, bounds: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _encode(batches, path: str, end: int, bits: int, bounds: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     if path not in _words:
         _words[path] = _Words(path, KNOWN_WORDS)
     words = _words[path]
     for batch in batches:
         for piece in T.pieces(batch, "text"):
             data, offsets = T.raw(piece.column("text"))
-            whole = data.tobytes()
+            starts, ends, first = T.words(data, offsets)
+            distinct, number = T.distinct_words(data, starts, ends)
+            flat, length = words.ids(distinct, len(data) == 0 or data.max() <= 0xC3)
+            flat, length = np.append(flat, np.uint32(end)), np.r_[length, 1]
+            # the end of a text is one word more
+            number = np.insert(number, first[1:], len(distinct))
+            ids = T.gather(flat, (np.cumsum(length) - length)[number], length[number])
+            stops = np.r_[0, np.cumsum(length[number])[first[1:] + np.arange(len(first) - 1)]]
+            counts = np.diff(stops)
+            packed = [pack(ids[a:b], bits) for a, b in zip(stops, stops[1:])]
             keys = piece.column("key")
             shard = np.searchsorted(bounds, keys.fill_null(0).to_numpy(), side="right").astype(np.int32)
             shard[keys.is_null().to_numpy(zero_copy_only=False)] = 0
-            packed, counts = [], []
-            texts = [whole[a:b].split() for a, b in zip(offsets[:-1], offsets[1:])]
-            words.learn(set(itertools.chain.from_iterable(texts)))
-            find = words.known.__getitem__
-            for text in texts:
-                ids = np.frombuffer(b"".join([*map(find, text), end]), "<u4")
-                counts.append(len(ids))
-                packed.append(pack(ids, bits))
-            columns = [pa.array(shard), keys, pa.array(counts, pa.int64()), pa.array(packed, pa.binary())]
+            columns = [pa.array(shard), keys, pa.array(counts), pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
@@ -301,10 +331,9 @@ def write(
     rows, size = source.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
     shards = max(1, -(-(size or 0) // shard_bytes))
     bounds = files.shard_bounds(source, "key", shards, rows)
-    end = struct.pack("<I", end_id)
     encoded_schema, manifest_schema = _arrow(ENCODED), _arrow(MANIFEST)
     written = (
-        source.mapInArrow(lambda it: _encode(it, tokenizer, end, bits, bounds, encoded_schema), ENCODED)
+        source.mapInArrow(lambda it: _encode(it, tokenizer, end_id, bits, bounds, encoded_schema), ENCODED)
         .repartitionById(len(bounds) + 1, "shard")
         .sortWithinPartitions("key", "packed")
         .mapInArrow(lambda it: _write(it, folder, bits, manifest_schema), MANIFEST)

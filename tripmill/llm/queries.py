@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripmill.llm import byte_bpe, decontaminate, fingerprint, license_scan, sql, token_files, url_filter, warc
+from tripmill.llm import byte_bpe, decontaminate, fingerprint, license_scan, sql, substring_dedup, token_files, url_filter, warc
 from tripmill.sources.staging import new_folder
 
 
@@ -22,6 +23,13 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that occur elsewhere, as a digest."""
+    done = substring_dedup.cut(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.col("text").cast("binary"), 256)
+    return done.select("row.doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the rank file, and the bytes they decode to."""
     encoded = byte_bpe.encode(table(spark, sf_dir, "documents"))
@@ -58,7 +66,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprint, op3_byte_bpe, op5_warc, op6_decontaminate, op7_token_files, op8_url_filter, op9_license_scan)}
+    return {f.__name__: f for f in (op1_fingerprint, op2_substring_dedup, op3_byte_bpe, op5_warc, op6_decontaminate, op7_token_files, op8_url_filter, op9_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

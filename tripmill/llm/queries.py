@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import byte_bpe, decontaminate, fingerprint, license_scan, sql, substring_dedup, token_files, url_filter, warc
+from tripmill.llm import byte_bpe, decontaminate, fingerprint, license_scan, ngram_join, sql, substring_dedup, token_files, url_filter, warc
 from tripmill.sources.staging import new_folder
 
 
@@ -65,8 +65,13 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near copies that every document belongs to."""
+    return ngram_join.near_copies(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprint, op2_substring_dedup, op3_byte_bpe, op5_warc, op6_decontaminate, op7_token_files, op8_url_filter, op9_license_scan)}
+    return {f.__name__: f for f in (op1_fingerprint, op2_substring_dedup, op3_byte_bpe, op5_warc, op6_decontaminate, op7_token_files, op8_url_filter, op9_license_scan, op10_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:

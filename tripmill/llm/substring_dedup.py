@@ -177,7 +177,9 @@ def cut(docs: DataFrame, text: str = "text") -> DataFrame:
     layout_schema, windows_schema = _arrow(layout), _arrow(WINDOWS)
     blocks = bucketed(source.mapInArrow(lambda it: _index(it, layout_schema), layout), "block", "dedup-blocks")
 
-    repeated = blocks.select(F.explode("anchors").alias("anchor")).groupBy("anchor").count().where("count > 1").select("anchor")
+    # written, so that the joins are between plain tables, of which hot keys can be split
+    repeated = blocks.select(F.explode("anchors").alias("anchor")).groupBy("anchor").count().where("count > 1")
+    repeated = staged(repeated.select("anchor"), "dedup-repeated")
     every = blocks.select("block", F.explode(F.arrays_zip("places", "anchors", "wholes")).alias("s")).select(
         "block", F.col("s.places").alias("place"), F.col("s.anchors").alias("anchor"), F.col("s.wholes").alias("whole")
     )
@@ -190,7 +192,7 @@ def cut(docs: DataFrame, text: str = "text") -> DataFrame:
         "dedup-stretches",
     )
     # anchors with several kinds of stretch around them: where factors begin and end
-    edges = kinds.groupBy("anchor").count().where("count > 1").select("anchor")
+    edges = staged(kinds.groupBy("anchor").count().where("count > 1").select("anchor"), "dedup-edges")
     wanted = kinds.join(edges, "anchor", "left_semi").select(
         "one.block", "one.place", F.least("times", F.lit(2)).cast("int").alias("times")
     )
@@ -199,7 +201,8 @@ def cut(docs: DataFrame, text: str = "text") -> DataFrame:
         texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(lambda a, b: _windows(a, b, windows_schema), WINDOWS),
         "dedup-windows",
     )
-    again = windows.groupBy("one", "two").agg(F.sum("times").alias("n")).where("n > 1").select("one", "two")
+    again = windows.groupBy("one", "two").agg(F.sum("times").alias("n")).where("n > 1")
+    again = staged(again.select("one", "two"), "dedup-again")
     single = windows.where("times = 1").join(again, ["one", "two"], "left_semi")
     spans = single.select("block", "begin", (F.col("begin") + WINDOW).alias("end"))
     copies = shared.join(kinds.where("times > 1").select("anchor", "whole"), ["anchor", "whole"], "left_semi")

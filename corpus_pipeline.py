@@ -1,9 +1,68 @@
-"""Documents in, training ids out, through five operators."""
+"""From documents to token ids: what is worth training on, once, without the benchmark.
 
+Every stage works on all rows that its predecessor kept, which are written as Parquet in
+between. All stages but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripmill.llm import byte_bpe, decontaminate, ngram_join, quality, substring_dedup
+from tripmill.sources.staging import staged
+
+#: The whole chain can't be said in SQL: a fitted model and a tokenizer are part of it.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
+def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a model of the labels expects to be good."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    ratings = labels.select("doc_id", quality.grade().alias("grade"))
+    return quality.select(docs, quality.fit(docs, ratings))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies."""
+    return ngram_join.keep_one(docs)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words of windows that occur more than once; documents that
+    have lost all their words stay, empty. ``n_chars`` becomes the length of what is left."""
+    left = substring_dedup.remove(docs)
+    if "n_chars" not in docs.columns:
+        return left
+    kind = docs.schema["n_chars"].dataType
+    return left.withColumn("n_chars", F.length("text").cast(kind)).select(*docs.columns)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of a benchmark item."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows (doc_id, ids, n_tokens, text_sha256): ids of each document, and the digest of
+    the bytes that they decode to."""
+    decoded = byte_bpe.decode(byte_bpe.encode(docs))
+    size = F.size("ids").cast("long").alias("n_tokens")
+    return decoded.select("doc_id", "ids", size, F.sha2("bytes", 256).alias("text_sha256"))
+
+
+STAGES = [
+    ("quality", select_quality),
+    ("near_copies", drop_near_copies),
+    ("repeated_passages", cut_repeated_passages),
+    ("benchmark", drop_benchmark_leaks),
+    ("encode", encode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -1,0 +1,79 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import ODD_TEXTS, documents, odd_documents
+from tripmill.llm import quality as q
+
+
+def ratings(spark, sf):
+    return documents(spark, sf, "labels").select("doc_id", q.grade().alias("grade"))
+
+
+def test_held_out_documents(spark):
+    docs, rated = documents(spark, "sf0.1"), ratings(spark, "sf0.1")
+    train = rated.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) > 0)
+    scored = q.score(docs, q.fit(docs, train)).select("row.doc_id", "expected_grade", "tail_probability")
+    rows = scored.join(rated.join(train, "doc_id", "left_anti"), "doc_id").collect()
+    kept = {g: np.mean([r["tail_probability"] >= q.LEAST for r in rows if r["grade"] == g]) for g in (0, 1, 2)}
+    assert len(rows) > 800 and kept[2] > 0.98 and kept[0] < 0.2 and kept[1] < 0.2
+    mean = {g: np.mean([r["expected_grade"] for r in rows if r["grade"] == g]) for g in (0, 1, 2)}
+    assert mean[0] < mean[1] < mean[2]
+
+
+def test_the_same_model_again(spark):
+    docs, rated = documents(spark, "sf0.01"), ratings(spark, "sf0.01")
+    one, two = q.fit(docs, rated), q.fit(docs.repartition(7), rated.repartition(3))
+    assert np.allclose(one.weights, two.weights, atol=1e-6) and np.allclose(one.thresholds, two.thresholds, atol=1e-6)
+
+
+def test_gradient():
+    """The fitted model is near the best: no small step of a weight or threshold lowers the loss."""
+    rng = np.random.default_rng(1)
+    number, first = rng.integers(0, 12, 600), np.arange(0, 601, 3)
+    weights = np.linspace(-2, 2, 12)
+    score = np.add.reduceat(weights[number], first[:-1]) + rng.logistic(size=200)
+    mark = (score > -1).astype(int) + (score > 1)
+    model = q.fit_rows(number, first, mark, 3)
+
+    def loss(w, t):
+        p = q.Model(w, t).probabilities(q.Model(w, t).score(number, first))
+        return -np.log(p[np.arange(200), mark]).mean() + q.PENALTY / 2 * (w**2).sum()
+
+    best = loss(model.weights, model.thresholds)
+    assert model.thresholds[0] < model.thresholds[1]
+    for i in range(12):
+        for step in (-0.3, 0.3):
+            w = model.weights.copy()
+            w[i] += step
+            assert loss(w, model.thresholds) > best
+    for i in range(2):
+        for step in (-0.3, 0.3):
+            t = model.thresholds.copy()
+            t[i] += step
+            assert loss(model.weights, t) > best
+
+
+def test_odd_texts_and_columns(spark):
+    docs, rated = odd_documents(spark), ratings(spark, "sf0.001")
+    model = q.fit(documents(spark), rated)
+    scored = q.score(docs, model).collect()
+    assert len(scored) == len(ODD_TEXTS) and all(0 <= r["tail_probability"] <= 1 for r in scored)
+    assert q.select(docs, model, least=0.0).columns == docs.columns
+    assert sorted(map(str, q.select(docs, model, least=0.0).collect())) == sorted(map(str, docs.collect()))
+    assert q.select(odd_documents(spark, []), model).collect() == []
+
+
+@pytest.mark.parametrize("rows", [[], [(None, 1), (0, None), (0, 7), (999_999, 2)]])
+def test_without_ratings_all_stay(spark, rows):
+    docs = odd_documents(spark)
+    model = q.fit(docs, spark.createDataFrame(rows, "doc_id long, grade int"))
+    assert model is None and q.select(docs, model).count() == len(ODD_TEXTS)
+
+
+@pytest.mark.parametrize("grade", [0, 1, 2])
+def test_a_single_grade(spark, grade):
+    docs = odd_documents(spark, ["a b", "c d", "e f"])
+    model = q.fit(docs, spark.createDataFrame([(i, grade) for i in range(3)], "doc_id long, grade int"))
+    assert np.isfinite(model.thresholds).all()
+    assert q.select(docs, model).count() == (3 if grade == 2 else 0)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import byte_bpe, decontaminate, fingerprint, license_scan, ngram_join, sql, substring_dedup, token_files, url_filter, warc
+from tripmill.llm import byte_bpe, decontaminate, fingerprint, license_scan, ngram_join, quality, sql, substring_dedup, token_files, url_filter, warc
 from tripmill.sources.staging import new_folder
 
 
@@ -36,6 +36,15 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(encoded))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of every document, and whether it is selected."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratings = table(spark, sf_dir, "labels").select("doc_id", quality.grade().alias("grade"))
+    scored = quality.score(docs, quality.fit(docs, ratings))
+    selected = (F.col("tail_probability") >= quality.LEAST).alias("selected")
+    return scored.select("row.doc_id", "expected_grade", "tail_probability", selected)
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page, written to WARC archives and read back."""
     folder = new_folder(spark, "warc")
@@ -71,7 +80,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprint, op2_substring_dedup, op3_byte_bpe, op5_warc, op6_decontaminate, op7_token_files, op8_url_filter, op9_license_scan, op10_ngram_join)}
+    every = (
+        op1_fingerprint, op2_substring_dedup, op3_byte_bpe, op4_quality, op5_warc, op6_decontaminate, op7_token_files,
+        op8_url_filter, op9_license_scan, op10_ngram_join,
+    )
+    return {query.__name__: query for query in every}
 
 
 def oracle_sql() -> dict[str, str]:

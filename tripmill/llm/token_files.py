@@ -42,7 +42,7 @@ BLOCK = 1 << 14
 #: Bytes of text per file, about.
 SHARD_BYTES = 1 << 25
 #: Parts of words whose ids a task remembers.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 150_000
 #: How the tokenizer file cuts text, and the same for lower-case text of code points below
 #: U+0100, where the letters and digits are these.
 LATIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -55,7 +55,7 @@ MANIFEST = S.StructType([S.StructField("shard", S.IntegerType()), S.StructField(
                          S.StructField("documents", S.LongType()), S.StructField("tokens", S.LongType()),
                          S.StructField("bytes", S.LongType()), S.StructField("crc32", S.LongType())])
 READ = S.StructType([S.StructField("key", S.LongType()), S.StructField("start", S.LongType()),
-                     S.StructField("ids", S.ArrayType(S.IntegerType()))])
+                     S.StructField("ids", S.ArrayType(S.IntegerType())), S.StructField("crc32", S.LongType())])
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -290,11 +290,14 @@ def _read(batches, folder: str, schema: pa.Schema, step: int = 1 << 20) -> Itera
                     # as many documents as fit into a step, one at least
                     stop = max(done + 1, int(np.searchsorted(tokens.starts, tokens.starts[done] + step, side="right")) - 1)
                     at = tokens.starts[done : stop + 1]
-                    ids = tokens.ids(int(at[0]), int(at[-1])).astype(np.int32)
+                    ids = tokens.ids(int(at[0]), int(at[-1])).astype("<u4")
+                    data, ends = memoryview(ids.tobytes()), (4 * (at - at[0])).tolist()
+                    crc = [zlib.crc32(data[a:b]) for a, b in zip(ends, ends[1:])]
                     columns = [
                         pa.array(tokens.keys[done:stop], pa.int64(), mask=tokens.null[done:stop]),
                         pa.array(row["start"] + at[:-1], pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(at - at[0], pa.int32()), pa.array(ids)),
+                        pa.ListArray.from_arrays(pa.array(at - at[0], pa.int32()), pa.array(ids.view(np.int32))),
+                        pa.array(crc, pa.int64()),
                     ]
                     yield pa.RecordBatch.from_arrays(columns, schema=schema)
                     done = stop
@@ -347,7 +350,8 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows (key, start, ids) of every document in the files that the manifest lists."""
+    """Rows (key, start, ids, crc32) of every document in the files that the manifest
+    lists; the checksum is that of the ids as little-endian unsigned 32-bit integers."""
     folder = files.qualified(spark, folder)
     listed = manifest(spark, folder)
     # one row per file: small enough for one task
@@ -358,22 +362,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     return placed.repartitionById(n, "shard").mapInArrow(lambda it: _read(it, folder, schema), READ)
 
 
-DIGEST = S.StructType([S.StructField("doc_id", S.LongType()), S.StructField("start", S.LongType()),
-                       S.StructField("n_tokens", S.LongType()), S.StructField("ids_crc32", S.LongType())])
-
-
-def _digest(batches, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column("ids")
-        lengths = ids.value_lengths().to_numpy().astype(np.int64)
-        data = memoryview(ids.flatten().to_numpy().astype("<u4").tobytes())
-        ends = 4 * np.cumsum(lengths)
-        crc = [zlib.crc32(data[a:b]) for a, b in zip(ends - 4 * lengths, ends)]
-        columns = [batch.column("key"), batch.column("start"), pa.array(lengths), pa.array(crc, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-
 def digests(read_back: DataFrame) -> DataFrame:
     """Rows (doc_id, start, n_tokens, ids_crc32) of documents read back."""
-    schema = _arrow(DIGEST)
-    return read_back.mapInArrow(lambda it: _digest(it, schema), DIGEST)
+    n = F.size("ids").cast("long")
+    return read_back.select(F.col("key").alias("doc_id"), "start", n.alias("n_tokens"), F.col("crc32").alias("ids_crc32"))

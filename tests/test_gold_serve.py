@@ -4,6 +4,7 @@ from collections import defaultdict
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import bronze
 from tripmill.operators import gold, profile, quality, serve
@@ -84,6 +85,13 @@ def test_money_sum_is_exact_and_keeps_huge_amounts(spark):
     assert tuple(cents.agg(money_sum("v").alias("s"), money_avg("v").alias("a")).first()) == (1.0, 0.1)
     huge = spark.createDataFrame([(1e17,), (2e17,), (0.5,)], "v double")
     assert huge.agg(money_sum("v")).first()[0] == 3e17
+    assert spark.createDataFrame([(0.125,)] * 8, "v double").agg(money_sum("v")).first()[0] == 1.0
+    assert spark.createDataFrame([(-0.01,), (-2e6,), (5.25,)], "v double").agg(money_sum("v")).first()[0] == -1999994.76
+    for parts in (1, 7):
+        many = spark.range(0, 100_000, 1, parts).select(F.lit(9.999e11).alias("v"))
+        assert many.agg(money_sum("v")).first()[0] == 9.999e16
+        mixed = many.unionByName(spark.range(0, 1000, 1, parts).select(F.lit(0.001).alias("v")))
+        assert mixed.agg(money_sum("v")).first()[0] == 9.999e16 + 1.0
     assert cents.filter("v > 1").agg(money_sum("v"), money_avg("v")).first()[:] == (None, None)
 
 

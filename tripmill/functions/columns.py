@@ -6,15 +6,12 @@ Everything stays valid under ANSI mode: malformed input becomes NULL through
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Amounts below this bound are summed as whole cents; above it a double no longer
-# resolves a cent anyway.
-LARGEST_AMOUNT_IN_CENTS = 1e12
-
-
 def wall_clock(name: str) -> Column:
     return F.col(name).try_cast("timestamp_ntz")
 
@@ -35,9 +32,10 @@ def decimal_number(name: str) -> Column:
 
 
 def amount(name: str) -> Column:
-    """Money as double. NaN and +Infinity are no amounts: NULL, so sums stay finite."""
+    """Money as double. NaN and infinities are no amounts: NULL like any malformed text, so
+    the row stays and sums stay finite."""
     value = decimal_number(name)
-    return F.when(value < F.lit(float("inf")), value)
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def speed_mph(miles: str = "trip_miles", seconds: str = "trip_seconds") -> Column:
@@ -55,17 +53,23 @@ def minutes(seconds: Column | str) -> Column:
 
 
 def money_sum(name: str) -> Column:
-    """Sum of a money column, the same in whatever order partial sums are merged.
+    """Sum of a money column to six decimals, the same in whatever order partial sums are
+    merged and however large the amounts are.
 
-    Amounts are added as whole cents in a bigint, which keeps the aggregate on
-    primitive buffers (decimal buffers measured 13 times slower); amounts too large
-    to hold cents are added as doubles.
+    Every amount is split into millions, whole units and millionths, which are added as
+    bigints (decimal buffers measured 13 times slower) and put together exactly. Decimals
+    beyond the sixth are rounded per amount.
     """
     value = F.col(name)
-    in_cents = F.abs(value) < F.lit(LARGEST_AMOUNT_IN_CENTS)
-    cents = F.sum(F.when(in_cents, F.floor(value * 100.0 + 0.5))) / F.lit(100.0)
-    large = F.sum(F.when(~in_cents, value))
-    return F.when(large.isNull(), cents).otherwise(F.coalesce(cents, F.lit(0.0)) + large)
+    low = F.pmod(value, F.lit(1e6))
+    units = F.floor(low)
+    parts = (
+        (F.round((value - low) / 1e6).cast("bigint"), Decimal(1_000_000)),
+        (units, Decimal(1)),
+        (F.floor((low - units) * 1e6 + 0.5), Decimal("0.000001")),
+    )
+    sums = [F.sum(part).cast("decimal(20,0)") * F.lit(scale) for part, scale in parts]
+    return (sums[0] + sums[1] + sums[2]).cast("double")
 
 
 def money_avg(name: str) -> Column:

@@ -35,12 +35,10 @@ class CopyPolicy:
 def newest_first(df: DataFrame, tie_break: tuple[str, ...] | None = None) -> list[Column]:
     """Total order of the copies of one id: newest first, nulls last.
 
-    Copies that agree on the three trip columns are ordered by ``tie_break``, or by a
-    hash of every hashable column, so that reruns choose the same copy.
+    Copies that agree on the three trip columns are ordered by ``tie_break``, and in the
+    end by a hash of every hashable column, so that reruns choose the same copy.
     """
-    order = [F.col(c).desc_nulls_last() for c in NEWEST_FIRST]
-    if tie_break is not None:
-        return order + [F.col(c).desc_nulls_last() for c in tie_break]
+    order = [F.col(c).desc_nulls_last() for c in (*NEWEST_FIRST, *(tie_break or ()))]
     return order + [row_hash(df.schema).desc()]
 
 
@@ -92,7 +90,7 @@ def ranked(
     The ids are counted first. Where those that repeat are few, only their rows are
     shuffled and all others get rank 1 on the spot; otherwise every row is shuffled by
     id. Ids with very many rows are ranked in slices. Rows without an id have no copies:
-    they get no rank and pass by the shuffle.
+    they get no rank and pass by the shuffle. The count runs when this is called.
     """
     order = newest_first(df, tie_break)
     without_id = df.filter(F.col(key).isNull()).withColumn(rank, F.lit(None).cast("bigint"))

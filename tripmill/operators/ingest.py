@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions import columns as C
@@ -41,7 +41,8 @@ def high_water_mark(existing: DataFrame, at: str = "trip_start_timestamp") -> da
 
 
 def _moment(value: datetime) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
+    # as text: a datetime literal would pass through the zones of the process and the session
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def in_period(at: str, start: date | None, end: date) -> Column:
@@ -69,18 +70,27 @@ def new_rows(
     Rows later than the stored high-water mark are new. Rows at the mark (or within
     ``lookback`` before it) are compared with the stored ones as multisets, so a group
     of equal timestamps that an earlier batch cut in two is completed, neither losing
-    nor doubling a row. Older rows are not looked at. ``batch_rows`` takes the earliest
-    rows only, ``total_rows`` caps the grown table; an empty result means no progress.
+    nor doubling a row. Rows with a malformed start have no place in time: they are taken
+    as well, less those stored already, so that they reach the quarantine. Older rows are
+    not looked at. ``batch_rows`` takes the earliest rows only, ``total_rows`` stops a table
+    from growing further; ``not_taken`` counts what is left out. An empty result means no
+    progress.
     """
+    moment = C.wall_clock(at)
+    malformed = incoming.filter(moment.isNull())
+    malformed = malformed.exceptAll(existing.filter(moment.isNull()).select(incoming.columns))
     incoming = incoming.filter(in_period(at, start, end))
     mark = high_water_mark(existing, at)
     if mark is None:
         fresh = incoming
     else:
-        moment, upper, lower = C.wall_clock(at), _moment(mark), _moment(mark - lookback)
-        stored = existing.filter(moment >= lower).select(incoming.columns)
+        upper, lower = _moment(mark), _moment(mark - lookback)
+        stored = existing.filter(moment >= lower)
+        if "trip_date" in existing.columns:  # the day, where it is a partition, spares the older folders
+            stored = stored.filter(F.col("trip_date") >= F.lit((mark - lookback).date()))
         at_boundary = incoming.filter(moment.between(lower, upper))
-        fresh = incoming.filter(moment > upper).unionByName(at_boundary.exceptAll(stored))
+        fresh = incoming.filter(moment > upper).unionByName(at_boundary.exceptAll(stored.select(incoming.columns)))
+    fresh = fresh.unionByName(malformed)
     room = batch_rows
     if total_rows is not None:
         left = max(0, total_rows - existing.count())
@@ -88,24 +98,49 @@ def new_rows(
     return fresh if room is None else _earliest(fresh, room, at, key)
 
 
+def not_taken(
+    existing: DataFrame, incoming: DataFrame, end: date, start: date | None = None, at: str = "trip_start_timestamp"
+) -> DataFrame:
+    """One row: how many incoming rows lie outside the period, how many are older than the
+    stored mark (taken only within a lookback, or stored before), and how many are not
+    older and so new, at the mark or malformed."""
+    moment, mark = C.wall_clock(at), high_water_mark(existing, at)
+    outside = F.coalesce(~in_period(at, start, end), F.lit(False))
+    older = F.lit(False) if mark is None else F.coalesce(moment < _moment(mark), F.lit(False))
+    return incoming.agg(
+        F.count_if(outside).alias("outside_period"),
+        F.count_if(~outside & older).alias("older_than_mark"),
+        F.count_if(~outside & ~older).alias("candidates"),
+    )
+
+
 def _earliest(rows: DataFrame, n: int, at: str, key: str) -> DataFrame:
-    """The ``n`` earliest rows, ordered by time, then key.
+    """The ``n`` earliest rows, ordered by time, then key; malformed times come first.
 
     Sorting all rows for a limit would send up to ``n`` rows of every task to one task.
-    Here rows are counted per moment to find the one at which ``n`` is reached; all
-    earlier rows pass through, and only those of that one moment are ordered.
+    Here the moment at which ``n`` is reached is found by counts per day, then per minute
+    of that day and so on; all earlier rows pass through, and only those of that one
+    moment are ordered.
     """
     if n == 0:
         return rows.limit(0)
-    per_moment = rows.groupBy(C.wall_clock(at).alias("moment")).count()
-    first = per_moment.orderBy("moment").limit(n)  # n moments hold at least n rows
-    upto = F.sum("count").over(Window.orderBy("moment"))
-    reached = first.withColumn("upto", upto).filter(F.col("upto") >= n).orderBy("moment").first()
-    if reached is None:
-        return rows
-    cut, still_free = _moment(reached["moment"]), n - (reached["upto"] - reached["count"])
-    at_cut = rows.filter(C.wall_clock(at) == cut).orderBy(key, C.row_hash(rows.schema)).limit(still_free)
-    return rows.filter(C.wall_clock(at) < cut).unionByName(at_cut)
+    moment = C.wall_clock(at)
+    nowhere = rows.filter(moment.isNull())
+    placed, left = rows.filter(moment.isNotNull()), n - nowhere.count()
+    if left <= 0:
+        return nowhere.orderBy(key, C.row_hash(rows.schema)).limit(n)
+    within = placed
+    for step in (moment.cast("date"), F.hour(moment) * 60 + F.minute(moment), F.second(moment), moment):
+        for value, count in sorted(tuple(r) for r in within.groupBy(step.alias("step")).count().collect()):
+            if count >= left:
+                break
+            left -= count
+        else:
+            return rows
+        cut = _moment(value) if isinstance(value, datetime) else F.lit(value)
+        within = within.filter(step == cut)
+    at_cut = within.orderBy(key, C.row_hash(rows.schema)).limit(left)
+    return nowhere.unionByName(placed.filter(moment < cut)).unionByName(at_cut)
 
 
 def appended(existing: DataFrame, incoming: DataFrame, end: date, **options) -> DataFrame:

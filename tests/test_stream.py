@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from tests.helpers import raw, rows
@@ -77,12 +79,42 @@ def test_first_seen_keeps_one_row_per_id(spark, lake):
     assert sorted(r[0] for r in out.collect()) == ["D1-0", "D2-0", "D4-0"]
 
 
+def waited(value, seconds=10):
+    """Events reach listeners a little later."""
+    for _ in range(seconds):
+        time.sleep(1)
+        if value():
+            break
+    return value()
+
+
+def test_a_repeated_batch_leaves_one_row_of_metrics(spark, lake):
+    from tripmill.sources.lake import read_metrics
+
+    M.write_bronze(raw(spark, day(1), day(2)), lake)
+    for run_id in ("a#0", "a#0", "a#1"):
+        M.run_silver(spark, lake, run_id=run_id)
+    assert read_metrics(spark, lake).count() == 2
+
+
+def test_orc_lake_takes_a_stream(spark, tmp_path):
+    lake = Lake(f"{tmp_path}/orc", format="orc")
+    land(spark, lake, day(1), day(2))
+    stream = jobs.landed_files(spark, lake.path("landing"), raw(spark).schema)
+    jobs.land_bronze(stream, lake, lake.path("checkpoints/bronze")).awaitTermination()
+    jobs.refresh_silver(spark, lake, lake.path("checkpoints/silver")).awaitTermination()
+    assert M.read_silver(spark, lake).count() == 2
+
+
 def test_daily_totals_and_late_rows(spark, lake):
     land(spark, lake, day(1), day(1, 1), day(2), day(9))
-    query, out = run(jobs.daily_revenue(typed_stream(spark, lake), "2 days"), lake, "daily")
+    dropped = jobs.DroppedRows()
+    spark.streams.addListener(dropped)
+    query, out = run(jobs.landed_totals(typed_stream(spark, lake), "2 days"), lake, "daily")
     assert sorted((r[0].day, r[1], r[2]) for r in out.collect()) == [(1, 2, 38.0), (2, 1, 19.0)]
-    assert jobs.dropped_rows(query) == 0
+    assert waited(lambda: dropped.rows(query)) == 0
     land(spark, lake, day(1, 5), day(9, 1))
-    query, out = run(jobs.daily_revenue(typed_stream(spark, lake), "2 days"), lake, "daily")
-    assert jobs.dropped_rows(query) == 1
+    query, out = run(jobs.landed_totals(typed_stream(spark, lake), "2 days"), lake, "daily")
+    assert waited(lambda: dropped.rows(query)) == 1
+    spark.streams.removeListener(dropped)
     assert out.count() == 2

@@ -14,7 +14,7 @@ from tripmill.functions.columns import speed_mph
 from tripmill.operators import gold, ingest, quality
 from tripmill.operators.dedup import CopyPolicy
 from tripmill.operators.quality import VALID, Thresholds
-from tripmill.schema import DUPLICATE_RANK, REJECT_REASON, SPEED, ContractError, require_columns
+from tripmill.schema import DUPLICATE_RANK, REJECT_REASON, SPEED, ContractError, require_columns, require_types
 from tripmill.sources import lake as L
 from tripmill.sources.lake import Lake
 from tripmill.sources.staging import staged, staging_scope
@@ -109,8 +109,10 @@ def run_silver(
     tie_break: tuple[str, ...] | None = None,
     dedup_after_validation: bool = False,
     policy: CopyPolicy = CopyPolicy(),
+    run_id: str | None = None,
 ) -> SilverRun:
     """Clean bronze into silver and quarantine, for everything or for some partitions.
+    A run that is repeated under its ``run_id`` leaves one row of metrics.
 
     The tagged rows are written once to a staging table; counts, both outputs and the
     read-back check work from it, so the shuffle by trip id runs once and a lost
@@ -124,6 +126,7 @@ def run_silver(
     with staging_scope(spark):
         rows = bronze if partitions is None else _rows_to_rank(bronze, partitions, column)
         tagged = quality.tagged(rows, limits, tie_break, dedup_after_validation, policy)
+        require_types(tagged)
         if partitions is not None:
             tagged = tagged.filter(L.among(column, partitions))
         tagged = staged(tagged, "tagged")
@@ -141,7 +144,7 @@ def run_silver(
     touched = {value for value, _ in counts} | set(partitions or [])
     _clear_stale(spark, lake, touched, counts, whole=partitions is None)
     _verify(spark, lake, bronze, touched, counts)
-    L.append_metrics(spark, lake, _metrics_row(run, lake))
+    L.append_metrics(spark, lake, _metrics_row(run, lake, run_id or uuid.uuid4().hex))
     return run
 
 
@@ -178,9 +181,9 @@ def _verify(spark: SparkSession, lake: Lake, bronze: DataFrame, touched: set, co
     L.verify_partitions(spark, lake.quarantine, quarantine_schema(bronze), rejected, column, lake.format)
 
 
-def _metrics_row(run: SilverRun, lake: Lake) -> dict:
+def _metrics_row(run: SilverRun, lake: Lake, run_id: str) -> dict:
     return {
-        "run_id": uuid.uuid4().hex,
+        "run_id": run_id,
         "finished_at": datetime.now(timezone.utc).replace(tzinfo=None),
         "bronze_rows": run.bronze_rows,
         "silver_rows": run.silver_rows,
@@ -212,23 +215,32 @@ def replay_quarantine(spark: SparkSession, lake: Lake, limits: Thresholds) -> Da
     return quality.replay(read_quarantine(spark, lake), limits)
 
 
-def run_gold(spark: SparkSession, lake: Lake) -> None:
+def run_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
+    """Write all gold tables; returns the rows of each."""
     silver = read_silver(spark, lake)
-    L.write_gold(gold.revenue_by(silver), lake.gold(REVENUE), "trip_date")
-    L.write_gold(gold.duration_by(silver), lake.gold(DURATION), "trip_date")
-    L.write_gold(gold.pickup_zones(silver), lake.gold(ZONES), F.desc("nb_trips"), "pickup_community_area")
+    return {
+        REVENUE: L.write_gold(gold.revenue_by(silver), lake.gold(REVENUE), "trip_date"),
+        DURATION: L.write_gold(gold.duration_by(silver), lake.gold(DURATION), "trip_date"),
+        ZONES: L.write_gold(
+            gold.pickup_zones(silver), lake.gold(ZONES), F.desc("nb_trips"), "pickup_community_area"
+        ),
+    }
 
 
-def refresh_gold(spark: SparkSession, lake: Lake, partitions: list[date | None]) -> None:
-    """Recompute the daily gold rows of some partitions; zones are recomputed whole."""
+def refresh_gold(spark: SparkSession, lake: Lake, partitions: list[date | None]) -> dict[str, int]:
+    """Recompute the daily gold rows of some partitions; zones are recomputed whole.
+    Returns the rows of each table."""
+    written = {}
     silver = read_silver(spark, lake)
     chosen = L.among(lake.partition, partitions)
     for table, build in ((REVENUE, gold.revenue_by), (DURATION, gold.duration_by)):
         fresh = build(silver.filter(chosen))
         stored = lake.with_partition(L.read(spark, lake.gold(table), fresh.schema))
         kept = stored.filter(~F.coalesce(L.among(lake.partition, partitions), F.lit(False)))
-        L.replace_table(kept.select(fresh.columns).unionByName(fresh), lake.gold(table), "trip_date")
-    L.write_gold(gold.pickup_zones(silver), lake.gold(ZONES), F.desc("nb_trips"), "pickup_community_area")
+        rows = kept.select(fresh.columns).unionByName(fresh)
+        written[table] = L.replace_table(rows, lake.gold(table), "trip_date")
+    by = F.desc("nb_trips"), "pickup_community_area"
+    return {**written, ZONES: L.write_gold(gold.pickup_zones(silver), lake.gold(ZONES), *by)}
 
 
 def run_all(spark: SparkSession, raw: DataFrame, lake: Lake, **silver_options) -> SilverRun:

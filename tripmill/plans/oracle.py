@@ -212,6 +212,7 @@ def sql() -> dict[str, str]:
         "incremental_append": _with(
             TRIPS, body="SELECT * FROM trips WHERE trip_start_timestamp < TIMESTAMP '1999-01-01 00:00:00'"
         ),
+        "incremental_whole": _with(TRIPS, body="SELECT * FROM trips"),
         "quality_tagged": _tagged("SELECT * FROM tagged"),
         "quality_silver": _SILVER_ROWS,
         "quality_quarantine": _QUARANTINE_ROWS,
@@ -343,11 +344,16 @@ placed AS (SELECT *, CASE WHEN first_reason = 'valid' THEN row_number() OVER (
             REVENUE,
         ),
         "revenue_csv": _silver(
-            """SELECT CAST(trip_date AS VARCHAR) AS trip_date, CAST(nb_trips AS VARCHAR) AS nb_trips FROM revenue
+            """SELECT CAST(trip_date AS VARCHAR) AS trip_date, CAST(nb_trips AS VARCHAR) AS nb_trips, total_revenue, avg_trip_total
+               FROM revenue
                WHERE trip_date BETWEEN DATE '1995-03-01' AND DATE '1996-08-31'""",
             REVENUE,
         ),
         "stored_duration": _silver("SELECT * FROM duration", DURATION),
+        "stored_revenue": _silver("SELECT * FROM revenue", REVENUE),
+        "stored_zones": _silver("SELECT * FROM zones", ZONES),
+        "stream_gold_revenue": _silver("SELECT * FROM revenue", REVENUE),
+        "stream_gold_duration": _silver("SELECT * FROM duration", DURATION),
         "stored_metrics": _with(
             *_TO_TAGGED,
             """
@@ -356,9 +362,13 @@ runs AS (SELECT 1 AS run, reject_reason FROM tagged
 totals AS (SELECT run, COUNT(*) AS bronze_rows,
     COUNT(*) FILTER (WHERE reject_reason = 'valid') AS silver_rows,
     COUNT(*) FILTER (WHERE reject_reason = 'null_trip_id') AS null_ids FROM runs GROUP BY run)""",
-            body="""SELECT bronze_rows, silver_rows, bronze_rows - silver_rows AS rejected_rows, null_ids,
-                silver_rows / CAST(bronze_rows AS DOUBLE) * CAST(100 AS DOUBLE) AS retention_rate_pct,
-                bronze_rows - LAG(bronze_rows) OVER (ORDER BY run) AS bronze_rows_change FROM totals""",
+            body="""SELECT bronze_rows, silver_rows, rejected_rows, null_ids, retention_rate_pct,
+                bronze_rows - LAG(bronze_rows) OVER (ORDER BY run) AS bronze_rows_change,
+                silver_rows - LAG(silver_rows) OVER (ORDER BY run) AS silver_rows_change,
+                rejected_rows - LAG(rejected_rows) OVER (ORDER BY run) AS rejected_rows_change,
+                retention_rate_pct - LAG(retention_rate_pct) OVER (ORDER BY run) AS retention_rate_pct_change
+              FROM (SELECT run, bronze_rows, silver_rows, bronze_rows - silver_rows AS rejected_rows, null_ids,
+                silver_rows / CAST(bronze_rows AS DOUBLE) * CAST(100 AS DOUBLE) AS retention_rate_pct FROM totals)""",
         ),
         "stored_silver": _SILVER_ROWS.replace("SELECT * FROM silver", f"SELECT *, {in_year} FROM silver"),
         "stored_quarantine": _QUARANTINE_ROWS.replace("SELECT * FROM tagged", f"SELECT *, {in_year} FROM tagged"),
@@ -369,7 +379,7 @@ totals AS (SELECT run, COUNT(*) AS bronze_rows,
         ),
         "stream_silver": _SILVER_ROWS.replace("SELECT * FROM silver", f"SELECT *, {in_year} FROM silver"),
         "stream_first_seen": _with(TRIPS, body="SELECT DISTINCT trip_id FROM trips WHERE trip_id IS NOT NULL"),
-        "stream_daily_revenue": _with(
+        "stream_landed_totals": _with(
             TRIPS,
             body=f"""SELECT trip_date, {_n("COUNT(*)")} AS nb_trips, {_money("trip_total")} AS total_revenue
               FROM trips GROUP BY trip_date

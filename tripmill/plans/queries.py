@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from tripmill.operators import dedup, enrich, gold, ingest, profile, quality, se
 from tripmill.operators.quality import Thresholds
 from tripmill.plans import medallion
 from tripmill.sources.files import read_raw_csv, write_csv
-from tripmill.sources.lake import Lake, read_metrics
+from tripmill.sources.lake import Lake, read_metrics, register_gold
 from tripmill.sources.staging import new_folder
 from tripmill.sources.trips_view import TIE_BREAK, areas, trips
 from tripmill.streaming import jobs
@@ -66,11 +66,18 @@ def ingest_csv(spark: SparkSession, folder: str) -> DataFrame:
 def incremental_append(spark: SparkSession, folder: str) -> DataFrame:
     """A table stored up to noon of a day is grown to the end of 1998."""
     rows = trips(spark, folder)
-    noon = F.lit(datetime(1996, 6, 30, 12)).cast("timestamp_ntz")
+    noon = F.lit("1996-06-30 12:00:00").cast("timestamp_ntz")
     stored = rows.filter(F.col("trip_start_timestamp") < noon)
     return ingest.appended(stored, rows, end=date(1998, 12, 31))
 
 
+def incremental_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """The same up to the last day there is, the days before the mark included."""
+    rows = trips(spark, folder)
+    noon = F.lit("1996-06-30 12:00:00").cast("timestamp_ntz")
+    return ingest.appended(rows.filter(F.col("trip_start_timestamp") < noon), rows, end=date(2100, 1, 1))
+
+
 def reconcile(spark: SparkSession, folder: str) -> DataFrame:
     rows = tagged(spark, folder)
     return quality.reconciliation(trips(spark, folder), *quality.split(rows))
@@ -125,6 +132,17 @@ def stored_duration(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(lake.gold(medallion.DURATION))
 
 
+def _stored_gold(table: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        """A gold table written from stored silver, read by its name in SQL."""
+        lake = Lake(new_folder(spark, "lake"), grain="year")
+        medallion.run_all(spark, trips(spark, folder), lake, tie_break=TIE_BREAK)
+        register_gold(spark, lake, [table])
+        return spark.sql(f"SELECT * FROM {table}")
+
+    return query
+
+
 def stored_metrics(spark: SparkSession, folder: str) -> DataFrame:
     history = medallion.metrics_history(read_metrics(spark, _stored(spark, folder)))
     return history.select(
@@ -134,6 +152,9 @@ def stored_metrics(spark: SparkSession, folder: str) -> DataFrame:
         F.col("rejection_counts")["null_trip_id"].alias("null_ids"),
         "retention_rate_pct",
         "bronze_rows_change",
+        "silver_rows_change",
+        "rejected_rows_change",
+        "retention_rate_pct_change",
     )
 
 
@@ -141,7 +162,8 @@ def revenue_csv(spark: SparkSession, folder: str) -> DataFrame:
     """The exported file of a period, read back as text."""
     path = new_folder(spark, "export")
     write_csv(serve.revenue_by_day(revenue(spark, folder), *PERIOD), path)
-    return read_raw_csv(spark, path).select("trip_date", "nb_trips")
+    text = read_raw_csv(spark, path)
+    return text.withColumns({c: F.col(c).cast("double") for c in ("total_revenue", "avg_trip_total")})
 
 
 def _landed(spark: SparkSession, folder: str) -> tuple[DataFrame, Lake]:
@@ -149,7 +171,7 @@ def _landed(spark: SparkSession, folder: str) -> tuple[DataFrame, Lake]:
     lake = Lake(new_folder(spark, "stream"), grain="year")
     rows = trips(spark, folder)
     landing = lake.path("landing")
-    rows.repartitionByRange(4, "trip_start_timestamp").write.parquet(landing)
+    rows.repartitionByRange(4, "trip_start_timestamp").write.mode("append").parquet(landing)
     return jobs.landed_files(spark, landing, rows.schema), lake
 
 
@@ -160,6 +182,23 @@ def stream_silver(spark: SparkSession, folder: str) -> DataFrame:
     return medallion.read_silver(spark, lake)
 
 
+def _streamed_gold(table: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        """Daily gold of clean trips after two arrivals, the second late on all days."""
+        lake, rows = Lake(new_folder(spark, "stream"), grain="year"), trips(spark, folder)
+        second = F.pmod(F.xxhash64(*rows.columns), F.lit(3)) == 0
+        for arrival in (~second, second):
+            rows.filter(arrival).write.mode("append").parquet(lake.path("landing"))
+            stream = jobs.landed_files(spark, lake.path("landing"), rows.schema)
+            jobs.land_bronze(stream, lake, lake.path("checkpoints/bronze")).awaitTermination()
+            jobs.refresh_silver(
+                spark, lake, lake.path("checkpoints/silver"), with_gold=True, tie_break=TIE_BREAK
+            ).awaitTermination()
+        return spark.read.parquet(lake.gold(table))
+
+    return query
+
+
 def _drained(stream: DataFrame, lake: Lake, name: str) -> DataFrame:
     """Run a stream until all landed files are through and return what it wrote."""
     query = (
@@ -179,9 +218,10 @@ def stream_first_seen(spark: SparkSession, folder: str) -> DataFrame:
     return _drained(jobs.first_seen(stream, "3650 days").select("trip_id"), lake, "first_seen")
 
 
-def stream_daily_revenue(spark: SparkSession, folder: str) -> DataFrame:
+def stream_landed_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """What landed per day, up to the day that the watermark has passed."""
     stream, lake = _landed(spark, folder)
-    return _drained(jobs.daily_revenue(stream), lake, "daily_revenue")
+    return _drained(jobs.landed_totals(stream), lake, "landed_totals")
 
 
 def all_queries() -> dict[str, Query]:
@@ -189,6 +229,7 @@ def all_queries() -> dict[str, Query]:
         "ingest_typed": typed_trips,
         "ingest_csv": ingest_csv,
         "incremental_append": incremental_append,
+        "incremental_whole": incremental_whole,
         "quality_tagged": tagged,
         "quality_silver": silver,
         "quality_quarantine": _of(tagged, quality.quarantine_of),
@@ -236,10 +277,14 @@ def all_queries() -> dict[str, Query]:
         "revenue_csv": revenue_csv,
         "stored_silver": stored_silver,
         "stored_duration": stored_duration,
+        "stored_revenue": _stored_gold(medallion.REVENUE),
+        "stored_zones": _stored_gold(medallion.ZONES),
         "stored_metrics": stored_metrics,
         "stored_quarantine": stored_quarantine,
         "stored_reconcile": stored_reconcile,
         "stream_silver": stream_silver,
         "stream_first_seen": stream_first_seen,
-        "stream_daily_revenue": stream_daily_revenue,
+        "stream_landed_totals": stream_landed_totals,
+        "stream_gold_revenue": _streamed_gold(medallion.REVENUE),
+        "stream_gold_duration": _streamed_gold(medallion.DURATION),
     }

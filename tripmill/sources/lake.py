@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,15 +110,19 @@ def subfolders(spark: SparkSession, path: str) -> set[str]:
     return {entry.getPath().getName() for entry in fs.listStatus(p) if entry.isDirectory()}
 
 
-def write_gold(df: DataFrame, path: str, *order) -> None:
-    """One sorted file: gold has one row per day or zone."""
-    df.orderBy(*order).coalesce(1).write.mode("overwrite").parquet(path)
+def write_gold(df: DataFrame, path: str, *order) -> int:
+    """One sorted file: gold has one row per day or zone. Returns the row count, seen
+    during the write."""
+    seen = Observation()
+    rows = df.orderBy(*order).coalesce(1).observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("overwrite").parquet(path)
+    return seen.get["rows"]
 
 
-def replace_table(df: DataFrame, path: str, *order) -> None:
+def replace_table(df: DataFrame, path: str, *order) -> int:
     """``write_gold`` for a result that is computed from the table it replaces."""
     with staging_scope(df.sparkSession):
-        write_gold(staged(df, "replace"), path, *order)
+        return write_gold(staged(df, "replace"), path, *order)
 
 
 def register_gold(spark: SparkSession, lake: Lake, tables: list[str]) -> None:
@@ -128,6 +132,9 @@ def register_gold(spark: SparkSession, lake: Lake, tables: list[str]) -> None:
 
 
 def append_metrics(spark: SparkSession, lake: Lake, row: dict) -> None:
+    """Add the row of a run, unless that run has one already."""
+    if not read_metrics(spark, lake).filter(F.col("run_id") == row["run_id"]).isEmpty():
+        return
     spark.createDataFrame([row], RUN_METRICS).coalesce(1).write.mode("append").parquet(lake.metrics)
 
 

@@ -6,6 +6,7 @@ executor is lost, is written once and read back. The written table also cuts lin
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,6 +16,8 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 _open_scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
+_local: dict[str, str] = {}  # by application, where the session names no folder
+_kept: list[tuple] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,13 +26,27 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="tripmill-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        application = spark.sparkContext.applicationId
+        if application not in _local:
+            _local[application] = tempfile.mkdtemp(prefix="tripmill-")
+        named = _local[application]
     return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/tripmill/{label}-{uuid.uuid4().hex}"
+    """A folder for the time of this process: what is left in it goes when that ends."""
+    path = f"{shared_dir(spark)}/tripmill/{label}-{uuid.uuid4().hex}"
+    _kept.append((spark._jvm.org.apache.hadoop.fs.Path(path), spark._jsc.hadoopConfiguration()))
+    return path
+
+
+@atexit.register
+def _delete_kept() -> None:
+    for path, configuration in _kept:
+        try:
+            path.getFileSystem(configuration).delete(path, True)
+        except Exception:  # the JVM may be gone already
+            return
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -44,8 +61,8 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 @contextmanager
 def staging_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete, at the end, every table staged inside. Outside a scope the tables stay,
-    since a returned frame still reads them."""
+    """Delete, at the end, every table staged inside. Outside a scope the tables stay until
+    the process ends, since a returned frame still reads them."""
     created: list[str] = []
     token = _open_scope.set(created)
     try:

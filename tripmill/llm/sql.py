@@ -1,5 +1,40 @@
 """SQL of the registered queries that SQL can express, for DuckDB."""
 
+OP2 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+places AS (SELECT n, words, unnest(range(greatest(len(words) - 34, 0))) AS i FROM docs),
+windows AS (SELECT n, i, array_to_string(words[i + 1:i + 35], ' ') AS t FROM places),
+repeated AS (SELECT n, i FROM (SELECT n, i, count(*) OVER (PARTITION BY t) AS times FROM windows) WHERE times > 1),
+gone AS (SELECT DISTINCT n, unnest(range(i, i + 35)) AS p FROM repeated),
+kept AS (
+  SELECT n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM (SELECT n, unnest(words) AS word, unnest(range(len(words))) AS p FROM docs) ANTI JOIN gone USING (n, p) GROUP BY n),
+removed AS (SELECT n, count(*) AS removed FROM gone GROUP BY n)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (n) LEFT JOIN removed USING (n)
+"""
+
+OP10 = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS n, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+sets AS (
+  SELECT n, doc_id, CASE WHEN len(words) >= 3
+    THEN list_distinct(list_transform(range(len(words) - 2), lambda i: array_to_string(words[i + 1:i + 3], ' ')))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS shingles FROM docs),
+shingles AS (SELECT n, len(shingles) AS size, unnest(shingles) AS s FROM sets),
+links AS (
+  SELECT a.n AS a, b.n AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.n <> b.n
+  GROUP BY a.n, b.n, a.size, b.size HAVING 100 * count(*) >= 90 * (a.size + b.size - count(*))),
+reached(n, m) AS (SELECT n, n FROM docs UNION SELECT r.n, l.b FROM reached r JOIN links l ON l.a = r.m),
+names AS (SELECT r.n, min(d.doc_id) AS component_id FROM reached r JOIN docs d ON d.n = r.m GROUP BY r.n)
+SELECT doc_id, len(shingles)::BIGINT AS n_shingles, component_id FROM sets JOIN names USING (n)
+"""
+
 OP8 = r"""
 WITH rules(host, path, verdict) AS (
   VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
@@ -47,7 +82,7 @@ rules(rank, licence, len, k, num) AS (VALUES {rules}),
 docs AS (
   SELECT row_number() OVER () AS n, doc_id,
          list_filter(list_transform(regexp_split_to_array(text, '{ls.ENDS}'),
-           s -> trim(regexp_replace(translate(s, '{ls.UPPER}', '{ls.LOWER}'), '{ls.NOT_IN_WORDS}', ' ', 'g'))), s -> s <> '') AS list
+           lambda s: trim(regexp_replace(translate(s, '{ls.UPPER}', '{ls.LOWER}'), '{ls.NOT_IN_WORDS}', ' ', 'g'))), lambda s: s <> '') AS list
   FROM documents),
 sentences AS (SELECT n, doc_id, unnest(list) AS sentence, unnest(range(len(list))) AS pos FROM docs),
 hits AS (SELECT n, doc_id, pos, num FROM sentences JOIN known USING (sentence)),
@@ -62,4 +97,10 @@ WHERE before IS NULL OR start + len > before
 """
 
 
-SQL: dict[str, str] = {"op5_warc": OP5, "op8_url_filter": OP8, "op9_license_scan": _license_scan()}
+SQL: dict[str, str] = {
+    "op2_substring_dedup": OP2,
+    "op5_warc": OP5,
+    "op8_url_filter": OP8,
+    "op9_license_scan": _license_scan(),
+    "op10_ngram_join": OP10,
+}

@@ -151,8 +151,9 @@ def test_append_completes_bronze(spark, lake):
     first, everything = raw(spark, *SAMPLE[:4]), raw(spark, *SAMPLE)
     end = date(2023, 12, 31)
     assert M.append_bronze(first, lake, end) == 4
-    assert M.append_bronze(everything, lake, end) == 4  # all but the row without a start
+    assert M.append_bronze(everything, lake, end) == 5  # also the row without a start, for the quarantine
     assert M.append_bronze(everything, lake, end) == 0
+    assert M.run_silver(spark, lake).rejection_counts["invalid_timestamp"] >= 1
 
 
 def test_month_grain_keeps_the_day(spark, tmp_path):

@@ -7,8 +7,10 @@ block number, so later joins and cogroups by block shuffle the other side only.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tripmill.sources.staging import new_folder
 
@@ -17,11 +19,29 @@ def buckets(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Texts that go to a Python process at a time while blocks are made.
+BATCH_ROWS = 1000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Fewer texts per Arrow batch for the jobs inside, which bounds the memory of both
+    processes of a task; the session's own setting comes back afterwards."""
+    before = spark.conf.get(_ROWS)
+    spark.conf.set(_ROWS, min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_ROWS, before)
+
+
 def bucketed(df: DataFrame, by: str, label: str) -> DataFrame:
     """``df`` written to the shared folder in buckets of ``by``, and read from there."""
     spark = df.sparkSession
     name = f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets(df), by).option("path", new_folder(spark, label)).saveAsTable(name)
+    with small_batches(spark):
+        df.write.bucketBy(buckets(df), by).option("path", new_folder(spark, label)).saveAsTable(name)
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # an external one: its files stay and the frame reads them
     return table

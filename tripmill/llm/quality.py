@@ -97,8 +97,8 @@ def fit_rows(number: np.ndarray, first: np.ndarray, grade: np.ndarray, grades: i
     n = len(grade)
     weights, cuts = np.zeros(1 << FEATURE_BITS), np.r_[-1.0, np.zeros(grades - 2)]
     used = np.unique(number)
-    place = np.searchsorted(used, number)
-    row = np.repeat(np.arange(n), np.diff(first))
+    place = np.searchsorted(used, number).astype(np.int32)
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(first))
     value = np.r_[np.zeros(len(used)), cuts]
     mean, square = np.zeros_like(value), np.zeros_like(value)
     for step in range(1, ROUNDS + 1):
@@ -179,7 +179,8 @@ def fit(
     starts = np.cumsum(length) - length
     order = np.lexsort((np.add.reduceat(number, starts) if len(number) else length, length, marks))
     number = T.gather(number, starts[order], length[order])
-    return fit_rows(number.astype(np.int64), np.r_[0, np.cumsum(length[order])], marks[order], grades)
+    del rows, lists
+    return fit_rows(number, np.r_[0, np.cumsum(length[order])], marks[order], grades)
 
 
 SCORES = (S.StructField("text", S.StringType()), S.StructField("expected_grade", S.DoubleType()),

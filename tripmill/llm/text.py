@@ -18,7 +18,7 @@ U64 = np.uint64
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
 #: Text bytes worked on at a time, which bounds the memory of a task (one text may be longer).
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 _LANE_MASK = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=U64)
 
 
@@ -33,6 +33,7 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
         end = max(begin + 1, int(np.searchsorted(ends, done + limit, side="right")))
         yield batch.slice(begin, end - begin)
         begin, done = end, int(ends[end - 1])
+    pa.default_memory_pool().release_unused()  # Python processes outlive their tasks
 
 
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -97,9 +97,57 @@ WHERE before IS NULL OR start + len > before
 """
 
 
+def _decontaminate() -> str:
+    from tripmill.llm import decontaminate as dc
+
+    units, slots = (", ".join(f"'{x}'" for x in some) for some in (dc.UNITS, dc.SLOTS))
+
+    def words(table: str, key: str) -> str:
+        return f"SELECT row_number() OVER () AS n, {key}, regexp_extract_all(text, '{dc.TOKEN}') AS raw FROM {table} WHERE text IS NOT NULL"
+
+    template = f"""list_transform(raw, lambda w, i: CASE WHEN substr(w, 1, 1) BETWEEN '0' AND '9' THEN '#'
+      WHEN lower(w) IN ({units}) AND i > 1 AND substr(raw[i - 1], 1, 1) BETWEEN '0' AND '9' THEN '%'
+      WHEN substr(w, 1, 1) <> lower(substr(w, 1, 1)) THEN '@' ELSE lower(w) END)"""
+    w = dc.WINDOW
+    return f"""
+WITH d AS (SELECT *, {template} AS tpl FROM ({words("documents", "doc_id")})),
+b AS (SELECT *, {template} AS tpl, len(raw) AS m FROM ({words("benchmark", "item_id")}) WHERE len(raw) >= {w}),
+bp AS (SELECT item_id, m, tpl, unnest(range(m - {w - 1})) AS q FROM b),
+bw AS (
+  SELECT item_id, m, q, tpl[q + 1:q + {w}] AS win FROM bp
+  WHERE len(list_filter(tpl[q + 1:q + {w}], lambda x: x NOT IN ({slots}))) >= {dc.LITERALS}),
+step AS (SELECT greatest(1, least({dc.RUN}, coalesce(min(m), {dc.RUN})) - {w} + 1) AS s FROM bw),
+dp AS (SELECT n, tpl, unnest(range(0, greatest(len(tpl) - {w - 1}, 0), (SELECT s FROM step))) AS p FROM d),
+dw AS (SELECT n, p, tpl[p + 1:p + {w}] AS win FROM dp),
+shifts AS (SELECT DISTINCT n, item_id, p - q AS shift FROM dw JOIN bw USING (win)),
+pairs AS (
+  SELECT s.n, s.item_id, s.shift, b.m, d.raw AS draw, d.tpl AS dtpl, b.raw AS braw, b.tpl AS btpl, unnest(range(b.m)) AS k
+  FROM shifts s JOIN d USING (n) JOIN b USING (item_id)),
+equal AS (
+  SELECT n, item_id, shift, m, k, btpl[k + 1] AS kind, lower(braw[k + 1]) AS theirs, lower(draw[shift + k + 1]) AS ours,
+         k - row_number() OVER (PARTITION BY n, item_id, shift ORDER BY k) AS run
+  FROM pairs WHERE shift + k >= 0 AND shift + k < len(dtpl) AND dtpl[shift + k + 1] = btpl[k + 1]),
+runs AS (SELECT *, count(*) OVER (PARTITION BY n, item_id, shift, run) AS length FROM equal),
+aligned AS (
+  SELECT n, item_id, shift, m, max(length) AS longest_run, count(*) AS matched_words,
+    count(DISTINCT (kind, theirs, ours)) FILTER (WHERE kind IN ({slots})) AS slots,
+    count(DISTINCT (kind, theirs)) FILTER (WHERE kind IN ({slots})) AS lefts,
+    count(DISTINCT (kind, ours)) FILTER (WHERE kind IN ({slots})) AS rights,
+    count(DISTINCT (kind, theirs, ours)) FILTER (WHERE kind IN ({slots}) AND theirs <> ours) AS changed_slots
+  FROM runs WHERE length >= {w} GROUP BY ALL),
+best AS (
+  SELECT d.doc_id, a.*, row_number() OVER (PARTITION BY d.doc_id, item_id
+                                           ORDER BY longest_run DESC, matched_words DESC, m DESC, changed_slots DESC) AS place
+  FROM aligned a JOIN d USING (n) WHERE longest_run >= least({dc.RUN}, m) AND slots = lefts AND slots = rights)
+SELECT doc_id, item_id, longest_run::INT AS longest_run, matched_words::INT AS matched_words, m::INT AS item_words,
+       changed_slots::INT AS changed_slots FROM best WHERE place = 1
+"""
+
+
 SQL: dict[str, str] = {
     "op2_substring_dedup": OP2,
     "op5_warc": OP5,
+    "op6_decontaminate": _decontaminate(),
     "op8_url_filter": OP8,
     "op9_license_scan": _license_scan(),
     "op10_ngram_join": OP10,

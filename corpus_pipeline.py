@@ -15,6 +15,10 @@ from tripmill.sources.staging import staged
 #: The whole chain can't be said in SQL: a fitted model and a tokenizer are part of it.
 ORACLE_SQL = None
 
+#: Near copies: words of a shingle and percent of shingles that two documents share. Wider
+#: than the defaults of ``ngram_join``, which are those of op10.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a model of the labels expects to be good."""
@@ -25,7 +29,7 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies."""
-    return ngram_join.keep_one(docs)
+    return ngram_join.keep_one(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

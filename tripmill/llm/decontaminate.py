@@ -1,24 +1,27 @@
-"""Benchmark passages in documents, also with other numbers, names and units.
-
-Words become templates: a number is ``#``, a unit after a number ``%``, a word that begins
-with a capital ``@``, any other word itself in lower case. Windows of ``WINDOW`` template
-words of the benchmark are joined by hash with windows of the documents, of which every
-few are enough to meet any run of ``RUN`` words. A hit says which document, which item and
-how far the two are shifted; only for those is the text looked at again: runs of equal
-words are measured, and the values in the slots of the runs must agree, that is, each value
-of the item always stands for one value of the document and the other way round.
+"""Benchmark passages in documents, also in other case or with other numbers, names and units.
+
+Words are compared in lower case, and as templates: a number is ``#``, a unit after a
+number ``%``, a word that begins with a capital ``@``, any other word itself in lower case.
+Windows of ``WINDOW`` words of the documents, as templates all and plain as many as are
+enough to meet any run, are joined by hash with those of the benchmark; an item with fewer
+words is one plain window, looked for at every place. A hit says
+which document, which item and how far the two are shifted; only for those is the text
+looked at again. A stretch of ``RUN`` words (the whole item, if shorter) is a passage if its
+words are equal, or if their templates are and the values in its slots agree, that is, each
+value of the item always stands for one value of the document and the other way round.
 
 Everything is column expressions and joins.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 WINDOW, RUN = 8, 13
-#: Words in a window that must not be slots, so that it says something.
+#: Words in a window of templates that must not be slots, so that it says something.
 LITERALS = 3
 #: Windows of the benchmark up to which they are sent to all tasks (about 40 bytes each);
 #: beyond, both sides are shuffled.
@@ -45,17 +48,85 @@ def template(words: Column) -> Column:
 
     def one(w: Column, i: Column) -> Column:
         first, low = F.substring(w, 1, 1), F.lower(w)
-        unit = low.isin(UNITS) & F.coalesce(number(F.get(words, i - 1)), F.lit(False))
+        unit = F.coalesce(number(F.get(words, i - 1)), F.lit(False)) & low.isin(UNITS)
         return F.when(number(w), "#").when(unit, "%").when(first != F.lower(first), "@").otherwise(low)
 
     return F.transform(words, one)
 
 
-def _windows(words: Column, step: int) -> Column:
-    """Hash and place of every ``step``-th window."""
-    last = F.size(words) - WINDOW
+def _windows(hashes: str, length: int | Column, kind: int | Column, step: int = 1) -> Column:
+    """Hash and place of every ``step``-th window of ``length`` words, of which the hashes
+    are given."""
+    last = F.size(hashes) - length
     places = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(step))).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.struct(F.xxhash64(F.slice(words, i + 1, WINDOW)).alias("hash"), i.alias("at")))
+    hashed = F.lit(kind)
+    return F.transform(
+        places, lambda i: F.struct(F.xxhash64(hashed, F.slice(hashes, i + 1, length)).alias("hash"), i.alias("at"))
+    )
+
+
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _lower(words: Column) -> Column:
+    return F.transform(words, lambda w: F.lower(w))
+
+
+def _is_slot(word: Column) -> Column:
+    return word["kind"].isin(*SLOTS)
+
+
+def _distinct(words: Column, *fields: str) -> Column:
+    return F.size(F.array_distinct(F.transform(words, lambda w: F.struct(*[w[f].alias(f) for f in fields]))))
+
+
+def _agrees(words: Column) -> Column:
+    """Whether each value always stands for the same."""
+    slots = F.filter(words, _is_slot)
+    both = _distinct(slots, "kind", "theirs", "ours")
+    return (_distinct(slots, "kind", "theirs") == both) & (_distinct(slots, "kind", "ours") == both)
+
+
+def _inside(words: str, m: Column, same: Callable[[Column], Column]) -> Column:
+    """Words in runs of a window or more that are the same."""
+    size = F.least(F.lit(WINDOW), m)
+    starts = F.filter(F.sequence(F.lit(0), m - size), lambda i: F.forall(F.slice(words, i + 1, size), same))
+    places = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.sequence(i, i + size - 1))))
+    return F.transform(places, lambda k: F.get(words, k))
+
+
+def _passage(words: str, m: Column) -> Column:
+    """Whether a stretch of ``RUN`` words, or of all if fewer, is equal, or has equal
+    templates with slots that agree and a window that says something."""
+    need = F.least(F.lit(RUN), m)
+
+    starts = F.sequence(F.lit(0), m - need)
+    equal = F.exists(starts, lambda i: F.forall(F.slice(words, i + 1, need), lambda w: w["equal"]))
+    alike = F.exists(starts, lambda i: F.forall(F.slice(words, i + 1, need), lambda w: w["alike"]))
+    return equal | (alike & _agrees(_inside(words, m, lambda w: w["alike"])))
+
+
+def _measured(words: str, m: Column) -> Column:
+    """Length of the longest run of words that are equal or have equal templates, and of
+    all runs of a window or more; values that differ in those."""
+
+    def same(w: Column) -> Column:
+        return w["alike"] | w["equal"]
+
+    def longer(a: Column, w: Column) -> Column:
+        now = F.when(same(w), a["now"] + 1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(a["best"], now).alias("best"))
+
+    longest = F.aggregate(words, F.struct(F.lit(0).alias("now"), F.lit(0).alias("best")), longer, lambda a: a["best"])
+    inside = _inside(words, m, same)
+    changed = F.filter(inside, lambda w: _is_slot(w) & (w["theirs"] != w["ours"]))
+    return F.struct(
+        longest.alias("longest_run"),
+        F.size(inside).alias("matched_words"),
+        m.alias("item_words"),
+        _distinct(changed, "kind", "theirs", "ours").alias("changed_slots"),
+    )
 
 
 def leaks(
@@ -67,38 +138,48 @@ def leaks(
     item_text: str = "text",
 ) -> DataFrame:
     """Rows (key, item, longest_run, matched_words, item_words, changed_slots): every item
-    of which a document has a run of ``RUN`` words (or the whole item, if shorter) with
-    slots that agree. ``changed_slots`` counts the values that differ, 0 for a plain copy.
+    of which a document has a run of ``RUN`` words (or the whole item, if shorter) that are
+    equal but for case, or with slots that agree. ``changed_slots`` counts the values that
+    differ, 0 for a plain copy.
 
     Items with fewer than ``WINDOW`` words are not looked for. Documents and items with a
     null id or text are left out; rows that share an id count as one document, with the
-    best of their runs. Empty tables give no rows; other columns are ignored. Counts the
-    benchmark when called.
+    best of their runs. Empty tables give no rows; other columns are ignored.
+    Counts the benchmark when called.
     """
-    items = benchmark.select(F.col(item).alias("item"), tokens(F.col(item_text)).alias("item_raw")).where(F.col("item").isNotNull())
-    items = items.withColumn("item_tpl", template(F.col("item_raw"))).where(F.size("item_raw") >= WINDOW)
-    items = items.withColumn("m", F.size("item_raw"))
-    windows = items.select("item", "m", "item_tpl", F.explode(_windows(F.col("item_tpl"), 1)).alias("w"))
+    items = benchmark.select(F.col(item).alias("item"), tokens(F.col(item_text)).alias("item_raw"))
+    items = items.withColumn("m", F.size("item_raw")).where(F.col("item").isNotNull() & (F.col("m") >= WINDOW))
+    items = items.withColumn("item_tpl", template(F.col("item_raw")))
+    hashed = items.select("item", "m", "item_tpl", _hashes(_lower(F.col("item_raw"))).alias("low"), _hashes(F.col("item_tpl")).alias("tpl"))
+    # windows of templates are of kind 0, plain ones of the kind of their length
+    length = F.least(F.lit(WINDOW), F.col("m"))
+    plain = hashed.select("item", "m", length.alias("kind"), F.explode(_windows("low", length, length)).alias("w"))
     literal = F.size(F.filter(F.slice("item_tpl", F.col("w.at") + 1, WINDOW), lambda w: ~w.isin(*SLOTS)))
-    windows = windows.where(literal >= LITERALS).select(F.col("w.hash").alias("hash"), "item", "m", F.col("w.at").alias("item_at"))
-    shortest, count = windows.agg(F.min("m"), F.count(F.lit(1))).first()
+    like = hashed.select("item", "m", "item_tpl", F.lit(0).alias("kind"), F.explode(_windows("tpl", WINDOW, 0)).alias("w"))
+    windows = plain.unionByName(like.where(literal >= LITERALS).drop("item_tpl"))
+    windows = windows.select(F.col("w.hash").alias("hash"), "item", "m", "kind", F.col("w.at").alias("item_at"))
+    long = F.min(F.when(F.col("m") >= WINDOW, F.col("m")))
+    count, kinds, shortest = windows.agg(F.count(F.lit(1)), F.collect_set("kind"), long).first()
+    windows = windows.drop("kind")
     if count <= BROADCAST_WINDOWS:
         windows = F.broadcast(windows)
-    step = max(1, min(RUN, shortest or RUN) - WINDOW + 1)
 
     source = docs.select(F.col(key).alias("doc"), F.col(text).alias("doc_text")).where(F.col("doc").isNotNull())
     # columns of their own, as expressions within a lambda would be worked out for every word
-    templates = source.select("doc", tokens(F.col("doc_text")).alias("raw")).select("doc", template(F.col("raw")).alias("tpl"))
-    probes = templates.select("doc", F.explode(_windows(F.col("tpl"), step)).alias("w"))
+    templates = source.select("doc", tokens(F.col("doc_text")).alias("raw"))
+    templates = templates.select("doc", _hashes(_lower(F.col("raw"))).alias("low"), _hashes(template(F.col("raw"))).alias("tpl"))
+    # no plain window of the benchmark is left out, so one in each run is enough; those of
+    # templates are all needed, as any of a run may be the only one that says something
+    step = max(1, min(RUN, shortest or RUN) - WINDOW + 1)
+    strides = {k: step if k == WINDOW else 1 for k in sorted({*kinds, WINDOW} - {0})}
+    every = [*(_windows("low", k, k, n) for k, n in strides.items()), *(_windows("tpl", WINDOW, 0, step) for k in kinds if k == 0)]
+    probes = templates.select("doc", F.explode(F.concat(*every)).alias("w"))
     probes = probes.select("doc", F.col("w.hash").alias("hash"), F.col("w.at").alias("at"))
     shifted = probes.join(windows, "hash").select("doc", "item", "m", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     # as many as one document has windows, at most
     wanted = shifted.groupBy("doc").agg(F.collect_list(F.struct("item", "m", "shift")).alias("wanted"))
 
-    # the text's hash keeps rows apart that share an id
-    found = source.join(wanted, "doc").select(
-        "doc", F.xxhash64("doc_text").alias("copy"), "wanted", tokens(F.col("doc_text")).alias("raw")
-    )
+    found = source.join(wanted, "doc").select("doc", "wanted", tokens(F.col("doc_text")).alias("raw"))
     found = found.withColumn("tpl", template(F.col("raw")))
 
     def part(words: str, c: Column) -> Column:
@@ -106,54 +187,29 @@ def leaks(
 
     beside = found.select(
         "doc",
-        "copy",
         F.explode(
-            F.transform(
-                "wanted",
-                lambda c: F.struct(
-                    c["item"].alias("item"), c["shift"].alias("shift"), part("raw", c).alias("raw"), part("tpl", c).alias("tpl")
-                ),
-            )
+            F.transform("wanted", lambda c: F.struct(c["item"].alias("item"), part("raw", c).alias("raw"), part("tpl", c).alias("tpl")))
         ).alias("c"),
-    ).select("doc", "copy", "c.*")
-    pairs = beside.join(items, "item").select(
-        "doc", "copy", "item", "shift", "m", F.posexplode(F.arrays_zip("raw", "tpl", "item_raw", "item_tpl")).alias("k", "w")
-    )
-    alignment = ["doc", "copy", "item", "shift"]
-    equal = pairs.where(F.col("w.tpl") == F.col("w.item_tpl")).select(
-        *alignment, "m", "k", F.col("w.tpl").alias("kind"), F.lower("w.item_raw").alias("theirs"), F.lower("w.raw").alias("ours")
-    )
-    # equal words that follow each other keep the same difference to their rank
-    run = F.col("k") - F.dense_rank().over(W.partitionBy(*alignment).orderBy("k"))
-    slot = F.col("kind").isin(*SLOTS)
-    runs = (
-        equal.withColumn("run", run)
-        .groupBy(*alignment, "m", "run")
-        .agg(
-            (F.max("k") - F.min("k") + 1).alias("length"),
-            F.collect_set(F.when(slot, F.struct("kind", "theirs", "ours"))).alias("slots"),
+    ).select("doc", "c.*")
+
+    def pair(k: Column) -> Column:
+        ours, theirs = F.lower(F.get("raw", k)), F.lower(F.get("item_raw", k))
+        return F.struct(
+            F.get("item_tpl", k).alias("kind"),
+            theirs.alias("theirs"),
+            ours.alias("ours"),
+            F.coalesce(F.get("tpl", k) == F.get("item_tpl", k), F.lit(False)).alias("alike"),
+            F.coalesce(ours == theirs, F.lit(False)).alias("equal"),
         )
-        .where(F.col("length") >= WINDOW)
-    )
-    aligned = runs.groupBy(*alignment, "m").agg(
-        F.max("length").alias("longest_run"),
-        F.sum("length").cast("int").alias("matched_words"),
-        F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"),
-    )
-    agreeing = aligned.where(
-        (F.col("longest_run") >= F.least(F.lit(RUN), F.col("m")))
-        & (F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["theirs"])))) == F.size("slots"))
-        & (F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["ours"])))) == F.size("slots"))
-    )
-    best = F.struct(
-        "longest_run",
-        "matched_words",
-        F.col("m").alias("item_words"),
-        F.size(F.filter("slots", lambda s: s["theirs"] != s["ours"])).alias("changed_slots"),
-    )
+
+    m = F.col("m")
+    # what a generator gives isn't worked out again for every word either
+    words = F.explode(F.array(F.transform(F.sequence(F.lit(0), m - 1), pair))).alias("words")
+    aligned = beside.join(items, "item").select("doc", "item", "m", words)
+    best = aligned.where(_passage("words", m)).select("doc", "item", _measured("words", m).alias("best"))
     return (
-        agreeing.groupBy("doc", "item")
-        .agg(F.max(best).alias("best"))
+        best.groupBy("doc", "item")
+        .agg(F.max("best").alias("best"))
         .select(F.col("doc").alias(key), F.col("item").alias(item), "best.*")
     )
 

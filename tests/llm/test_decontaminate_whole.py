@@ -44,6 +44,18 @@ def test_other_case(spark):
     assert check(spark, texts, [ITEM]) == {(i, 0) for i in range(4)}
 
 
+def test_one_edited_value_beside_a_whole_run(spark):
+    long = " ".join(f"word{chr(97 + i)}" for i in range(25))
+    item = f"Tom has 7 apples and {long} then we go on with the other part where 7 pears are left over"
+    texts = [
+        ITEM.replace("Alice", "Carol", 1),
+        item.replace("7 pears", "9 pears"),
+        ITEM.replace("Alice", "Bob"),
+        " ".join(ITEM.replace("Alice", "Carol", 1).split()[:13]),
+    ]
+    assert check(spark, texts, [ITEM, item]) >= {(0, 0), (1, 1)}
+
+
 def test_documents_with_a_run_in_any_case(spark):
     docs, benchmark = documents(spark, "sf0.1"), documents(spark, "sf0.1", "benchmark")
     runs = lambda t: {tuple(w[i : i + dc.RUN]) for w in [[x.lower() for x in words(t)]] for i in range(len(w) - dc.RUN + 1)}

@@ -101,10 +101,12 @@ def _passage(words: str, m: Column) -> Column:
     templates with slots that agree and a window that says something."""
     need = F.least(F.lit(RUN), m)
 
-    starts = F.sequence(F.lit(0), m - need)
-    equal = F.exists(starts, lambda i: F.forall(F.slice(words, i + 1, need), lambda w: w["equal"]))
-    alike = F.exists(starts, lambda i: F.forall(F.slice(words, i + 1, need), lambda w: w["alike"]))
-    return equal | (alike & _agrees(_inside(words, m, lambda w: w["alike"])))
+    def found(start: Column) -> Column:
+        stretch = F.slice(words, start + 1, need)
+        alike = (m >= WINDOW) & F.forall(stretch, lambda w: w["alike"])
+        return F.forall(stretch, lambda w: w["equal"]) | (alike & _agrees(stretch))
+
+    return F.exists(F.sequence(F.lit(0), m - need), found)
 
 
 def _measured(words: str, m: Column) -> Column:

@@ -1,5 +1,6 @@
 """Passages wherever they stand and however they are written, against a search of all shifts."""
 
+import pytest
 import regex
 
 from tests.llm import test_decontaminate as plain
@@ -56,6 +57,23 @@ def test_one_edited_value_beside_a_whole_run(spark):
     assert check(spark, texts, [ITEM, item]) >= {(0, 0), (1, 1)}
 
 
+def test_every_place_in_the_document(spark):
+    part = ITEM.split()
+    names = "Ann Bob Cid Dan Eve Fay Gus said that this was all Hal Ian Joe Kim Lee Max".split()
+    texts = ["x " * k + " ".join(p[j : j + 13]) + " y" for p in (part, names) for k in range(6) for j in range(0, len(p) - 12, 3)]
+    check_all = check(spark, texts, [ITEM, " ".join(names)])
+    assert {d for d, _ in check_all} == set(range(len(texts)))
+
+
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+def test_documents_against_all_shifts(spark, limit, monkeypatch):
+    monkeypatch.setattr(dc, "BROADCAST_WINDOWS", limit)
+    docs, benchmark = documents(spark).where("doc_id < 60"), documents(spark, table="benchmark")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    items = {r["item_id"]: r["text"] for r in benchmark.collect()}
+    assert set(found(docs, benchmark)) == {(d, i) for d, t in texts.items() for i, b in items.items() if leaks(t, b)}
+
+
 def test_documents_with_a_run_in_any_case(spark):
     docs, benchmark = documents(spark, "sf0.1"), documents(spark, "sf0.1", "benchmark")
     runs = lambda t: {tuple(w[i : i + dc.RUN]) for w in [[x.lower() for x in words(t)]] for i in range(len(w) - dc.RUN + 1)}

@@ -101,10 +101,15 @@ def _passage(words: str, m: Column) -> Column:
     templates with slots that agree and a window that says something."""
     need = F.least(F.lit(RUN), m)
 
+    def says(stretch: Column) -> Column:
+        windows = F.sequence(F.lit(0), F.greatest(need - WINDOW, F.lit(0)))
+        literal = lambda j: F.size(F.filter(F.slice(stretch, j + 1, WINDOW), lambda w: ~_is_slot(w))) >= LITERALS
+        return F.exists(windows, literal)
+
     def found(start: Column) -> Column:
         stretch = F.slice(words, start + 1, need)
         alike = (m >= WINDOW) & F.forall(stretch, lambda w: w["alike"])
-        return F.forall(stretch, lambda w: w["equal"]) | (alike & _agrees(stretch))
+        return F.forall(stretch, lambda w: w["equal"]) | (alike & _agrees(stretch) & says(stretch))
 
     return F.exists(F.sequence(F.lit(0), m - need), found)
 
@@ -174,7 +179,7 @@ def leaks(
     # templates are all needed, as any of a run may be the only one that says something
     step = max(1, min(RUN, shortest or RUN) - WINDOW + 1)
     strides = {k: step if k == WINDOW else 1 for k in sorted({*kinds, WINDOW} - {0})}
-    every = [*(_windows("low", k, k, n) for k, n in strides.items()), *(_windows("tpl", WINDOW, 0, step) for k in kinds if k == 0)]
+    every = [*(_windows("low", k, k, n) for k, n in strides.items()), *(_windows("tpl", WINDOW, 0, 1) for k in kinds if k == 0)]
     probes = templates.select("doc", F.explode(F.concat(*every)).alias("w"))
     probes = probes.select("doc", F.col("w.hash").alias("hash"), F.col("w.at").alias("at"))
     shifted = probes.join(windows, "hash").select("doc", "item", "m", (F.col("at") - F.col("item_at")).alias("shift")).distinct()

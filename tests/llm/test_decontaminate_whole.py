@@ -8,9 +8,11 @@ from tests.llm.helpers import documents, odd_documents
 from tests.llm.test_decontaminate import ITEM, bench, found
 from tripmill.llm import decontaminate as dc
 
+LETTER = rf"(?:(?![{dc.UNSPACED}])\p{{L}})"
+
 
 def words(text):
-    return regex.findall(dc.TOKEN, text or "")
+    return regex.findall(rf"{LETTER}+|\p{{L}}|[0-9]+(?:[.,][0-9]+)*", text or "")
 
 
 def agrees(slots):
@@ -65,6 +67,12 @@ def test_every_place_in_the_document(spark):
     assert {d for d, _ in check_all} == set(range(len(texts)))
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    items = ["What is the capital of France?", "日本で一番高い山は富士山ですか", "ประเทศไทยมีเมืองหลวงชื่ออะไร", "水は何度で沸騰する", "7"]
+    texts = ["Quiz: what is the capital of FRANCE, please", "What is the capital of Spain?", *[f"前{i}後" for i in items[1:4]], "富士山は高い", "a 7.", "77"]
+    assert check(spark, texts, items) == {(0, 0), (2, 1), (3, 2), (4, 3), (6, 4)}
+
+
 @pytest.mark.parametrize("limit", [0, 1_000_000])
 def test_documents_against_all_shifts(spark, limit, monkeypatch):
     monkeypatch.setattr(dc, "BROADCAST_WINDOWS", limit)

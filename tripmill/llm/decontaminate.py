@@ -27,6 +27,13 @@ LITERALS = 3
 #: beyond, both sides are shuffled.
 BROADCAST_WINDOWS = 1_000_000
 TOKEN = r"\p{L}+|[0-9]+(?:[.,][0-9]+)*"
+#: Blocks of scripts that put no spaces between words (Thai to Khmer, Tai, kana, Han).
+UNSPACED = (
+    "\u0e00-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff"
+)
+#: As TOKEN, which the SQL has, but each letter of those scripts is a word.
+WORD = rf"[\p{{L}}&&[{UNSPACED}]]|[\p{{L}}&&[^{UNSPACED}]]+|[0-9]+(?:[.,][0-9]+)*"
 # Words that are units when they follow a number.
 UNITS = (
     "mm cm m km in ft yd mi mile miles inch inches foot feet yard yards meter meters metre metres g kg mg t lb lbs oz gram"
@@ -39,7 +46,7 @@ SLOTS = ("#", "%", "@")
 
 def tokens(text: Column) -> Column:
     """Words and numbers of a text; none for null."""
-    return F.coalesce(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), F.array().cast("array<string>"))
+    return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
 def template(words: Column) -> Column:
@@ -149,13 +156,14 @@ def leaks(
     equal but for case, or with slots that agree. ``changed_slots`` counts the values that
     differ, 0 for a plain copy.
 
-    Items with fewer than ``WINDOW`` words are not looked for. Documents and items with a
-    null id or text are left out; rows that share an id count as one document, with the
-    best of their runs. Empty tables give no rows; other columns are ignored.
+    Items with fewer than ``WINDOW`` words are found where all their words are equal, as
+    with other values they would say too little. Documents and items with a null id or text
+    are left out, and items without a word; rows that share an id count as one document,
+    with the best of their runs. Empty tables give no rows; other columns are ignored.
     Counts the benchmark when called.
     """
     items = benchmark.select(F.col(item).alias("item"), tokens(F.col(item_text)).alias("item_raw"))
-    items = items.withColumn("m", F.size("item_raw")).where(F.col("item").isNotNull() & (F.col("m") >= WINDOW))
+    items = items.withColumn("m", F.size("item_raw")).where(F.col("item").isNotNull() & (F.col("m") > 0))
     items = items.withColumn("item_tpl", template(F.col("item_raw")))
     hashed = items.select("item", "m", "item_tpl", _hashes(_lower(F.col("item_raw"))).alias("low"), _hashes(F.col("item_tpl")).alias("tpl"))
     # windows of templates are of kind 0, plain ones of the kind of their length

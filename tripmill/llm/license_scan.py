@@ -1,8 +1,11 @@
 """Licences in texts, by their sentences.
 
-A text is cut into sentences, and each normalised sentence that is known is replaced by
-its number. A rule is a sequence of numbers; it matches where its sentences follow each
-other without another sentence between them. Of matches that lie within a longer one, or
+A text is cut into pieces at line ends and marks. As sentences are wrapped, and marks stand
+in versions and abbreviations too, a known sentence may be one piece or any number of
+pieces that follow each other, the longest where several begin; an opening such as "this
+software is" is passed over. Each known sentence is replaced by its number, and a rule is a
+sequence of numbers; it matches where its sentences follow each other without another piece
+between them. Of matches that lie within a longer one, or
 that are equally long at the same place, the longer and then the earlier rule stays.
 Rows are scanned on their own: nothing is shuffled, and the tables of sentences and rules
 are constants.
@@ -10,11 +13,13 @@ are constants.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A sentence ends at a line's end, or at a mark that white space or the end follows.
+#: A piece ends at a line's end, or at a mark that white space or the end follows.
 ENDS = r"[.!?;:]+[ \t\r\f]+|\n+"
 NOT_IN_WORDS = r"[^a-z0-9]+"
 
@@ -98,39 +103,97 @@ RULES = (
 NUMBER = {name: i + 1 for i, name in enumerate(SENTENCES)}
 
 
+# Openings of sentences that name the work.
+WORKS = "software|work|project|program|code|source code|library|package|module|file|application|tool|repository|document|data|dataset"
+OPENING = rf"^(?:this|the) (?:{WORKS}) (?:is|are) (?=(?:released|licensed) )"
+OPENED = rf"^(?:this|the)(?: (?:source|(?:{WORKS})(?: (?:is|are))?))?$"
+KNOWN = {s: NUMBER[name] for name, s in SENTENCES.items()}
+KNOWN |= {re.sub(OPENING, "", s): n for s, n in KNOWN.items()}
+#: Words that a known sentence, with or without an opening, can begin with.
+BEGINS = "^(?:" + "|".join(sorted({s.split()[0] for s in KNOWN} | {"this", "the"})) + ")(?: |$)"
+LONGEST = max(len(s.split()) for s in KNOWN) + 5
+
+
 def normalised(sentence: Column) -> Column:
     """Lower case (A-Z) with one space between words and numbers."""
     return F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), NOT_IN_WORDS, " "))
 
 
-def sentence_numbers(text: Column) -> Column:
-    """Number of each sentence of a text in order, 0 for unknown ones. Sentences without a
-    word are left out."""
-    table = F.create_map(*[F.lit(x) for name, s in SENTENCES.items() for x in (s, NUMBER[name])])
-    words = F.transform(F.split(text, ENDS), normalised)
-    return F.transform(F.filter(words, lambda s: s != ""), lambda s: F.coalesce(F.element_at(table, s), F.lit(0)))
+def pieces(text: Column) -> Column:
+    """Normalised pieces of a text in order; those without a word are left out."""
+    return F.filter(F.transform(F.split(text, ENDS), normalised), lambda s: s != "")
+
+
+def _begun(words: Column) -> Column:
+    """Whether words are the first of a known sentence, or of an opening."""
+    every = F.lit("|" + " |".join(KNOWN) + " ")
+    after = F.regexp_replace(words, OPENING, "")
+    return words.rlike(BEGINS) & (words.rlike(OPENED) | (F.instr(every, F.concat(F.lit("|"), after, F.lit(" "))) > 0))
+
+
+def sentences(words: str) -> Column:
+    """Number, first piece and count of pieces of each sentence of an array of pieces, in
+    order; a piece that is part of none has number 0."""
+    table = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
+    none = F.struct(F.lit(0).alias("number"), F.lit(0).alias("pieces"), F.lit("").alias("so_far"), F.lit(True).alias("on"))
+
+    def longer(a: Column, w: Column, i: Column) -> Column:
+        joined = F.when(i == 0, w).otherwise(F.concat(a["so_far"], F.lit(" "), w))
+        number = F.element_at(table, F.regexp_replace(joined, OPENING, ""))
+        known = F.coalesce(number, F.lit(0))
+        return F.struct(
+            F.when(known > 0, known).otherwise(a["number"]).alias("number"),
+            F.when(known > 0, i + 1).otherwise(a["pieces"]).alias("pieces"),
+            joined.alias("so_far"),
+            _begun(joined).alias("on"),
+        )
+
+    def longest(i: Column) -> Column:
+        following = F.transform(F.slice(words, i + 1, LONGEST), lambda w, k: F.struct(w.alias("w"), k.alias("k")))
+        return F.aggregate(
+            following,
+            none,
+            lambda a, x: F.when(a["on"], longer(a, x["w"], x["k"])).otherwise(a),
+            lambda a: F.struct(a["number"].alias("number"), a["pieces"].alias("pieces")),
+        )
+
+    return F.transform(
+        words,
+        lambda w, i: F.when(_begun(w), longest(i)).otherwise(F.struct(F.lit(0).alias("number"), F.lit(0).alias("pieces"))),
+    )
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (key, first_sentence, n_sentences, licence) of every match, counted from 0.
+    """Rows (key, first_sentence, n_sentences, licence) of every match, in pieces of the
+    text counted from 0.
 
     Null and empty texts and texts without a known sentence give no row. Rows of the table
     are scanned one by one, so repeated rows repeat their matches and null keys stay null.
     """
-    numbered = docs.select(F.col(key).alias("_key"), sentence_numbers(F.col(text)).alias("_numbers"))
-    known = numbered.where(F.exists("_numbers", lambda n: n > 0))
+    cut = docs.select(F.col(key).alias("_key"), pieces(F.col(text)).alias("_pieces")).where(F.exists("_pieces", _begun))
+    # what a generator gives isn't worked out again for every piece
+    found_at = cut.select("_key", F.explode(F.array(sentences("_pieces"))).alias("_at"))
+    known = found_at.where(F.exists("_at", lambda a: a["number"] > 0))
 
     def matches(rank: int, licence: str, names: tuple[str, ...]) -> Column:
-        sequence = F.array(*[F.lit(NUMBER[n]) for n in names])
-        # places where the rule's first sentence stands
-        places = F.filter(
-            F.transform("_numbers", lambda n, i: F.when(n == NUMBER[names[0]], i)), lambda i: i.isNotNull()
+        # end of the rule's sentences from each place on, as far as they follow each other
+        def end(i: Column, name: str) -> Column:
+            at = F.get("_at", i)
+            return F.when(at["number"] == NUMBER[name], i + at["pieces"])
+
+        def then(ends: Column, name: str) -> Column:
+            return F.transform(ends, lambda m: F.struct(m["start"].alias("start"), end(m["end"], name).alias("end")))
+
+        first = F.filter(
+            F.transform("_at", lambda a, i: F.when(a["number"] == NUMBER[names[0]], i)), lambda i: i.isNotNull()
         )
-        whole = F.filter(places, lambda i: F.slice("_numbers", i + 1, len(names)) == sequence)
+        ends = F.transform(first, lambda i: F.struct(i.alias("start"), end(i, names[0]).alias("end")))
+        for name in names[1:]:
+            ends = then(ends, name)
         return F.transform(
-            whole,
-            lambda i: F.struct(
-                i.alias("start"), (-F.lit(len(names))).alias("size"), F.lit(rank).alias("rank"), F.lit(licence).alias("licence")
+            F.filter(ends, lambda m: m["end"].isNotNull()),
+            lambda m: F.struct(
+                m["start"].alias("start"), (m["start"] - m["end"]).alias("size"), F.lit(rank).alias("rank"), F.lit(licence).alias("licence")
             ),
         )
 

@@ -90,3 +90,11 @@ def test_documents_with_a_run_in_any_case(spark):
     got = {d for d, _ in found(docs, benchmark)}
     print(len(verbatim), len(got))
     assert verbatim and verbatim <= got
+
+
+def test_rows_go_whatever_their_ids(spark):
+    rows = [(None, ITEM), (None, "clean words"), (1, ITEM), (1, "other clean words"), (2, ITEM), (3, None), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = dc.clean(docs, bench(spark, ITEM))
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in docs.collect() if r["text"] != ITEM)

@@ -20,6 +20,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmill.sources.staging import staged
+
 WINDOW, RUN = 8, 13
 #: Words in a window of templates that must not be slots, so that it says something.
 LITERALS = 3
@@ -229,7 +231,9 @@ def leaks(
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **names) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item. Rows without an id stay."""
-    found = leaks(docs, benchmark, key, **names).select(F.col(key).alias("_leaking")).distinct()
-    return docs.join(found, docs[key] == found["_leaking"], "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark item, whatever their ids. Writes
+    ``docs`` once, as the rows are numbered."""
+    numbered = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "decontaminate-rows")
+    found = leaks(numbered, benchmark, "_row", **names).select("_row").distinct()
+    return numbered.join(found, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -12,7 +12,7 @@ SF = f"{TEST_DATA}/sf0.001"
 
 def test_all_are_registered():
     assert set(queries.queries()) | {"pipeline"} <= set(entry_module.queries())
-    assert {int(name[2:].split("_")[0]) for name in queries.queries()} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in queries.queries()} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("key", list(sql.SQL))

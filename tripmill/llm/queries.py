@@ -10,7 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import byte_bpe, decontaminate, fingerprint, license_scan, ngram_join, quality, sql, substring_dedup, token_files, url_filter, warc
+from tripmill.llm import (
+    byte_bpe, conversations, decontaminate, fingerprint, license_scan, merkle, ngram_join, quality, sharding, sql, substring_dedup,
+    token_files, url_filter, warc,
+)
 from tripmill.sources.staging import new_folder
 
 
@@ -79,10 +82,26 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the Merkle tree of all, and whether it was tampered with."""
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, with shards of even bytes."""
+    return sharding.documents(table(spark, sf_dir, "documents"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    turns, lost = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.report(turns, gone=lost)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_fingerprint, op2_substring_dedup, op3_byte_bpe, op4_quality, op5_warc, op6_decontaminate, op7_token_files,
-        op8_url_filter, op9_license_scan, op10_ngram_join,
+        op8_url_filter, op9_license_scan, op10_ngram_join, op11_merkle, op12_sharding, op13_conversations,
     )
     return {query.__name__: query for query in every}
 

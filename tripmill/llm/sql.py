@@ -66,6 +66,88 @@ FROM f
 """
 
 
+def _crc32(blob: str) -> str:
+    """The unsigned CRC of a blob, byte by byte and bit by bit."""
+    return f"""xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex({blob}), '..'), lambda b: ('0x' || b)::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda d, e: xor(d >> 1, 3988292384 * (d & 1)))), 4294967295)"""
+
+
+def _merkle(levels: int = 6) -> str:
+    """``levels`` suffice for 16 ** levels documents of a source, and as many sources."""
+    from tripmill.llm import merkle
+
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def leaf(changed: str) -> str:
+        values = [f"({changed if c == 'text' else c})::VARCHAR" for c in merkle.COLUMNS]
+        return "sha256(" + " || ".join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values) + ")"
+
+    def tree(name: str, leaves: str) -> str:
+        """Levels of nodes (grp, i, n, d): in every group with more than one, runs of 16 join."""
+        steps = [f"{name}0 AS (SELECT grp, i, count(*) OVER (PARTITION BY grp) AS n, d FROM {leaves})"]
+        for k in range(1, levels + 1):
+            steps.append(f"""{name}{k} AS (
+  SELECT grp, i // 16 AS i, ceil(any_value(n) / 16)::BIGINT AS n, sha256(string_agg(d, '' ORDER BY i)) AS d
+  FROM {name}{k - 1} WHERE n > 1 GROUP BY grp, i // 16)""")
+        union = " UNION ALL ".join(f"SELECT grp, d FROM {name}{k} WHERE n = 1" for k in range(levels + 1))
+        steps.append(f"{name}_tops AS ({union})")
+        return ",\n".join(steps)
+
+    def climb(name: str, start: str, from_: str) -> str:
+        """From rows (r, grp, i, folded, proof), level by level, with the siblings of each."""
+        steps = [f"{from_}0 AS ({start})"]
+        for k in range(levels):
+            steps.append(f"""{from_}{k + 1} AS (
+  SELECT r, grp, i // 16 AS i, sha256(l || folded || h) AS folded, proof || l || h AS proof FROM (
+    SELECT c.r, c.grp, c.i, c.folded, c.proof,
+           coalesce(string_agg(s.d, '' ORDER BY s.i) FILTER (WHERE s.i < c.i), '') AS l,
+           coalesce(string_agg(s.d, '' ORDER BY s.i) FILTER (WHERE s.i > c.i), '') AS h
+    FROM {from_}{k} c JOIN {name}{k} s ON s.grp = c.grp AND s.i // 16 = c.i // 16 AND s.n > 1 GROUP BY ALL)
+  UNION ALL SELECT c.* FROM {from_}{k} c WHERE NOT EXISTS (SELECT 1 FROM {name}{k} s WHERE s.grp = c.grp AND s.n > 1))""")
+        return ",\n".join(steps)
+
+    first_up = climb("a", "SELECT r, grp, i, folded, '' AS proof FROM leaves", "up")
+    second_up = climb("b", f"SELECT r, 1 AS grp, p.i, folded, proof FROM up{levels} u JOIN names p ON p.grp = u.grp", "over")
+    return f"""
+WITH docs AS (
+  SELECT *, row_number() OVER () AS r, coalesce('=' || source, '') AS grp, {leaf("text")} AS d,
+         {_crc32("encode(doc_id::VARCHAR)")} % 5 = 0 AS hit, {leaf(f"translate(text, '{upper}', '{lower}')")} AS altered FROM documents),
+leaves AS (
+  SELECT r, doc_id, grp, d, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, d, r) - 1 AS i,
+         CASE WHEN hit THEN altered ELSE d END AS folded FROM docs),
+{tree("a", "leaves")},
+names AS (SELECT grp, d, row_number() OVER (ORDER BY encode(grp)) - 1 AS i FROM a_tops),
+{tree("b", "(SELECT 1 AS grp, i, d FROM names)")},
+{first_up},
+{second_up}
+SELECT doc_id, leaves.d AS leaf, a_tops.d AS subroot, b_tops.d AS root, sha256(o.proof) AS proof_sha256,
+       o.folded AS folded_root, o.folded = b_tops.d AS verified, leaves.i AS place
+FROM leaves JOIN a_tops ON a_tops.grp = leaves.grp JOIN b_tops ON true JOIN over{levels} o ON o.r = leaves.r
+"""
+
+
+def _sharding() -> str:
+    from tripmill.llm import sharding as sh
+
+    n, whole = sh.SHARDS, sh.WHOLE
+    return f"""
+WITH docs AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+sized AS (
+  SELECT doc_id, (octet_length(b) + 1)::BIGINT AS size, {_crc32("b")} AS text_crc32,
+         ('0x' || substr(sha256(b), 1, 15))::BIGINT AS g, row_number() OVER () AS r FROM docs),
+sums AS (
+  SELECT *, sum(size) OVER (ORDER BY g, doc_id NULLS FIRST, r ROWS UNBOUNDED PRECEDING) - size AS before,
+         sum(size) OVER (PARTITION BY g) AS together, sum(size) OVER () AS total, max(size) OVER () AS largest FROM sized),
+spans AS (SELECT *, min(before) OVER (PARTITION BY g) AS first, together <= greatest(largest, total // {n * whole}) AS kept FROM sums),
+placed AS (
+  SELECT *, ((2 * CASE WHEN kept THEN first ELSE before END + CASE WHEN kept THEN together ELSE size END) * {n} // (2 * total))::INT AS shard
+  FROM spans)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY g, doc_id NULLS FIRST, r) - 1 AS slot, NULL::INT AS grown_shard
+FROM placed
+"""
+
 
 def _license_scan() -> str:
     from tripmill.llm import license_scan as ls
@@ -151,4 +233,6 @@ SQL: dict[str, str] = {
     "op8_url_filter": OP8,
     "op9_license_scan": _license_scan(),
     "op10_ngram_join": OP10,
+    "op11_merkle": _merkle(),
+    "op12_sharding": _sharding(),
 }

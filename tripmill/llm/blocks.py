@@ -36,6 +36,16 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_ROWS, before)
 
 
+#: Rows of a file, about, where a table of slim rows is written.
+ROWS_PER_FILE = 50_000
+
+
+def few_files(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in as many partitions as ``rows`` slim rows need, however many the shuffle before
+    has: a small table isn't scattered over hundreds of tiny files."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
+
+
 def bucketed(df: DataFrame, by: str, label: str) -> DataFrame:
     """``df`` written to the shared folder in buckets of ``by``, and read from there."""
     spark = df.sparkSession

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmill.llm.blocks import few_files
 from tripmill.sources.staging import staged
 
 FAN_OUT = 16
@@ -94,12 +95,14 @@ def ranked(rows: DataFrame, order: list[str]) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("grp", "slice").orderBy(*order))
     placed = cut.withColumn("place", place).join(shifts, ["grp", "slice"])
     lo = F.col("before") + F.col("place") - 1
-    return staged(placed.withColumns({"lo": lo, "hi": lo + 1}).drop("before", "place", "slice"), "merkle-ranks")
+    placed = placed.withColumns({"lo": lo, "hi": lo + 1}).drop("before", "place", "slice")
+    return staged(few_files(placed, cut.count()), "merkle-ranks")
 
 
 def tree(leaves: DataFrame, fan_out: int = FAN_OUT) -> Tree:
     """All levels over ``leaves`` (grp, lo, hi, n, digest), as many as the largest group needs."""
-    levels, most = [leaves], leaves.agg(F.max("n")).first()[0] or 0
+    levels = [leaves]
+    rows, groups, most = leaves.agg(F.count(F.lit(1)), F.count_if(F.col("lo") == 0), F.coalesce(F.max("n"), F.lit(0))).first()
     while fan_out ** (len(levels) - 1) < most:
         level = len(levels)
         below = levels[-1].where(F.col("n") > F.lit(fan_out ** (level - 1)))
@@ -109,7 +112,8 @@ def tree(leaves: DataFrame, fan_out: int = FAN_OUT) -> Tree:
             F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("n").alias("n"), run.alias("run")
         )
         digest = _parent_digest(_joined(F.col("run")))
-        levels.append(staged(nodes.drop("bucket").withColumn("digest", digest), "merkle-level"))
+        nodes = nodes.drop("bucket").withColumn("digest", digest)
+        levels.append(staged(few_files(nodes, rows // fan_out**level + groups), "merkle-level"))
     return Tree(levels, fan_out)
 
 
@@ -197,6 +201,7 @@ def manifest(
     leaves = ranked(staged(leaves, "merkle-leaves"), ["key", "digest", "row"])
     made = tree(leaves, fan_out)
     subroots = made.tops().select("grp", F.col("digest").alias("subroot"))
+    n_groups = subroots.count()
 
     over = subroots.select(F.lit("").alias("grp"), F.col("grp").alias("name"), F.col("subroot").alias("digest"))
     over = tree(ranked(over, ["name"]), fan_out)
@@ -204,7 +209,7 @@ def manifest(
     step = F.struct(F.lit(b"").alias("left"), F.lit(b"").alias("right"))
     ends = roots.withColumn("up", F.filter(F.array(step), lambda _: F.lit(False)))
     tops = paths(over, ends).select(F.col("name").alias("grp"), "root", "up", F.col("digest").alias("subroot"))
-    tops = staged(tops, "merkle-tops")
+    tops = staged(few_files(tops, n_groups), "merkle-tops")
 
     placed = paths(made, tops).select(
         F.col("key").alias(key), F.col("group").alias(group), "lo", "hi", F.col("digest").alias("leaf"), "subroot", "root", "up",

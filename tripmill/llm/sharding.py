@@ -24,6 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmill.llm.blocks import few_files
 from tripmill.sources.staging import staged
 
 SHARDS = 16
@@ -191,7 +192,8 @@ def shards(
     # the middle in doubled bytes; a decimal, since the product may exceed a bigint
     middle = (2 * at + wide).cast("decimal(20,0)") * F.lit(n_shards).cast("decimal(10,0)")
     shard = F.floor(middle / F.lit(2 * n_bytes).cast("decimal(20,0)")).cast("int")
-    placed = staged(placed.select("payload", "g", "k", "row", "range", shard.alias("shard")), "shard-places")
+    placed = placed.select("payload", "g", "k", "row", "range", shard.alias("shard"))
+    placed = staged(few_files(placed, n_rows), "shard-places")
 
     counts = placed.groupBy("shard", "range").agg(F.count(F.lit(1)).alias("n"))  # shards + ranges rows at most
     earlier = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,0 +1,199 @@
+"""What incremental runs read: the index of ids, the log of appends, partial sums."""
+
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import raw, rows
+from tests.test_lake import SAMPLE, day
+from tripmill.functions.columns import amount, money_sum
+from tripmill.operators import gold, sketches
+from tripmill.operators.quality import Thresholds
+from tripmill.plans import medallion as M
+from tripmill.sources import appends, trip_index
+from tripmill.sources import lake as L
+from tripmill.sources.lake import Lake
+from tripmill.streaming import jobs
+
+
+@pytest.fixture
+def lake(tmp_path):
+    return Lake(str(tmp_path / "lake"))
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def bronze_scans(text: str) -> list[str]:
+    """Scans of whole rows, which the index doesn't have."""
+    return [line for line in text.splitlines() if "FileScan" in line and "trip_start_timestamp" in line]
+
+
+def test_index_finds_partitions_of_copies(spark, lake):
+    M.write_bronze(raw(spark, *SAMPLE), lake)
+    bronze = M.read_bronze(spark, lake)
+    trip_index.ensure(spark, lake, bronze)
+    index = trip_index.read(spark, lake)
+    changed = bronze.filter("trip_date = date'2023-10-03'")
+    assert set(M.affected_partitions(index, changed, "trip_date")) == {date(2023, 10, 1), date(2023, 10, 3)}
+    assert set(M.affected_partitions(bronze, changed, "trip_date")) == {date(2023, 10, 1), date(2023, 10, 3)}
+    trip_index.append(spark, lake, changed, "one")
+    trip_index.append(spark, lake, changed, "one")  # the same batch again
+    assert len(L.subfolders(spark, lake.index)) == 2
+    assert rows(trip_index.read(spark, lake).distinct()) == rows(index.distinct())
+
+
+def test_many_batches_are_put_together(spark, lake, monkeypatch):
+    monkeypatch.setattr(trip_index, "MOST_BATCHES", 2)
+    M.write_bronze(raw(spark, *SAMPLE), lake)
+    bronze = M.read_bronze(spark, lake)
+    trip_index.rebuild(spark, lake, bronze)
+    for name in "abc":
+        trip_index.append(spark, lake, bronze, name)
+        assert len(L.subfolders(spark, lake.index)) <= 2
+    pairs = trip_index.read(spark, lake)
+    assert pairs.distinct().count() == 8 and pairs.count() <= 16
+
+
+def test_incremental_rows_come_from_affected_days_and_the_index(spark, lake):
+    M.write_bronze(raw(spark, *SAMPLE), lake)
+    bronze = M.read_bronze(spark, lake)
+    trip_index.ensure(spark, lake, bronze)
+    days = [date(2023, 10, 3)]
+    text = plan(M._rows_to_rank(bronze, days, "trip_date", trip_index.read(spark, lake)))
+    read = bronze_scans(text)
+    assert read and all("PartitionFilters: [" in line and "trip_date" in line.split("PartitionFilters: [")[1].split("]")[0] for line in read)
+    assert not any("PartitionFilters: []" in line for line in read)
+    assert "2023-10-02" not in text and "2023-10-04" not in text  # days without copies aren't named at all
+
+
+def test_no_other_day_is_read_without_copies(spark, lake):
+    M.write_bronze(raw(spark, *SAMPLE), lake)
+    trip_index.ensure(spark, lake, M.read_bronze(spark, lake))
+    text = plan(M._rows_to_rank(M.read_bronze(spark, lake), [date(2023, 10, 2)], "trip_date", trip_index.read(spark, lake)))
+    assert len(bronze_scans(text)) == 1 and "Join" not in text
+
+
+def test_mark_comes_from_the_log(spark, lake, monkeypatch):
+    end = date(2023, 12, 31)
+    assert M.append_bronze(raw(spark, *SAMPLE[:4]), lake, end) == 4
+    monkeypatch.setattr(M.ingest, "high_water_mark", lambda *_: pytest.fail("bronze was searched"))
+    assert M.append_bronze(raw(spark, *SAMPLE), lake, end) == 5
+    assert M.append_bronze(raw(spark, *SAMPLE), lake, end) == 0
+    marks = [r["mark"] for r in appends.log(spark, lake).filter("done and rows > 0").orderBy("at").collect()]
+    assert marks == ["2023-10-02 10:00:00", "2023-10-04 10:00:00"]
+
+
+def test_log_that_is_gone_or_open_is_made_from_the_last_partition(spark, lake, monkeypatch):
+    end = date(2023, 12, 31)
+    M.append_bronze(raw(spark, *SAMPLE), lake, end)
+    read = []
+    search = M.ingest.high_water_mark
+    monkeypatch.setattr(appends.ingest, "high_water_mark", lambda df, at: read.append(plan(df)) or search(df, at))
+    L.delete(spark, lake.append_log)
+    assert M.append_bronze(raw(spark, *SAMPLE, day(9)), lake, end) == 1
+    assert len(read) == 1 and "2023-10-04" in read[0]  # rows without a start have no mark
+    appends.begin(spark, lake)  # an append that was stopped
+    assert M.append_bronze(raw(spark, *SAMPLE, day(9), day(10)), lake, end) == 1
+    assert len(read) == 2 and M.read_bronze(spark, lake).count() == len(SAMPLE) + 2
+
+
+def test_append_reads_only_partitions_that_reach_the_mark(spark, tmp_path):
+    for grain in ("day", "month", "year"):
+        lake = Lake(str(tmp_path / grain), grain=grain)
+        M.write_bronze(raw(spark, *SAMPLE), lake)
+        stored, incoming = M.read_bronze(spark, lake), raw(spark, *SAMPLE, day(5))
+        known = (appends.mark(spark, lake, stored),)
+        text = plan(M.ingest.new_rows(stored, incoming, date(2023, 12, 31), known_mark=known, partition=lake.partition))
+        read = bronze_scans(text)
+        assert len(read) == 2 and all(f"PartitionFilters: [isn" in line and lake.partition in line for line in read)
+
+
+def test_zones_are_rolled_up_from_partial_sums(spark, lake, monkeypatch):
+    M.run_all(spark, raw(spark, *SAMPLE, day(2, 5, pickup_community_area="9", trip_total="", trip_miles="7")), lake)
+    whole = rows(gold.pickup_zones(M.read_silver(spark, lake)))
+    assert rows(spark.read.parquet(lake.gold(M.ZONES))) == whole and len(whole) == 2
+    read = []
+    build = gold.zone_parts
+    monkeypatch.setattr(gold, "zone_parts", lambda df, *a: read.append(plan(df)) or build(df, *a))
+    M.run_silver(spark, lake, Thresholds(min_seconds=5000), partitions=[date(2023, 10, 2)])
+    M.refresh_gold(spark, lake, [date(2023, 10, 2)])
+    assert rows(spark.read.parquet(lake.gold(M.ZONES))) == rows(gold.pickup_zones(M.read_silver(spark, lake)))
+    assert len(read) == 1 and "2023-10-02" in read[0].replace("19632", "2023-10-02")
+
+
+def test_sketches_of_a_period_without_its_trips(spark, lake):
+    trips = [day(d, i, trip_seconds=str(60 + (37 * i + d) % 3000), trip_miles=str(i % 90)) for d in range(1, 6) for i in range(400)]
+    M.run_all(spark, raw(spark, *trips), lake)
+    M.write_sketches(spark, lake)
+    stored = M.read_sketches(spark, lake)
+    period = sketches.merged(stored, date(2023, 10, 2), date(2023, 10, 4))
+    assert "bronze" not in plan(period) and "silver" not in plan(period)
+    inside = M.read_silver(spark, lake).filter("trip_date between date'2023-10-02' and date'2023-10-04'")
+    found = sketches.percentiles(period)
+    errors = {r["measure"]: r for r in sketches.rank_errors(inside, found).collect()}
+    assert set(errors) == {"seconds", "miles", "speed"} and all(r["rank_error"] <= sketches.RANK_ERROR for r in errors.values())
+    assert errors["seconds"]["n"] == inside.count()
+    ids = sketches.distinct_ids(period).first()
+    assert ids["rows"] == inside.count() and abs(ids["distinct_trip_id"] - inside.count()) <= sketches.COUNT_ERROR * inside.count()
+    M.run_silver(spark, lake, Thresholds(min_seconds=10**6, max_seconds=10**7), partitions=[date(2023, 10, 3)])
+    M.write_sketches(spark, lake, [date(2023, 10, 3)])
+    assert {r[0] for r in M.read_sketches(spark, lake).select("trip_date").collect()} == {date(2023, 10, d) for d in (1, 2, 4, 5)}
+
+
+def test_sketches_without_values(spark):
+    schema = "trip_id string, trip_seconds bigint, trip_miles double, trip_date date"
+    none = spark.createDataFrame([(None, None, None, date(2023, 1, 1)), ("a", None, 1.0, None)], schema)
+    period = sketches.merged(sketches.by_day(none))
+    found = {r["measure"]: r for r in sketches.percentiles(period).collect()}
+    assert found["seconds"]["n"] == 0 and found["seconds"]["p50"] is None and found["miles"]["p50"] == 1.0
+    empty = sketches.merged(sketches.by_day(none.limit(0)))
+    assert [r["n"] for r in sketches.percentiles(empty).collect()] == [0, 0, 0]
+    assert sketches.distinct_ids(empty).first()["distinct_trip_id"] == 0
+
+
+def test_late_rows_are_kept_and_counted_as_rows(spark, lake):
+    on_time, late, marks = (lake.path(n) for n in ("on_time", "late", "marks"))
+
+    def arrive(*trips):
+        raw(spark, *trips).coalesce(1).write.mode("append").parquet(lake.path("landing"))
+        stream = jobs.landed_files(spark, lake.path("landing"), raw(spark).schema)
+        jobs.split_late(stream, on_time, late, marks, lake.path("ck"), timedelta(days=2)).awaitTermination()
+        read = lambda path: sorted(r["note"] for r in spark.read.schema(raw(spark).schema).parquet(path).collect())
+        return read(on_time), read(late)
+
+    first, second = ["10", "90", "91"], ["11", "12", "60"]
+    assert arrive(day(1), day(9), day(9, 1, trip_start_timestamp="nope")) == (first, [])
+    assert arrive(day(6), day(7), day(1, 1), day(1, 2)) == (sorted([*first, "70"]), second)
+    assert arrive(day(20)) == (sorted([*first, "70", "200"]), second)
+    assert arrive(day(17), day(18)) == (sorted([*first, "70", "200", "180"]), sorted([*second, "170"]))
+
+
+def test_state_expires_and_a_late_copy_comes_back(spark, lake):
+    from tests.test_stream import land, run, typed_stream
+
+    counts = []
+    for trips in ([day(1), day(9)], [day(1, note="again"), day(9, note="again")], [day(20, trip_id="D1-0"), day(9, note="third")]):
+        land(spark, lake, *trips)
+        _, out = run(jobs.first_seen(typed_stream(spark, lake), "1 day").select("trip_id"), lake, "seen")
+        counts.append(sorted(r[0] for r in out.collect()))
+    # the copy of day 1 is behind the watermark, that of day 9 a repeat; much later its id is new again
+    assert counts == [["D1-0", "D9-0"], ["D1-0", "D9-0"], ["D1-0", "D1-0", "D9-0"]]
+
+
+@pytest.mark.parametrize("large", [1e12, 1e13, 1e18, 1e24, 1e25, 1e30, 1e300])
+def test_large_amounts_never_stop_a_sum(spark, large):
+    df = spark.createDataFrame([(large,), (large,), (large,), (0.1,), (0.2,), (None,), (-5.25,)], "v double")
+    got = df.agg(money_sum("v")).first()[0]
+    assert got == pytest.approx(3 * large - 4.95, rel=1e-15)
+    assert df.filter("v < 1").agg(money_sum("v")).first()[0] == -4.95
+
+
+def test_infinite_amounts(spark):
+    values = ["Infinity", "-Infinity", "NaN", "1e400", "-1e400", "2.5", "x"]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select(amount("v").alias("v"))
+    assert [r[0] for r in df.collect()] == [None, -float("inf"), None, None, -float("inf"), 2.5, None]
+    assert df.agg(money_sum("v")).first()[0] == 2.5
+    assert df.filter("v is null").agg(money_sum("v")).first()[0] is None

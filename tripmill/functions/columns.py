@@ -32,10 +32,10 @@ def decimal_number(name: str) -> Column:
 
 
 def amount(name: str) -> Column:
-    """Money as double. NaN and infinities are no amounts: NULL like any malformed text, so
-    the row stays and sums stay finite."""
+    """Money as double. NaN and plus infinity are no amounts: NULL like any malformed text, so
+    the row stays. Minus infinity stays, as the rules reject it like any amount below zero."""
     value = decimal_number(name)
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return F.when(value < F.lit(float("inf")), value)  # NaN is the largest value
 
 
 def speed_mph(miles: str = "trip_miles", seconds: str = "trip_seconds") -> Column:
@@ -52,24 +52,43 @@ def minutes(seconds: Column | str) -> Column:
     return (F.col(seconds) if isinstance(seconds, str) else seconds) / F.lit(60.0)
 
 
-def money_sum(name: str) -> Column:
-    """Sum of a money column to six decimals, the same in whatever order partial sums are
-    merged and however large the amounts are.
+#: Amounts of this size and more are added as doubles: they have no cents to lose.
+LARGE_AMOUNT = 1e13
+
 
-    Every amount is split into millions, whole units and millionths, which are added as
-    bigints (decimal buffers measured 13 times slower) and put together exactly. Decimals
-    beyond the sixth are rounded per amount.
+def money_parts(name: str) -> dict[str, Column]:
+    """Partial sums of a money column, by name: bigints that are the same in whatever order
+    they are merged, and the sum of large amounts as double. Sums of parts are parts again.
+
+    Every amount is split into millions, whole units and millionths (decimal buffers measured
+    13 times slower). Decimals beyond the sixth are rounded per amount. The bigints hold for
+    9 * 10^11 amounts of any size below ``LARGE_AMOUNT``. Infinities and NaN are no amounts.
     """
     value = F.col(name)
-    low = F.pmod(value, F.lit(1e6))
+    large = F.abs(value) >= F.lit(LARGE_AMOUNT)
+    small = F.when(large, F.lit(0.0)).otherwise(value)
+    low = F.pmod(small, F.lit(1e6))
     units = F.floor(low)
-    parts = (
-        (F.round((value - low) / 1e6).cast("bigint"), Decimal(1_000_000)),
-        (units, Decimal(1)),
-        (F.floor((low - units) * 1e6 + 0.5), Decimal("0.000001")),
-    )
-    sums = [F.sum(part).cast("decimal(20,0)") * F.lit(scale) for part, scale in parts]
-    return (sums[0] + sums[1] + sums[2]).cast("double")
+    finite = large & (F.abs(value) < F.lit(float("inf")))
+    return {
+        f"{name}_millions": F.sum(F.round((small - low) / 1e6).cast("bigint")),
+        f"{name}_units": F.sum(units),
+        f"{name}_millionths": F.sum(F.floor((low - units) * 1e6 + 0.5)),
+        f"{name}_large": F.sum(F.when(finite, value)),
+    }
+
+
+def money_of(parts: list[Column]) -> Column:
+    """Amount that partial sums (millions, units, millionths, large) stand for, to six decimals."""
+    scales = (Decimal(1_000_000), Decimal(1), Decimal("0.000001"))
+    sums = [part.cast("decimal(20,0)") * F.lit(scale) for part, scale in zip(parts, scales)]
+    return (sums[0] + sums[1] + sums[2]).cast("double") + F.coalesce(parts[3], F.lit(0.0))
+
+
+def money_sum(name: str) -> Column:
+    """Sum of a money column to six decimals, the same in whatever order partial sums are
+    merged; see ``money_parts`` for amounts of 10^13 and more."""
+    return money_of(list(money_parts(name).values()))
 
 
 def money_avg(name: str) -> Column:

@@ -40,6 +40,12 @@ def high_water_mark(existing: DataFrame, at: str = "trip_start_timestamp") -> da
     return existing.agg(F.max(C.wall_clock(at))).first()[0]
 
 
+def _first_day(day: date, partition: str) -> Column:
+    """The partition that holds ``day``."""
+    grain = {"trip_month": "month", "trip_year": "year"}.get(partition)
+    return F.lit(day) if grain is None else F.trunc(F.lit(day), grain)
+
+
 def _moment(value: datetime) -> Column:
     # as text: a datetime literal would pass through the zones of the process and the session
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
@@ -64,6 +70,8 @@ def new_rows(
     total_rows: int | None = None,
     at: str = "trip_start_timestamp",
     key: str = "trip_id",
+    known_mark: tuple[datetime | None] | None = None,
+    partition: str | None = None,
 ) -> DataFrame:
     """Rows of ``incoming`` to append to ``existing``, up to the end of the day ``end``.
 
@@ -75,19 +83,29 @@ def new_rows(
     not looked at. ``batch_rows`` takes the earliest rows only, ``total_rows`` stops a table
     from growing further; ``not_taken`` counts what is left out. An empty result means no
     progress.
+
+    ``known_mark`` (a tuple of one) spares the search for the mark. ``partition`` names the
+    column by which ``existing`` is stored, a day or the first day of a month or year that
+    follows from ``at``: then only its partitions that reach the mark, and the one of malformed
+    starts, are read.
     """
     moment = C.wall_clock(at)
+    if partition is None and "trip_date" in existing.columns:
+        partition = "trip_date"
+    nowhere = existing.filter(moment.isNull())
+    if partition is not None:
+        nowhere = nowhere.filter(F.col(partition).isNull())
     malformed = incoming.filter(moment.isNull())
-    malformed = malformed.exceptAll(existing.filter(moment.isNull()).select(incoming.columns))
+    malformed = malformed.exceptAll(nowhere.select(incoming.columns))
     incoming = incoming.filter(in_period(at, start, end))
-    mark = high_water_mark(existing, at)
+    mark = high_water_mark(existing, at) if known_mark is None else known_mark[0]
     if mark is None:
         fresh = incoming
     else:
         upper, lower = _moment(mark), _moment(mark - lookback)
         stored = existing.filter(moment >= lower)
-        if "trip_date" in existing.columns:  # the day, where it is a partition, spares the older folders
-            stored = stored.filter(F.col("trip_date") >= F.lit((mark - lookback).date()))
+        if partition is not None:  # spares the older folders
+            stored = stored.filter(F.col(partition) >= _first_day((mark - lookback).date(), partition))
         at_boundary = incoming.filter(moment.between(lower, upper))
         fresh = incoming.filter(moment > upper).unionByName(at_boundary.exceptAll(stored.select(incoming.columns)))
     fresh = fresh.unionByName(malformed)

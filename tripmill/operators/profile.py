@@ -9,13 +9,14 @@ from tripmill.functions.columns import speed_mph_if_moving
 from tripmill.operators.ordered import measure_percentiles
 from tripmill.schema import SPEED
 
+# Percentile points, accuracy and columns of the profile.
 PROBABILITIES = (0.50, 0.90, 0.95, 0.99, 0.995, 0.999)
 ACCURACY = 10_000
 
 EXTREME_COLUMNS = ("trip_id", "trip_seconds", "trip_miles", SPEED, "trip_total")
 
 
-def _point_name(p: float) -> str:
+def point_name(p: float) -> str:
     return f"p{p * 100:g}".replace(".", "_")
 
 
@@ -34,7 +35,7 @@ def identity(df: DataFrame, approximate: bool = False) -> DataFrame:
 
 def distribution(df: DataFrame, measure: Column, unit: str, to: str = "double") -> DataFrame:
     """Exact minimum, percentiles and maximum of one measure, one row."""
-    points = {_point_name(p): p for p in PROBABILITIES}
+    points = {point_name(p): p for p in PROBABILITIES}
     found = measure_percentiles(df, {unit: measure}, points)
     names = {"minimum": f"min_{unit}", **{n: f"{n}_{unit}" for n in points}, "maximum": f"max_{unit}"}
     return found.select(*[F.col(c).cast(to).alias(name) for c, name in names.items()])
@@ -55,7 +56,7 @@ def speed(df: DataFrame) -> DataFrame:
 def distributions(df: DataFrame) -> DataFrame:
     """The three distributions exactly, from one scan, one row per measure."""
     measures = {"seconds": F.col("trip_seconds"), "miles": F.col("trip_miles"), "speed": speed_mph_if_moving()}
-    return measure_percentiles(df, measures, {_point_name(p): p for p in PROBABILITIES})
+    return measure_percentiles(df, measures, {point_name(p): p for p in PROBABILITIES})
 
 
 def summary(df: DataFrame) -> DataFrame:

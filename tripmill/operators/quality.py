@@ -12,9 +12,7 @@ from tripmill.functions.columns import speed_mph
 from tripmill.operators import dedup
 from tripmill.operators.dedup import CopyPolicy
 from tripmill.operators.ingest import typed
-from tripmill.schema import AMOUNTS, AREAS, DUPLICATE_RANK, REJECT_REASON, SPEED
-
-VALID = "valid"
+from tripmill.schema import AMOUNTS, AREAS, DUPLICATE_RANK, REJECT_REASON, SPEED, VALID
 
 
 @dataclass(frozen=True)
@@ -166,6 +164,20 @@ def reconciliation(
             for name, df in zip(names, (bronze, silver_rows, quarantine))
         ],
     )
+    return _sides(counts, by)
+
+
+def reconciliation_of(bronze: DataFrame, tagged_rows: DataFrame, by: str = "trip_date") -> DataFrame:
+    """``reconciliation`` where silver and quarantine are still one tagged frame, which is then
+    evaluated once for both."""
+    outcome = F.when(_is_valid(), "silver_rows").otherwise("quarantine_rows")
+    sides = [(bronze, F.lit("bronze_rows")), (tagged_rows, outcome)]
+    counts = reduce(DataFrame.unionByName, [df.groupBy(by, s.alias("side")).agg(F.count("*").alias("n")) for df, s in sides])
+    return _sides(counts, by)
+
+
+def _sides(counts: DataFrame, by: str) -> DataFrame:
+    names = ("bronze_rows", "silver_rows", "quarantine_rows")
     per_side = [F.coalesce(F.sum(F.when(F.col("side") == s, F.col("n"))), F.lit(0)).alias(s) for s in names]
     difference = F.col("bronze_rows") - F.col("silver_rows") - F.col("quarantine_rows")
     return counts.groupBy(by).agg(*per_side).withColumn("difference", difference)

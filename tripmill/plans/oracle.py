@@ -354,6 +354,53 @@ placed AS (SELECT *, CASE WHEN first_reason = 'valid' THEN row_number() OVER (
         "stored_zones": _silver("SELECT * FROM zones", ZONES),
         "stream_gold_revenue": _silver("SELECT * FROM revenue", REVENUE),
         "stream_gold_duration": _silver("SELECT * FROM duration", DURATION),
+        "stream_gold_zones": _silver("SELECT * FROM zones", ZONES),
+        "stream_late_rows": _with(
+            TRIPS,
+            body=f"""SELECT trip_date, {_n("COUNT(*)")} AS landed, {_n("COUNT(*) FILTER (WHERE NOT late)")} AS on_time,
+                {_n("COUNT(*) FILTER (WHERE late)")} AS late
+              FROM (SELECT trip_date, l_partkey % 3 = 0 AND trip_start_timestamp <
+                      (SELECT MAX(trip_start_timestamp) - INTERVAL 365 DAY FROM trips WHERE l_partkey % 3 <> 0) AS late FROM trips)
+              GROUP BY trip_date""",
+        ),
+        "stream_first_seen_expired": _with(
+            TRIPS,
+            RANKED,
+            """
+newest AS (SELECT trip_id, trip_start_timestamp AS t FROM ranked WHERE _duplicate_rank = 1)""",
+            body=f"""SELECT trip_id, {_n("CASE WHEN t + INTERVAL 1 DAY <= (SELECT MAX(t) - INTERVAL 1 DAY FROM newest) THEN 2 ELSE 1 END")} AS times
+              FROM newest""",
+        ),
+        "sketched_profile": _silver(
+            "\nUNION ALL\n".join(
+                f"""SELECT '{name}' AS measure, {_n("COUNT(m)")} AS n, MIN(m) AS minimum, MAX(m) AS maximum, TRUE AS within_error
+                FROM (SELECT CAST({m} AS DOUBLE) AS m FROM silver WHERE trip_date BETWEEN DATE '1995-03-01' AND DATE '1996-08-31')"""
+                for name, m in (("seconds", "trip_seconds"), ("miles", "trip_miles"), ("speed", MOVING_SPEED))
+            )
+        ),
+        "sketched_ids": _with(
+            TRIPS,
+            body=f"""SELECT {_n("COUNT(*)")} AS rows, {_n("COUNT(*) - COUNT(trip_id)")} AS null_trip_id, TRUE AS within_error
+              FROM trips WHERE trip_date BETWEEN DATE '1995-03-01' AND DATE '1996-08-31'""",
+        ),
+        "duration_approx": _silver("SELECT * FROM duration", DURATION),
+        "event_bands": _silver(
+            """SELECT event_name AS name, first_day AS start,
+                CASE WHEN first_day = last_day THEN last_day + 1 ELSE last_day END AS band_end
+              FROM calendar WHERE last_day >= (SELECT MIN(trip_date) FROM revenue) AND first_day <= (SELECT MAX(trip_date) FROM revenue)""",
+            REVENUE,
+            EVENTS,
+        ),
+        "ingest_not_taken": _with(
+            TRIPS,
+            """
+mark AS (SELECT MAX(trip_start_timestamp) AS m FROM trips WHERE trip_start_timestamp < TIMESTAMP '1996-06-30 12:00:00')""",
+            body=f"""SELECT {_n("COUNT(*) FILTER (WHERE t >= TIMESTAMP '1998-01-01')")} AS outside_period,
+                {_n("COUNT(*) FILTER (WHERE t < TIMESTAMP '1998-01-01' AND t < m)")} AS older_than_mark,
+                {_n("COUNT(*) FILTER (WHERE t IS NULL OR (t < TIMESTAMP '1998-01-01' AND t >= m))")} AS candidates
+              FROM (SELECT trip_start_timestamp AS t, m FROM trips, mark)""",
+        ),
+        "appended_bronze": _with(TRIPS, body=f"SELECT trip_date, {_n('COUNT(*)')} AS nb_trips FROM trips GROUP BY trip_date"),
         "stored_metrics": _with(
             *_TO_TAGGED,
             """

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.operators import dedup, enrich, gold, ingest, profile, quality, serve
+from tripmill.operators import dedup, enrich, gold, ingest, profile, quality, serve, sketches
 from tripmill.operators.quality import Thresholds
 from tripmill.plans import medallion
 from tripmill.sources.files import read_raw_csv, write_csv
 from tripmill.sources.lake import Lake, read_metrics, register_gold
-from tripmill.sources.staging import new_folder
+from tripmill.sources.staging import new_folder, staged
 from tripmill.sources.trips_view import TIE_BREAK, areas, trips
 from tripmill.streaming import jobs
 
@@ -79,8 +79,7 @@ def incremental_whole(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reconcile(spark: SparkSession, folder: str) -> DataFrame:
-    rows = tagged(spark, folder)
-    return quality.reconciliation(trips(spark, folder), *quality.split(rows))
+    return quality.reconciliation_of(trips(spark, folder), tagged(spark, folder))
 
 
 def kpi_cards(spark: SparkSession, folder: str) -> DataFrame:
@@ -224,6 +223,86 @@ def stream_landed_totals(spark: SparkSession, folder: str) -> DataFrame:
     return _drained(jobs.landed_totals(stream), lake, "landed_totals")
 
 
+def sketched_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Distributions of a period from stored sketches per day: exact counts and bounds, and
+    whether all percentiles keep to the stated error of their ranks."""
+    lake = Lake(new_folder(spark, "lake"), grain="year")
+    medallion.run_all(spark, trips(spark, folder), lake, tie_break=TIE_BREAK)
+    medallion.write_sketches(spark, lake)
+    found = sketches.percentiles(sketches.merged(medallion.read_sketches(spark, lake), *PERIOD))
+    inside = medallion.read_silver(spark, lake).filter(F.col("trip_date").between(*map(F.lit, PERIOD)))
+    errors = sketches.rank_errors(inside, found)
+    return errors.select("measure", "n", "minimum", "maximum", (F.col("rank_error") <= sketches.RANK_ERROR).alias("within_error"))
+
+
+def sketched_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct ids of a period of raw trips from sketches per day, and whether the count keeps
+    to the stated error."""
+    rows = typed_trips(spark, folder)
+    stored = staged(sketches.by_day(rows), "sketches")
+    found = sketches.distinct_ids(sketches.merged(stored, *PERIOD))
+    inside = rows.filter(F.col("trip_date").between(*map(F.lit, PERIOD)))
+    exact = inside.agg(F.count_distinct("trip_id").alias("exact"), F.count("*").alias("rows"))
+    near = F.abs(F.col("distinct_trip_id") - F.col("exact")) <= F.col("exact") * sketches.COUNT_ERROR
+    return found.join(exact, "rows").select("rows", "null_trip_id", near.alias("within_error"))
+
+
+def duration_approx(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily durations with sketched percentiles; days are small enough for those to be exact."""
+    return gold.duration_by_approx(silver(spark, folder))
+
+
+def event_bands(spark: SparkSession, folder: str) -> DataFrame:
+    """Bands of the events that overlap the days of the revenue table."""
+    events = spark.createDataFrame(EVENTS, enrich.EVENTS_SCHEMA)
+    bounds = serve.period_bounds(revenue(spark, folder)).first()
+    return enrich.event_bands(events, *bounds)
+
+
+def not_taken(spark: SparkSession, folder: str) -> DataFrame:
+    """What an append up to the end of 1997 leaves out, beside a table stored up to a noon."""
+    rows = trips(spark, folder)
+    noon = F.lit("1996-06-30 12:00:00").cast("timestamp_ntz")
+    return ingest.not_taken(rows.filter(F.col("trip_start_timestamp") < noon), rows, end=date(1997, 12, 31))
+
+
+def appended_bronze(spark: SparkSession, folder: str) -> DataFrame:
+    """Bronze after appends without rows, with some and with the same again, by the log of appends."""
+    lake, rows = Lake(new_folder(spark, "appends"), grain="year"), trips(spark, folder)
+    for end in (date(1990, 1, 1), date(1995, 6, 30), date(1995, 6, 30), date(1996, 6, 30), date(2100, 1, 1)):
+        medallion.append_bronze(rows.drop("trip_date"), lake, end)
+    return medallion.read_bronze(spark, lake).groupBy("trip_date").agg(F.count("*").alias("nb_trips"))
+
+
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Two arrivals; trips of the second that began over a year before the latest of the first
+    are late. What landed per day, on time and late."""
+    lake, rows = Lake(new_folder(spark, "late")), trips(spark, folder)
+    second = F.col("l_partkey") % 3 == 0
+    on_time, late = lake.path("on_time"), lake.path("late")
+    for arrival in (~second, second):
+        rows.filter(arrival).write.mode("append").parquet(lake.path("landing"))
+        stream = jobs.landed_files(spark, lake.path("landing"), rows.schema)
+        jobs.split_late(stream, on_time, late, lake.path("marks"), lake.path("checkpoint"), timedelta(days=365)).awaitTermination()
+    sides = [spark.read.schema(rows.schema).parquet(path).withColumn("late", F.lit(flag)) for path, flag in ((on_time, False), (late, True))]
+    return sides[0].unionByName(sides[1]).groupBy("trip_date").agg(
+        F.count("*").alias("landed"), F.count_if(~F.col("late")).alias("on_time"), F.count_if("late").alias("late")
+    )
+
+
+def stream_first_seen_expired(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest copies of all trips arrive, then all again ten years later, when the state of the first has
+    expired but for those of the last two days: the others come back."""
+    lake, rows = Lake(new_folder(spark, "expired")), dedup.latest(trips(spark, folder), tie_break=TIE_BREAK)
+    start = "trip_start_timestamp"
+    again = rows.withColumn(start, F.timestamp_add("DAY", F.lit(3650), F.col(start)))
+    for arrival in (rows, again):
+        arrival.write.mode("append").parquet(lake.path("landing"))
+        stream = jobs.landed_files(spark, lake.path("landing"), rows.schema)
+        found = _drained(jobs.first_seen(stream, "1 day").select("trip_id"), lake, "first_seen")
+    return found.groupBy("trip_id").agg(F.count("*").alias("times"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "ingest_typed": typed_trips,
@@ -287,4 +366,13 @@ def all_queries() -> dict[str, Query]:
         "stream_landed_totals": stream_landed_totals,
         "stream_gold_revenue": _streamed_gold(medallion.REVENUE),
         "stream_gold_duration": _streamed_gold(medallion.DURATION),
+        "stream_gold_zones": _streamed_gold(medallion.ZONES),
+        "stream_late_rows": stream_late_rows,
+        "stream_first_seen_expired": stream_first_seen_expired,
+        "sketched_profile": sketched_profile,
+        "sketched_ids": sketched_ids,
+        "duration_approx": duration_approx,
+        "event_bands": event_bands,
+        "ingest_not_taken": not_taken,
+        "appended_bronze": appended_bronze,
     }

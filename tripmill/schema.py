@@ -22,6 +22,7 @@ TYPED = {
 }
 
 REJECT_REASON = "reject_reason"
+VALID = "valid"  # the reason of a row that breaks no rule
 DUPLICATE_RANK = "_duplicate_rank"
 SPEED = "trip_speed_mph"
 

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.schema import REJECT_REASON, RUN_METRICS, ContractError
+from tripmill.schema import RUN_METRICS
 from tripmill.sources.staging import delete, file_system, staged, staging_scope
 
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
@@ -44,11 +44,20 @@ class Lake:
 
     @property
     def silver(self) -> str:
-        return self.path("silver/trips_clean")
+        """Silver and quarantine: runs that wrote them and versions that say which count."""
+        return self.path("silver")
 
     @property
-    def quarantine(self) -> str:
-        return self.path("silver/quarantine")
+    def index(self) -> str:
+        return self.path("index/trip_partitions")
+
+    @property
+    def sketches(self) -> str:
+        return self.path("gold/sketches_by_partition")
+
+    @property
+    def append_log(self) -> str:
+        return self.path("bronze/appends")
 
     @property
     def metrics(self) -> str:
@@ -131,47 +140,18 @@ def register_gold(spark: SparkSession, lake: Lake, tables: list[str]) -> None:
         spark.read.parquet(lake.gold(table)).createOrReplaceTempView(table)
 
 
-def append_metrics(spark: SparkSession, lake: Lake, row: dict) -> None:
-    """Add the row of a run, unless that run has one already."""
-    if not read_metrics(spark, lake).filter(F.col("run_id") == row["run_id"]).isEmpty():
-        return
-    spark.createDataFrame([row], RUN_METRICS).coalesce(1).write.mode("append").parquet(lake.metrics)
+def write_metrics(spark: SparkSession, lake: Lake, row: dict) -> None:
+    """Store the row of a run in a folder named after the run, so one that is repeated, or
+    two at a time, leave one row."""
+    name = sha256(row["run_id"].encode()).hexdigest()
+    spark.createDataFrame([row], RUN_METRICS).coalesce(1).write.mode("overwrite").parquet(f"{lake.metrics}/run={name}")
 
 
 def read_metrics(spark: SparkSession, lake: Lake) -> DataFrame:
-    return read(spark, lake.metrics, RUN_METRICS)
-
-
-def verify_partitions(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    expected: dict[date | None, int],
-    column: str,
-    format: str = "parquet",
-) -> None:
-    """Count the rows read back of the partitions in ``expected`` and raise on a difference.
-
-    Partitions that this run did not write are not looked at.
-    """
-    found = dict(
-        read(spark, path, schema, format)
-        .filter(among(column, list(expected)))
-        .groupBy(column)
-        .count()
-        .collect()
-    )
-    wrong = {v: (found.get(v, 0), n) for v, n in expected.items() if found.get(v, 0) != n}
-    if wrong:
-        shown = "; ".join(f"{v}: {got} read, {n} expected" for v, (got, n) in sorted(wrong.items(), key=str))
-        raise ContractError(f"row counts differ after writing {path}: {shown}")
+    return read(spark, lake.metrics, RUN_METRICS).select(RUN_METRICS.names)
 
 
 def among(column: str, values: list):
     """Membership test that also finds NULL when it is among ``values``."""
     present = F.col(column).isin([v for v in values if v is not None])
     return present | F.col(column).isNull() if None in values else present
-
-
-def quarantine_partitions(lake: Lake) -> list[str]:
-    return [lake.partition, REJECT_REASON]

@@ -66,3 +66,20 @@ def test_empty_table(spark):
 def test_unknown_id(spark):
     with pytest.raises(Exception, match="not in the token table"):
         byte_bpe.decode(spark.createDataFrame([(1, [99_999_999])], "doc_id long, ids array<int>")).collect()
+
+
+def test_two_rank_files_in_one_session(spark, tmp_path):
+    """What Python processes keep goes by the contents of a rank file and the pattern."""
+    import base64
+
+    table = byte_bpe.read_ranks(byte_bpe.RANKS)
+    other = {token: (number + 7) % len(table) for token, number in table.items()}
+    path = tmp_path / "other.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % n for t, n in sorted(other.items(), key=lambda x: x[1])))
+    docs = odd_documents(spark, ["some words, q and \xf3", "more words"])
+    for ranks_path in (byte_bpe.RANKS, str(path), byte_bpe.RANKS):
+        ranks = byte_bpe.read_ranks(ranks_path)
+        by_number = {n: t for t, n in ranks.items()}
+        done = byte_bpe.decode(byte_bpe.encode(docs, ranks_path=ranks_path), ranks_path=ranks_path)
+        for row in done.join(docs, "doc_id").select("ids", "bytes", docs["text"]).collect():
+            assert b"".join(by_number[i] for i in row["ids"]) == bytes(row["bytes"]) == row["text"].encode()

@@ -49,7 +49,6 @@ def mit(*names):
         ("Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]),
         ("!? " * 900 + "\n" + mit("mit-grant") + "\n" + "-" * 9000 + "\n" + mit("mit-notice"), ["MIT"]),
         ("It is not Licensed under CC BY-NC 4.0.", []),
-        ("Licensed under\nCC BY-NC 4.0.", []),
         (" \n Licensed under the Apache License, Version 2.0!\n\n" * 3, ["Apache-2.0"] * 3),
     ],
 )

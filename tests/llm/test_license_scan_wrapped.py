@@ -78,6 +78,7 @@ def test_openings_and_others(spark):
         "This software is released under the MIT License.": ["MIT"],
         "The project is\nlicensed under CC BY 4.0.": ["CC-BY-4.0"],
         "Licensed under\nthe Apache License, Version 2.0.": ["Apache-2.0"],
+        "Licensed under\nCC BY-NC 4.0.": ["CC-BY-NC-4.0"],
         "Licensed under the GNU General Public License, version 2.": ["GPL-2.0-only"],
         "It is not licensed under the MIT License.": [],
         "Released under the BSD\nof that time, licensed under": [],

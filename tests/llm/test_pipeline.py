@@ -3,8 +3,8 @@ import hashlib
 import corpus_pipeline as cp
 from tests.llm.helpers import documents, odd_documents
 from tests.llm.test_byte_bpe import library  # noqa: F401
-from tests.llm.test_decontaminate import compare
-from tests.llm.test_ngram_join import expected as components
+from tests.llm.test_decontaminate_whole import leaks
+from tests.llm.test_pipeline_near_copies import kept as representatives
 from tests.llm.test_substring_dedup import expected as passages
 from tripmill.llm import quality
 from tripmill.sources.staging import staged
@@ -29,14 +29,14 @@ def test_every_stage_against_brute_force(spark, library):  # noqa: F811
     before, after = seen["quality"]
     assert 0.5 * before.count() < after.count() < before.count()
     before, after = seen["near_copies"]
-    want = {w[2] for w in components(before)}
+    want = representatives(before, cp.NEAR_WORDS, cp.NEAR_PERCENT)
     assert texts(after) == {k: v for k, v in texts(before).items() if k in want} and len(want) < before.count()
     before, after = seen["repeated_passages"]
     rows = before.select("doc_id", "text").collect()
     assert texts(after) == {r["doc_id"]: e[0] for r, e in zip(rows, passages([r["text"] for r in rows]))}
     before, after = seen["benchmark"]
     items = texts(documents(spark, table="benchmark").withColumnRenamed("item_id", "doc_id"))
-    assert texts(after) == {k: v for k, v in texts(before).items() if not any(compare(v, b) for b in items.values())}
+    assert texts(after) == {k: v for k, v in texts(before).items() if not any(leaks(v, b) for b in items.values())}
     before, after = seen["encode"]
     got = {r["doc_id"]: (list(r["ids"]), r["n_tokens"], r["text_sha256"]) for r in after.collect()}
     assert got == {

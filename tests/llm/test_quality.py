@@ -1,9 +1,13 @@
+import math
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import ODD_TEXTS, documents, odd_documents
 from tripmill.llm import quality as q
+from tripmill.llm import text as T
 
 
 def ratings(spark, sf):
@@ -77,3 +81,29 @@ def test_a_single_grade(spark, grade):
     model = q.fit(docs, spark.createDataFrame([(i, grade) for i in range(3)], "doc_id long, grade int"))
     assert np.isfinite(model.thresholds).all()
     assert q.select(docs, model).count() == (3 if grade == 2 else 0)
+
+
+def test_the_sample_bounds_rows_of_repeated_keys(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("id div 1500 doc_id", "concat('word', id % 7) text")
+    ratings = spark.createDataFrame([(0, 2), (1, 0), (1, 2)], "doc_id long, grade int")
+    seen = []
+    fit_rows = q.fit_rows
+    monkeypatch.setattr(q, "fit_rows", lambda number, first, marks, grades: seen.append(len(marks)) or fit_rows(number, first, marks, grades))
+    q.fit(docs, ratings, sample=10)
+    q.fit(docs, ratings, sample=2)
+    assert seen == [3, 2]
+
+
+def test_scores_follow_from_given_weights(spark):
+    """Expected grade and tail probability of every document, worked out row by row."""
+    rng = np.random.default_rng(3)
+    docs = odd_documents(spark)
+    texts = [r["text"] or "" for r in docs.orderBy("doc_id").collect()]
+    model = q.Model(rng.normal(size=1 << q.FEATURE_BITS), np.array([-0.7, 1.1]))
+    got = {r["row"]["doc_id"]: (r["expected_grade"], r["tail_probability"]) for r in q.score(docs, model).collect()}
+    for i, text in enumerate(texts):
+        number, _ = q.features(*T.raw(pa.array([text])))
+        value = sum(model.weights[n] for n in number)
+        below = [1 / (1 + math.exp(-(cut - value))) for cut in model.thresholds]
+        want = sum(1 - b for b in below), 1 - below[1]
+        assert got[i] == pytest.approx(want, abs=1e-9)

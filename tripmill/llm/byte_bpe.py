@@ -16,6 +16,7 @@ in the table of token bytes, which is as small as the vocabulary and is sent to
 from __future__ import annotations
 
 import base64
+import hashlib
 import itertools
 import re
 import zlib
@@ -211,13 +212,26 @@ class _Merged(dict):
         return ids
 
 
-def _merge(batches, ranks, pattern: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def digest(ranks: dict[bytes, int]) -> str:
+    """Name of a rank table by its contents, by which Python processes keep what they make of it."""
+    h = hashlib.sha256()
+    for token, number in sorted(ranks.items()):
+        h.update(b"%d:%d:%b" % (number, len(token), token))
+    return h.hexdigest()
+
+
+def _kept(kind: str, name: tuple, make):
+    """What ``make`` gives, kept until another of this kind is asked for."""
+    if _cache.get(kind, (None,))[0] != name:
+        _cache[kind] = name, make()
+    return _cache[kind][1]
+
+
+def _merge(batches, ranks, name: str, pattern: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     import tiktoken
 
-    ranks = ranks.value
-    if ("encoding", len(ranks)) not in _cache:
-        _cache["encoding", len(ranks)] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    known = _Merged(_cache["encoding", len(ranks)].encode_ordinary).__getitem__
+    make = lambda: tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})
+    known = _Merged(_kept("encoding", (name, pattern), make).encode_ordinary).__getitem__
     for batch in batches:
         for row in batch.to_pylist():
             data = pa.decompress(row["words"], decompressed_size=row["bytes"], codec="zstd", asbytes=True)
@@ -283,7 +297,8 @@ def encode(
         "block", "bpe-blocks",
     )
 
-    ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))  # as large as the vocabulary
+    table = read_ranks(ranks_path)
+    ranks, name = spark.sparkContext.broadcast(table), digest(table)  # as large as the vocabulary
     merged = S.StructType([
         S.StructField("block", S.LongType()), S.StructField("n", S.LongType()), S.StructField("lengths", S.BinaryType()),
         S.StructField("numbers", S.BinaryType()), S.StructField("ids", S.BinaryType()),
@@ -293,7 +308,7 @@ def encode(
         cut.where(F.col("part").isNotNull())
         .select("block", "part", "n", "bytes", "words", "lengths", "numbers")
         .repartitionById(parts, "part")
-        .mapInArrow(lambda it: _merge(it, ranks, pattern, merged_schema), merged)
+        .mapInArrow(lambda it: _merge(it, ranks, name, pattern, merged_schema), merged)
     )
     texts = cut.where(F.col("part").isNull()).select("block", "n", "numbers", "keys", "counts")
     out = S.StructType([S.StructField("key", kind), S.StructField("ids", S.ArrayType(S.IntegerType()))])
@@ -302,13 +317,14 @@ def encode(
     return together.applyInArrow(lambda a, b: _assemble(a, b, out_schema), out).withColumnRenamed("key", key)
 
 
-def _decode(batches, ranks, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    if "bytes" not in _cache:
+def _decode(batches, ranks, name: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    def by_number() -> pa.Array:
         table = [None] * (max(ranks.value.values()) + 1)
         for token, number in ranks.value.items():
             table[number] = token
-        _cache["bytes"] = pa.array(table, pa.large_binary())
-    table = _cache["bytes"]
+        return pa.array(table, pa.large_binary())
+
+    table = _kept("bytes", (name,), by_number)
     for batch in batches:
         ids = batch.column(1)
         flat = ids.flatten()
@@ -328,11 +344,12 @@ def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", ranks_path
 
     No ids and a null list give no bytes. An id outside the table is an error."""
     spark = encoded.sparkSession
-    ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
+    table = read_ranks(ranks_path)
+    ranks, name = spark.sparkContext.broadcast(table), digest(table)
     source = encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
     out = S.StructType([*source.schema.fields, S.StructField("bytes", S.BinaryType())])
     schema = _arrow(out)
-    return source.mapInArrow(lambda it: _decode(it, ranks, schema), out).withColumnRenamed("key", key)
+    return source.mapInArrow(lambda it: _decode(it, ranks, name, schema), out).withColumnRenamed("key", key)
 
 
 def digests(decoded: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -28,6 +28,8 @@ LITERALS = 3
 #: Windows of the benchmark up to which they are sent to all tasks (about 40 bytes each);
 #: beyond, both sides are shuffled.
 BROADCAST_WINDOWS = 1_000_000
+#: Hits in all from which a document's are dealt with in several parts.
+MOST_HITS = 100_000
 TOKEN = r"\p{L}+|[0-9]+(?:[.,][0-9]+)*"
 #: Blocks of scripts that put no spaces between words (Thai to Khmer, Tai, kana, Han).
 UNSPACED = (
@@ -193,8 +195,15 @@ def leaks(
     probes = templates.select("doc", F.explode(F.concat(*every)).alias("w"))
     probes = probes.select("doc", F.col("w.hash").alias("hash"), F.col("w.at").alias("at"))
     shifted = probes.join(windows, "hash").select("doc", "item", "m", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
-    # as many as one document has windows, at most
-    wanted = shifted.groupBy("doc").agg(F.collect_list(F.struct("item", "m", "shift")).alias("wanted"))
+    # written, so that their size is known: whole texts are read for a few documents only, and
+    # are not shuffled for them unless the hits are too many to send to all tasks
+    shifted = staged(shifted, "decontaminate-hits")
+    hits = shifted.count()
+    # one alignment at a time where a document has very many
+    by = ["doc", F.pmod(F.xxhash64("item", "shift"), F.lit(max(1, hits // MOST_HITS))).alias("part")]
+    wanted = shifted.groupBy(*by).agg(F.collect_list(F.struct("item", "m", "shift")).alias("wanted")).drop("part")
+    if hits <= BROADCAST_WINDOWS:
+        wanted = F.broadcast(wanted)
 
     found = source.join(wanted, "doc").select("doc", "wanted", tokens(F.col("doc_text")).alias("raw"))
     found = found.withColumn("tpl", template(F.col("raw")))
@@ -232,8 +241,15 @@ def leaks(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item, whatever their ids. Writes
-    ``docs`` once, as the rows are numbered."""
-    numbered = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "decontaminate-rows")
-    found = leaks(numbered, benchmark, "_row", **names).select("_row").distinct()
-    return numbered.join(found, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the rows that hold a benchmark item, whatever their ids. Rows that
+    agree in everything go or stay alike; null and empty texts and tables stay as they are,
+    and all columns are kept, whatever their names. Writes ``docs`` once, as the rows are
+    numbered. Takes the arguments of ``leaks`` but ``key``."""
+    text = names.pop("text", "text")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("number"))
+    numbered = staged(rows, "decontaminate-rows")  # in a struct, no name of the caller's clashes
+    texts = numbered.select("number", F.col("row").getField(text).alias("text"))
+    found = staged(leaks(texts, benchmark, "number", "text", **names).select("number").distinct(), "decontaminate-found")
+    if found.count() <= BROADCAST_WINDOWS:
+        found = F.broadcast(found)
+    return numbered.join(found, "number", "left_anti").select("row.*")

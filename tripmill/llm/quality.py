@@ -160,7 +160,8 @@ def fit(
 
     Of the rated documents those with the smallest hash of the key are used, ``sample`` at
     most. Ratings that are null or out of range, and null keys, don't count; a key with
-    several ratings counts with each. Null texts count as empty. Runs jobs.
+    several ratings counts with each, one with several rows with the row of the smallest hash
+    of its text. Null texts count as empty. Runs jobs.
     """
     rated = ratings.select(F.col(key).alias("key"), F.col(rating).cast("int").alias("grade"))
     rated = rated.where(F.col("key").isNotNull() & F.col("grade").between(0, grades - 1))
@@ -168,7 +169,8 @@ def fit(
     there = rated.join(source.select("key"), "key", "left_semi")
     some = there.orderBy(F.xxhash64("key"), "key", "grade").limit(sample)  # bounded, so it can be sent to all tasks
     schema = _arrow(SAMPLED)
-    chosen = source.join(F.broadcast(some), "key").select("text", "grade", "key")
+    one = F.min_by("text", F.coalesce(F.xxhash64("text"), F.lit(0)))  # as many rows as ratings, however often a key is there
+    chosen = source.join(F.broadcast(some), "key").groupBy("key", "grade").agg(one.alias("text")).select("text", "grade", "key")
     rows = chosen.mapInArrow(lambda it: _sampled(it, schema), SAMPLED).toArrow()
     if not rows.num_rows:
         return None

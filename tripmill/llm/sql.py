@@ -190,37 +190,58 @@ def _decontaminate() -> str:
     template = f"""list_transform(raw, lambda w, i: CASE WHEN substr(w, 1, 1) BETWEEN '0' AND '9' THEN '#'
       WHEN lower(w) IN ({units}) AND i > 1 AND substr(raw[i - 1], 1, 1) BETWEEN '0' AND '9' THEN '%'
       WHEN substr(w, 1, 1) <> lower(substr(w, 1, 1)) THEN '@' ELSE lower(w) END)"""
-    w = dc.WINDOW
+    w, run = dc.WINDOW, dc.RUN
+    low = "list_transform(raw, lambda x: lower(x))"
+
+    def hashes(words: str, length: str) -> str:
+        return f"list_transform(range(greatest(len({words}) - {length} + 1, 0)), lambda i: hash(array_to_string({words}[i + 1:i + {length}], ' ')))"
+
+    def distinct(fields: str, words: str) -> str:
+        return f"len(list_distinct(list_transform({words}, lambda x: {{{', '.join(f'{f}: x.{f}' for f in fields.split())}}})))"
+
+    # words of the tables are none of the scripts that are cut letter by letter
     return f"""
-WITH d AS (SELECT *, {template} AS tpl FROM ({words("documents", "doc_id")})),
-b AS (SELECT *, {template} AS tpl, len(raw) AS m FROM ({words("benchmark", "item_id")}) WHERE len(raw) >= {w}),
-bp AS (SELECT item_id, m, tpl, unnest(range(m - {w - 1})) AS q FROM b),
+WITH d AS (SELECT *, {low} AS low, {template} AS tpl FROM ({words("documents", "doc_id")})),
+b AS (SELECT *, {low} AS low, {template} AS tpl, len(raw) AS m, least({run}, len(raw)) AS need, least({w}, len(raw)) AS win
+      FROM ({words("benchmark", "item_id")}) WHERE len(raw) > 0),
+lengths AS (SELECT DISTINCT win FROM b),
+dw AS (
+  SELECT n, win AS kind, unnest({hashes("low", "win")}) AS h, unnest(range(greatest(len(low) - win + 1, 0))) AS p FROM d, lengths
+  UNION ALL SELECT n, 0, unnest({hashes("tpl", str(w))}), unnest(range(greatest(len(tpl) - {w - 1}, 0))) FROM d),
 bw AS (
-  SELECT item_id, m, q, tpl[q + 1:q + {w}] AS win FROM bp
-  WHERE len(list_filter(tpl[q + 1:q + {w}], lambda x: x NOT IN ({slots}))) >= {dc.LITERALS}),
-step AS (SELECT greatest(1, least({dc.RUN}, coalesce(min(m), {dc.RUN})) - {w} + 1) AS s FROM bw),
-dp AS (SELECT n, tpl, unnest(range(0, greatest(len(tpl) - {w - 1}, 0), (SELECT s FROM step))) AS p FROM d),
-dw AS (SELECT n, p, tpl[p + 1:p + {w}] AS win FROM dp),
-shifts AS (SELECT DISTINCT n, item_id, p - q AS shift FROM dw JOIN bw USING (win)),
+  SELECT item_id, win AS kind, unnest({hashes("low", "win")}) AS h, unnest(range(m - win + 1)) AS q FROM b
+  UNION ALL SELECT item_id, 0, unnest({hashes("tpl", str(w))}), unnest(range(m - {w - 1})) FROM b WHERE m >= {w}),
+shifts AS (SELECT DISTINCT n, item_id, p - q AS shift FROM dw JOIN bw USING (kind, h)),
 pairs AS (
-  SELECT s.n, s.item_id, s.shift, b.m, d.raw AS draw, d.tpl AS dtpl, b.raw AS braw, b.tpl AS btpl, unnest(range(b.m)) AS k
+  SELECT s.n, b.item_id, b.m, b.need, b.win, list_transform(range(b.m), lambda k: {{
+    kind: b.tpl[k + 1], theirs: b.low[k + 1],
+    ours: CASE WHEN shift + k >= 0 THEN d.low[shift + k + 1] END,
+    alike: coalesce(shift + k >= 0 AND d.tpl[shift + k + 1] = b.tpl[k + 1], false),
+    equal: coalesce(shift + k >= 0 AND d.low[shift + k + 1] = b.low[k + 1], false)}}) AS words
   FROM shifts s JOIN d USING (n) JOIN b USING (item_id)),
-equal AS (
-  SELECT n, item_id, shift, m, k, btpl[k + 1] AS kind, lower(braw[k + 1]) AS theirs, lower(draw[shift + k + 1]) AS ours,
-         k - row_number() OVER (PARTITION BY n, item_id, shift ORDER BY k) AS run
-  FROM pairs WHERE shift + k >= 0 AND shift + k < len(dtpl) AND dtpl[shift + k + 1] = btpl[k + 1]),
-runs AS (SELECT *, count(*) OVER (PARTITION BY n, item_id, shift, run) AS length FROM equal),
-aligned AS (
-  SELECT n, item_id, shift, m, max(length) AS longest_run, count(*) AS matched_words,
-    count(DISTINCT (kind, theirs, ours)) FILTER (WHERE kind IN ({slots})) AS slots,
-    count(DISTINCT (kind, theirs)) FILTER (WHERE kind IN ({slots})) AS lefts,
-    count(DISTINCT (kind, ours)) FILTER (WHERE kind IN ({slots})) AS rights,
-    count(DISTINCT (kind, theirs, ours)) FILTER (WHERE kind IN ({slots}) AND theirs <> ours) AS changed_slots
-  FROM runs WHERE length >= {w} GROUP BY ALL),
+passages AS (
+  SELECT * FROM pairs WHERE len(list_filter(range(m - need + 1), lambda s:
+    len(list_filter(words[s + 1:s + need], lambda x: NOT x.equal)) = 0
+    OR (m >= {w} AND len(list_filter(words[s + 1:s + need], lambda x: NOT x.alike)) = 0
+        AND {distinct("kind theirs", f"list_filter(words[s + 1:s + need], lambda x: x.kind IN ({slots}))")}
+          = {distinct("kind theirs ours", f"list_filter(words[s + 1:s + need], lambda x: x.kind IN ({slots}))")}
+        AND {distinct("kind ours", f"list_filter(words[s + 1:s + need], lambda x: x.kind IN ({slots}))")}
+          = {distinct("kind theirs ours", f"list_filter(words[s + 1:s + need], lambda x: x.kind IN ({slots}))")}
+        AND len(list_filter(range(need - {w - 1}), lambda j:
+          len(list_filter(words[s + j + 1:s + j + {w}], lambda x: x.kind NOT IN ({slots}))) >= {dc.LITERALS})) > 0))) > 0),
+places AS (SELECT row_number() OVER () AS a, * FROM passages),
+same AS (
+  SELECT a, n, item_id, m, win, k, words[k + 1] AS x, k - row_number() OVER (PARTITION BY a ORDER BY k) AS run
+  FROM (SELECT *, unnest(range(m)) AS k FROM places) WHERE words[k + 1].alike OR words[k + 1].equal),
+runs AS (SELECT *, count(*) OVER (PARTITION BY a, run) AS length FROM same),
+measured AS (
+  SELECT n, item_id, m, max(length) AS longest_run, count(*) FILTER (WHERE length >= win) AS matched_words,
+    count(DISTINCT (x.kind, x.theirs, x.ours)) FILTER (WHERE length >= win AND x.kind IN ({slots}) AND x.theirs <> x.ours) AS changed_slots
+  FROM runs GROUP BY a, n, item_id, m),
 best AS (
   SELECT d.doc_id, a.*, row_number() OVER (PARTITION BY d.doc_id, item_id
                                            ORDER BY longest_run DESC, matched_words DESC, m DESC, changed_slots DESC) AS place
-  FROM aligned a JOIN d USING (n) WHERE longest_run >= least({dc.RUN}, m) AND slots = lefts AND slots = rights)
+  FROM measured a JOIN d USING (n))
 SELECT doc_id, item_id, longest_run::INT AS longest_run, matched_words::INT AS matched_words, m::INT AS item_words,
        changed_slots::INT AS changed_slots FROM best WHERE place = 1
 """

@@ -90,7 +90,10 @@ class _Words:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         settings = json.loads(self._tokenizer.to_str())
-        self._limit, self._parts, self._others = limit, {}, {}
+        self._limit, self._parts = limit, {}
+        # words met lately and those met before them; a word that is met again stays
+        self._known: dict[bytes, bytes] = {}
+        self._before: dict[bytes, bytes] = {}
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         suffix = settings["model"].get("end_of_word_suffix")
@@ -140,30 +143,38 @@ class _Words:
 
     def ids(self, words: list[bytes], latin: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, one after another, and how many each has. ``latin`` promises
-        that all characters are below U+0100."""
+        that all characters are below U+0100.
+
+        The ids of words are kept from piece to piece: only new ones are cut and looked up.
+        """
         if not words:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if latin and self._cut:
-            return self._latin(words)
+        if len(self._known) > self._limit:
+            self._known, self._before = {}, self._known
+        found = list(map(self._known.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            old = list(map(self._before.get, [words[i] for i in missing]))
+            new = [words[i] for i, ids in zip(missing, old) if ids is None]
+            made = iter(self._new(new, latin))
+            for i, ids in zip(missing, old):
+                found[i] = self._known[words[i]] = next(made) if ids is None else ids
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.frombuffer(b"".join(found), "<u4"), lengths // 4
+
+    def _new(self, words: list[bytes], latin: bool) -> list[bytes]:
         # bytes above 0xC3 begin characters from U+0100 on
-        other = [i for i, w in enumerate(words) if not self._cut or max(w) > 0xC3]
-        if len(self._others) > self._limit:
-            self._others.clear()
+        other = [] if latin and self._cut else [i for i, w in enumerate(words) if not self._cut or max(w) > 0xC3]
+        found: list = [None] * len(words)
         for i in other:
-            if words[i] not in self._others:
-                self._others[words[i]] = self._alone(words[i].decode())
-        rest = np.ones(len(words), bool)
-        rest[other] = False
-        lists: list = [None] * len(words)
-        chosen = np.flatnonzero(rest).tolist()
-        if chosen:
-            flat, length = self._latin([words[i] for i in chosen])
+            found[i] = self._alone(words[i].decode())
+        rest = [i for i, ids in enumerate(found) if ids is None]
+        if rest:
+            flat, length = self._latin([words[i] for i in rest])
             data, stops = flat.tobytes(), (4 * np.cumsum(length)).tolist()
-            for i, a, b in zip(chosen, [0, *stops], stops):
-                lists[i] = data[a:b]
-        for i in other:
-            lists[i] = self._others[words[i]]
-        return np.frombuffer(b"".join(lists), "<u4"), np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+            for i, a, b in zip(rest, [0, *stops], stops):
+                found[i] = data[a:b]
+        return found
 
 
 _words: dict[str, _Words] = {}

@@ -2,6 +2,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -105,3 +106,36 @@ def test_words_that_share_a_hash(monkeypatch):
             monkeypatch.setattr(T, "word_hashes", lambda d, s, e: np.zeros(len(s), np.uint64))
         distinct, number = T.distinct_words(data, starts, ends)
         assert [distinct[i] for i in number] == data.tobytes().split() and len(distinct) == 3
+
+
+def test_known_words_are_found_again_in_any_piece():
+    """The table of known words against a dictionary, over many small pieces."""
+    rng = np.random.default_rng(5)
+    known, plain = token_files._Known(), {}
+    for _ in range(60):
+        one = np.unique(rng.integers(0, 50_000, 3000).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        two = one ^ np.uint64(12345)
+        start, _ = known.find(one, two)
+        assert [s >= 0 for s in start] == [int(x) in plain for x in one]
+        new = np.flatnonzero(start < 0)
+        count = (one[new] % np.uint64(5)).astype(np.int64)
+        flat = rng.integers(0, 49_000, int(count.sum())).astype(np.uint32)
+        known.add(one[new], two[new], flat, count)
+        ends = np.cumsum(count)
+        plain.update((int(x), flat[e - c : e].tolist()) for x, c, e in zip(one[new], count, ends))
+        start, count = known.find(one, two)
+        assert known.ids(start, count).tolist() == [i for x in one for i in plain[int(x)]]
+    assert (known.find(one, one)[0] < 0).all()  # the other hash has to agree as well
+
+
+def test_few_known_words_change_nothing(spark, monkeypatch):
+    words = token_files._Words(token_files.TOKENIZER, 10)
+    texts = ["one two three four five six seven eight nine ten eleven twelve", "twelve one thirteen caf\xe9 \u0416 one", ""] * 4
+    library = words._tokenizer
+    for text in texts:
+        data, offsets = T.raw(pa.array([text]))
+        starts, ends, _ = T.words(data, offsets)
+        hashes, some, number = T.distinct_spans(data, starts, ends)
+        flat, length = words.of(data, hashes, starts[some], ends[some], False)
+        first = np.cumsum(length) - length
+        assert T.gather(flat, first[number], length[number]).tolist() == library.encode(text, add_special_tokens=False).ids

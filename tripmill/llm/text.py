@@ -110,6 +110,13 @@ def same_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np
     return True
 
 
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Hashes of the distinct words in ascending order, a word with each, and for each word the
+    number of its hash; None where two words share a hash."""
+    hashes, some, number = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    return (hashes, some, number) if same_words(data, starts, ends, some[number]) else None
+
+
 def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray]:
     """The distinct words, and for each word its number among them."""
     _, some, number = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)

@@ -41,8 +41,8 @@ MAGIC = b"TMIDS001"
 BLOCK = 1 << 14
 #: Bytes of text per file, about.
 SHARD_BYTES = 1 << 25
-#: Parts of words whose ids a task remembers.
-KNOWN_WORDS = 150_000
+#: Words and parts of words whose ids a task remembers.
+KNOWN_WORDS, KNOWN_PARTS = 500_000, 150_000
 #: How the tokenizer file cuts text, and the same for lower-case text of code points below
 #: U+0100, where the letters and digits are these.
 LATIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -75,6 +75,47 @@ def unpack(data: bytes, n: int, bits: int) -> np.ndarray:
     return np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel()
 
 
+class _Known:
+    """Ids of words by two hashes of them, in arrays: some 40 bytes a word."""
+
+    def __init__(self):
+        self._flat, self._used, self.words = np.zeros(1 << 16, np.uint32), 0, 0
+        none = np.zeros(0, np.uint64)
+        # rows (hash, other hash, first id, count) in order of the hash, the larger table first
+        self._tables = [(none, none, np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(2)]
+
+    def find(self, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First id (-1: unknown) and count of each word."""
+        start, count = np.full(len(one), -1, np.int64), np.zeros(len(one), np.int64)
+        for a, b, starts, counts in self._tables:
+            if len(a):
+                at = np.minimum(np.searchsorted(a, one), len(a) - 1)
+                hit = (a[at] == one) & (b[at] == two)
+                start[hit], count[hit] = starts[at[hit]], counts[at[hit]]
+        return start, count
+
+    def add(self, one: np.ndarray, two: np.ndarray, flat: np.ndarray, count: np.ndarray) -> None:
+        while self._used + len(flat) > len(self._flat):
+            self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
+        self._flat[self._used : self._used + len(flat)] = flat
+        rows = one, two, self._used + np.cumsum(count) - count, count
+        self._used, self.words = self._used + len(flat), self.words + len(one)
+        large, small = self._tables
+        small = self._merged(small, rows)
+        if len(small[0]) > 1 << 15:
+            large, small = self._merged(large, small), tuple(x[:0] for x in small)
+        self._tables = [large, small]
+
+    @staticmethod
+    def _merged(a: tuple, b: tuple) -> tuple:
+        both = [np.concatenate(pair) for pair in zip(a, b)]
+        order = np.argsort(both[0], kind="stable")
+        return tuple(x[order] for x in both)
+
+    def ids(self, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+        return T.gather(self._flat, start, count)
+
+
 class _Words:
     """Ids of words. The tokenizer drops white space and never merges across it, so a
     text's ids are those of its words.
@@ -92,8 +133,7 @@ class _Words:
         settings = json.loads(self._tokenizer.to_str())
         self._limit, self._parts = limit, {}
         # words met lately and those met before them; a word that is met again stays
-        self._known: dict[bytes, bytes] = {}
-        self._before: dict[bytes, bytes] = {}
+        self._known, self._before = _Known(), _Known()
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         suffix = settings["model"].get("end_of_word_suffix")
@@ -128,7 +168,7 @@ class _Words:
         self._parts.update((p, data[a:b]) for p, a, b in zip(parts, [0, *stops], stops))
 
     def _latin(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self._parts) > self._limit:
+        if len(self._parts) > KNOWN_PARTS:
             self._parts.clear()
         self._parts["\n"] = b""  # stands between words
         parts = self._cut(b"\n".join(words).decode().lower())
@@ -143,38 +183,43 @@ class _Words:
 
     def ids(self, words: list[bytes], latin: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, one after another, and how many each has. ``latin`` promises
-        that all characters are below U+0100.
-
-        The ids of words are kept from piece to piece: only new ones are cut and looked up.
-        """
+        that all characters are below U+0100."""
         if not words:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if len(self._known) > self._limit:
-            self._known, self._before = {}, self._known
-        found = list(map(self._known.get, words))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if missing:
-            old = list(map(self._before.get, [words[i] for i in missing]))
-            new = [words[i] for i, ids in zip(missing, old) if ids is None]
-            made = iter(self._new(new, latin))
-            for i, ids in zip(missing, old):
-                found[i] = self._known[words[i]] = next(made) if ids is None else ids
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.frombuffer(b"".join(found), "<u4"), lengths // 4
-
-    def _new(self, words: list[bytes], latin: bool) -> list[bytes]:
+        if latin and self._cut:
+            return self._latin(words)
         # bytes above 0xC3 begin characters from U+0100 on
-        other = [] if latin and self._cut else [i for i, w in enumerate(words) if not self._cut or max(w) > 0xC3]
-        found: list = [None] * len(words)
+        other = [i for i, w in enumerate(words) if not self._cut or max(w) > 0xC3]
+        lists: list = [None] * len(words)
         for i in other:
-            found[i] = self._alone(words[i].decode())
-        rest = [i for i, ids in enumerate(found) if ids is None]
+            lists[i] = self._alone(words[i].decode())
+        rest = [i for i, ids in enumerate(lists) if ids is None]
         if rest:
             flat, length = self._latin([words[i] for i in rest])
             data, stops = flat.tobytes(), (4 * np.cumsum(length)).tolist()
             for i, a, b in zip(rest, [0, *stops], stops):
-                found[i] = data[a:b]
-        return found
+                lists[i] = data[a:b]
+        return np.frombuffer(b"".join(lists), "<u4"), np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+
+    def of(self, data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, latin: bool) -> tuple[np.ndarray, np.ndarray]:
+        """``ids`` of words in ``data``, no two of which are equal. Ids are kept from piece to
+        piece: only words that are not known are cut out and looked up."""
+        if self._known.words > self._limit:
+            self._known, self._before = _Known(), self._known
+        two = T.word_hashes(data ^ np.uint8(0x5A), starts, ends)
+        new = np.flatnonzero(self._known.find(hashes, two)[0] < 0)
+        start, count = self._before.find(hashes[new], two[new])
+        again = start >= 0
+        if again.any():
+            some = new[again]
+            self._known.add(hashes[some], two[some], self._before.ids(start[again], count[again]), count[again])
+        new = new[~again]
+        if len(new):
+            whole = data.tobytes()
+            words = [whole[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())]
+            self._known.add(hashes[new], two[new], *self.ids(words, latin))
+        start, count = self._known.find(hashes, two)
+        return self._known.ids(start, count), count
 
 
 _words: dict[str, _Words] = {}
@@ -188,11 +233,17 @@ def _encode(batches, path: str, end: int, bits: int, bounds: np.ndarray, schema:
         for piece in T.pieces(batch, "text"):
             data, offsets = T.raw(piece.column("text"))
             starts, ends, first = T.words(data, offsets)
-            distinct, number = T.distinct_words(data, starts, ends)
-            flat, length = words.ids(distinct, len(data) == 0 or data.max() <= 0xC3)
+            latin = len(data) == 0 or data.max() <= 0xC3
+            spans = T.distinct_spans(data, starts, ends)
+            if spans is None:
+                distinct, number = T.distinct_words(data, starts, ends)
+                flat, length = words.ids(distinct, latin)
+            else:
+                hashes, some, number = spans
+                flat, length = words.of(data, hashes, starts[some], ends[some], latin)
             flat, length = np.append(flat, np.uint32(end)), np.r_[length, 1]
             # the end of a text is one word more
-            number = np.insert(number, first[1:], len(distinct))
+            number = np.insert(number, first[1:], len(length) - 1)
             ids = T.gather(flat, (np.cumsum(length) - length)[number], length[number])
             stops = np.r_[0, np.cumsum(length[number])[first[1:] + np.arange(len(first) - 1)]]
             counts = np.diff(stops)

@@ -124,3 +124,29 @@ def test_components(spark, shape):
     joined = {i for link in links if link[0] != link[1] for i in link}
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert sorted(map(tuple, got)) == sorted((i, find(i)) for i in joined)
+
+
+def test_prefixes_of_equal_sets_differ_by_the_cost_of_their_candidates(spark):
+    """Rare n-grams behind the shortest prefix lengthen it, those of a common passage don't."""
+    schema = "n long, own long, rare array<struct<times long, gram long>>"
+    rare = [(2, i) for i in range(20)]
+    common = [(2, i) for i in range(3)] + [(100_000, i) for i in range(3, 20)]
+    rows = spark.createDataFrame([(20, 0, rare), (20, 0, common), (1, 0, rare[:1]), (20, 4, rare[:16])], schema)
+    matches = [r[0] for r in rows.select(nj._matches(nj._Bounds(90))).collect()]
+    assert matches[0] == 6 and matches[1] == 1 and matches[2] == 1  # (2 + l) (1 + 20 / l) is least at 6
+    assert matches[3] == 1  # the shortest prefix is own n-grams: no list, no cost
+
+
+@pytest.mark.parametrize("most", [1, 3, 50])
+def test_number_of_matches_changes_no_result(spark, monkeypatch, most):
+    monkeypatch.setattr(nj, "MOST_MATCHES", most)
+    docs = odd_documents(spark, made(7, 200))
+    assert found(docs) == expected(docs)
+
+
+def test_unlinked_documents_with_one_shared_rare_ngram(spark):
+    """Many sets meet once, by chance; with more matches asked for few pairs are compared."""
+    pick = random.Random(2)
+    texts = [" ".join(f"u{i}x{k}" if pick.random() < 0.15 else f"c{k}" for k in range(60)) for i in range(120)]
+    docs = odd_documents(spark, texts)
+    assert found(docs) == expected(docs)

@@ -133,7 +133,7 @@ def test_prefixes_of_equal_sets_differ_by_the_cost_of_their_candidates(spark):
     common = [(2, i) for i in range(3)] + [(100_000, i) for i in range(3, 20)]
     rows = spark.createDataFrame([(20, 0, rare), (20, 0, common), (1, 0, rare[:1]), (20, 4, rare[:16])], schema)
     matches = [r[0] for r in rows.select(nj._matches(nj._Bounds(90))).collect()]
-    assert matches[0] == 6 and matches[1] == 1 and matches[2] == 1  # (2 + l) (1 + 20 / l) is least at 6
+    assert matches[0] == 4 and matches[1] == 1 and matches[2] == 1  # 3 (2 + l) + 20 (2 + l) / l is least at 4
     assert matches[3] == 1  # the shortest prefix is own n-grams: no list, no cost
 
 

@@ -15,17 +15,17 @@ it would give:
 3. What remains is indexed by its rarest n-grams, by counts among what remains: in a pair
    the smaller set needs fewer of them than the larger one, as its overlap must be larger.
    Every document has a prefix that is lengthened for ``l`` matches, with the ``l`` that costs
-   least by estimate: the lists it would be in, by their lengths, and the candidates that
-   would be left, an ``l``-th of the members, each with a comparison of whole sets. Rare
-   n-grams make a longer prefix worth it; where the next ones are those of a common passage,
-   the prefix ends before them.
+   least by estimate: each candidate of the shortest prefix is looked at in the longer one,
+   and those that are left, at most an ``l``-th of the members of its lists, are compared as
+   whole sets. Rare n-grams make a longer prefix worth it; where the next ones are those of
+   a common passage, the prefix ends before them.
 
 In each list of the index all members are compared with the one that has the fewest
 n-grams of its own, which connects a group of near copies by as many comparisons as it has
-members. Further pairs are compared only between components that are still apart: their
-shared n-grams of the index are counted, and whole sets are compared only where they share
-as many as the shorter extension of the two asks for, after a bound on their overlap. No
-list is cut, and every comparison is of whole sets.
+members. Further pairs are looked at only between components that are still apart, after a
+bound on their overlap: the n-grams that their prefixes share are counted, and whole sets
+are compared only where they share as many as the smaller of the two numbers ``l``. No list
+is cut, and every comparison is of whole sets.
 """
 
 from __future__ import annotations
@@ -185,15 +185,21 @@ def _matches(need: _Bounds) -> Column:
     """For how many matches the prefix of a set (n, own, rare) is lengthened: the number of
     the least estimated cost, and of the overlap that any partner needs at most.
 
-    The cost of a prefix is the length of the lists it is in, and for every candidate the size
-    of the set, which is compared. Of the members of the lists an l-th can be met l times.
+    The candidates are the members of the lists of the shortest prefix. Each costs a look at
+    the prefix; those that are left cost a look at the whole set. As one that is met ``l``
+    times is counted that often among the members of the longer prefix's lists, an ``l``-th
+    of those can be left, and no more than there were.
     """
     n, shortest = F.col("n"), F.col("n") - need.overlap(F.col("n")) - F.col("own")
 
-    def cost(matches: Column) -> Column:
+    def members(matches: Column) -> Column:
         length = F.greatest(shortest + matches, F.lit(0)).cast("int")
-        members = F.aggregate(F.slice("rare", F.lit(1), length), F.lit(0).cast("long"), lambda a, g: a + g["times"])
-        return F.struct((members + members * n / matches).alias("cost"), matches.alias("matches"))
+        return F.aggregate(F.slice("rare", F.lit(1), length), F.lit(0).cast("long"), lambda a, g: a + g["times"])
+
+    def cost(matches: Column) -> Column:
+        candidates = members(F.lit(1))
+        left = F.least(members(matches) / matches, candidates.cast("double"))
+        return F.struct((candidates * (shortest + matches) + left * n).alias("cost"), matches.alias("matches"))
 
     choices = F.sequence(F.lit(1).cast("long"), F.least(F.lit(MOST_MATCHES).cast("long"), F.greatest(need.overlap(n), F.lit(1))))
     return F.array_min(F.transform(choices, cost))["matches"]
@@ -272,17 +278,19 @@ def _join(blocks: DataFrame, words: int, percent: int) -> DataFrame:
     rarest = F.sort_array(F.collect_list(F.struct("times", "gram")))  # as many as the document has
     lists = grams.join(counts, "gram").groupBy("block", "at").agg(rarest.alias("rare")).join(able, ["block", "at"])
     lists = lists.withColumn("own", F.col("n") - F.size("rare"))
-    lists = lists.withColumn("matches", _matches(need))
-    larger = F.col("n") - need.overlap(F.col("n")) + F.col("matches") - F.col("own")
-    smaller = F.col("n") - need.overlap_as_smaller(F.col("n")) + F.col("matches") - F.col("own")
-    index = lists.where(larger > 0).select(
-        row, "n", "own", "matches", smaller.alias("smaller"),
-        F.posexplode(F.slice("rare", F.lit(1), larger.cast("int"))).alias("place", "g"),
+    larger = F.col("n") - need.overlap(F.col("n")) - F.col("own")
+    smaller = F.col("n") - need.overlap_as_smaller(F.col("n")) - F.col("own")
+    lists = lists.where(larger >= 0).withColumn("matches", _matches(need))
+    lists = lists.select(
+        row, "n", "own", "matches", F.transform("rare", lambda g: g["gram"]).alias("rare"),
+        *[(c + extra).cast("int").alias(f"{name}{suffix}") for name, c in (("larger", larger), ("smaller", smaller))
+          for suffix, extra in (("", 1), ("_long", F.col("matches")))],
     )
-    index = staged(
-        index.select("row", "n", "own", "matches", F.col("g.gram").alias("gram"), (F.col("place") < F.col("smaller")).alias("as_smaller")),
-        "join-index",
-    )
+    rare = lambda size: F.slice("rare", F.lit(1), F.greatest(F.col(size), F.lit(0)))
+    lists = staged(lists.withColumn("rare", F.slice("rare", F.lit(1), F.col("larger_long"))), "join-prefixes")
+    prefixes = lists.select("row", "matches", rare("larger_long").alias("larger"), rare("smaller_long").alias("smaller"))
+    index = lists.select("row", "n", "own", "smaller", F.posexplode(rare("larger")).alias("place", "gram"))
+    index = staged(index.select("row", "n", "own", "gram", (F.col("place") < F.col("smaller")).alias("as_smaller")), "join-index")
     members = index.select("row").distinct().select("row.block", "row.at")
     sets = staged(from_blocks(members, lambda a, b: _whole_sets(a, b, words, sets_schema), SETS), "join-sets")
     sets = sets.select(row, "grams")
@@ -309,17 +317,18 @@ def _join(blocks: DataFrame, words: int, percent: int) -> DataFrame:
     joined = staged(joined.withColumn("root", F.coalesce("root", "row")), "join-apart")
     apart = joined.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("gram")
     opened = joined.join(apart, "gram", "left_semi")
-    columns = ("row", "n", "own", "root", "matches")
+    columns = ("row", "n", "own", "root")
     x = opened.select("gram", *[F.col(c).alias(f"x_{c}") for c in columns])
     y = opened.where("as_smaller").select("gram", *[F.col(c).alias(f"y_{c}") for c in columns])
     larger_first = (F.col("x_n") > F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_row") > F.col("y_row")))
     possible = need.possible(F.col("x_n"), F.col("x_own"), F.col("y_n"), F.col("y_own"))
     across = x.join(y, "gram").where((F.col("x_root") != F.col("y_root")) & larger_first & possible)
+    pairs = staged(across.select(F.col("y_row").alias("a"), F.col("x_row").alias("b")).distinct(), "join-pairs")
     # prefixes for l matches share l n-grams, and the longer of two contains one for the fewer
-    shared = across.groupBy(F.col("y_row").alias("a"), F.col("x_row").alias("b")).agg(
-        F.count(F.lit(1)).alias("shared"), F.first(F.least("x_matches", "y_matches")).alias("asked")
-    )
-    pairs = shared.where("shared >= asked").select("a", "b")
+    low = prefixes.select(F.col("row").alias("a"), F.col("matches").alias("a_matches"), F.col("smaller").alias("a_prefix"))
+    high = prefixes.select(F.col("row").alias("b"), F.col("matches").alias("b_matches"), F.col("larger").alias("b_prefix"))
+    shared = F.size(F.array_intersect("a_prefix", "b_prefix"))
+    pairs = pairs.join(low, "a").join(high, "b").where(shared >= F.least("a_matches", "b_matches")).select("a", "b")
     found = found.unionByName(links(pairs))
 
     roots = components(found).withColumnRenamed("node", "class")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmill.llm.blocks import few_files
 from tripmill.sources.staging import staged
 
 
@@ -35,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v"))
         )
-        now = staged(small.where("u <> v").distinct(), "links")
+        # no round has more links than the one before
+        now = staged(few_files(small.where("u <> v").distinct(), state[0]), "links")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )

@@ -242,14 +242,17 @@ def leaks(
 
 def clean(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item, whatever their ids. Rows that
-    agree in everything go or stay alike; null and empty texts and tables stay as they are,
-    and all columns are kept, whatever their names. Writes ``docs`` once, as the rows are
-    numbered. Takes the arguments of ``leaks`` but ``key``."""
+    agree in their text go or stay alike; null and empty texts and tables stay as they are,
+    and all columns are kept, whatever their names. Takes the arguments of ``leaks`` but ``key``."""
     text = names.pop("text", "text")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("number"))
-    numbered = staged(rows, "decontaminate-rows")  # in a struct, no name of the caller's clashes
-    texts = numbered.select("number", F.col("row").getField(text).alias("text"))
-    found = staged(leaks(texts, benchmark, "number", "text", **names).select("number").distinct(), "decontaminate-found")
+    # rows with one text go or stay together, so 128 bits of the text tell them apart
+    def digest() -> list[Column]:
+        return [F.xxhash64(text).alias("one"), F.xxhash64(F.lit("again"), text).alias("two")]
+
+    texts = docs.select(F.struct(*digest()).alias("digest"), F.col(text).alias("text"))
+    found = leaks(texts, benchmark, "digest", "text", **names).select("digest.one", "digest.two").distinct()
+    found = staged(found, "decontaminate-found")
     if found.count() <= BROADCAST_WINDOWS:
         found = F.broadcast(found)
-    return numbered.join(found, "number", "left_anti").select("row.*")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *digest())  # no name of the caller's clashes
+    return rows.join(found, ["one", "two"], "left_anti").select("row.*")

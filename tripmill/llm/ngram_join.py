@@ -40,12 +40,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 from tripmill.llm import text as T
-from tripmill.llm.blocks import bucketed
+from tripmill.llm.blocks import bucketed, few_files
 from tripmill.llm.components import components
 from tripmill.sources.staging import staged
 
 WORDS, PERCENT = 3, 90
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 #: Matches for which a prefix may be lengthened.
 MOST_MATCHES = 8
 _SECOND = T.U64(0x94D049BB133111EB)
@@ -242,10 +242,16 @@ def _join(blocks: DataFrame, words: int, percent: int) -> DataFrame:
     def from_blocks(wanted: DataFrame, work, schema: S.StructType) -> DataFrame:
         return texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(work, schema)
 
+    n_docs = blocks.agg(F.sum(F.size("docs"))).first()[0] or 0
+
+    def stored(some: DataFrame, label: str) -> DataFrame:
+        """Written: a row per document at most."""
+        return staged(few_files(some, n_docs), label)
+
     row = F.struct("block", "at").alias("row")
     rows = blocks.select("block", F.explode("docs").alias("d")).select("block", "d.*").withColumn("row", row)
     full = rows.where("n > 0")
-    classes = staged(full.groupBy("one", "two", "n").agg(F.min("row").alias("class")), "join-classes")
+    classes = stored(full.groupBy("one", "two", "n").agg(F.min("row").alias("class")), "join-classes")
     chosen = classes.select("class.block", "class.at", "n")
 
     # 1. prefixes by hash: how many of their n-grams occur in no other prefix
@@ -264,11 +270,11 @@ def _join(blocks: DataFrame, words: int, percent: int) -> DataFrame:
     smallest = need.overlap(F.col("n"))
     has = F.least(F.col("n"), F.col("take"))
     searched = has - need.extra(smallest)
-    playing = staged(with_own(first, prefix).where(F.col("own") < F.greatest(searched, F.lit(1))).select("block", "at", "n"), "join-playing")
+    playing = stored(with_own(first, prefix).where(F.col("own") < F.greatest(searched, F.lit(1))).select("block", "at", "n"), "join-playing")
 
     # 2. whole sets of those: n-grams of their own can't be shared
     whole = from_blocks(playing.withColumn("take", F.col("n")), lambda a, b: _grams(a, b, words, grams_schema), GRAMS)
-    able = staged(with_own(playing, whole).where(F.col("n") - F.col("own") >= need.overlap(F.col("n"))).select("block", "at", "n"), "join-able")
+    able = stored(with_own(playing, whole).where(F.col("n") - F.col("own") >= need.overlap(F.col("n"))).select("block", "at", "n"), "join-able")
 
     # 3. their rarest n-grams
     grams = staged(
@@ -287,7 +293,7 @@ def _join(blocks: DataFrame, words: int, percent: int) -> DataFrame:
           for suffix, extra in (("", 1), ("_long", F.col("matches")))],
     )
     rare = lambda size: F.slice("rare", F.lit(1), F.greatest(F.col(size), F.lit(0)))
-    lists = staged(lists.withColumn("rare", F.slice("rare", F.lit(1), F.col("larger_long"))), "join-prefixes")
+    lists = stored(lists.withColumn("rare", F.slice("rare", F.lit(1), F.col("larger_long"))), "join-prefixes")
     prefixes = lists.select("row", "matches", rare("larger_long").alias("larger"), rare("smaller_long").alias("smaller"))
     index = lists.select("row", "n", "own", "smaller", F.posexplode(rare("larger")).alias("place", "gram"))
     index = staged(index.select("row", "n", "own", "gram", (F.col("place") < F.col("smaller")).alias("as_smaller")), "join-index")

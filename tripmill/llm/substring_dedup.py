@@ -41,7 +41,7 @@ from tripmill.sources.staging import staged
 
 WINDOW, GRAM = 35, 10
 #: Bytes of text in a block, about.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 _SECOND = T.U64(0x94D049BB133111EB)
 #: In the key whose minimum chooses an anchor, the low bits hold the place.
 _PLACE_BITS = T.U64(28)

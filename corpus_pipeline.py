@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm import byte_bpe, decontaminate, ngram_join, quality, substring_dedup
+from tripmill.llm.blocks import small_batches
 from tripmill.sources.staging import staged
 
 #: The whole chain can't be said in SQL: a fitted model and a tokenizer are part of it.
@@ -21,14 +22,18 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a model of the labels expects to be good."""
+    """Documents that a model of the labels expects to be good. Null and empty texts are
+    scored as texts without words, long ones whole, and every row on its own, repeated or not;
+    without any label all stay. Written at once, a bounded number of texts at a time in a task."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     ratings = labels.select("doc_id", quality.grade().alias("grade"))
-    return quality.select(docs, quality.fit(docs, ratings))
+    with small_batches(spark):
+        return staged(quality.select(docs, quality.fit(docs, ratings)), "pipeline-good")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies."""
+    """One document of each component of near copies, that of the smallest doc_id (null last).
+    Texts without words are copies of nothing and all stay, of repeated rows one stays."""
     return ngram_join.keep_one(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
@@ -43,16 +48,19 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of a benchmark item."""
+    """Documents that hold no passage of a benchmark item, whatever their ids; null and empty
+    texts stay, as do all documents where the benchmark is empty."""
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows (doc_id, ids, n_tokens, text_sha256): ids of each document, and the digest of
-    the bytes that they decode to."""
+    the bytes that they decode to. Null and empty texts have no ids; every row gives a row.
+    Written at once, as in ``select_quality``."""
     decoded = byte_bpe.decode(byte_bpe.encode(docs))
     size = F.size("ids").cast("long").alias("n_tokens")
-    return decoded.select("doc_id", "ids", size, F.sha2("bytes", 256).alias("text_sha256"))
+    with small_batches(spark):
+        return staged(decoded.select("doc_id", "ids", size, F.sha2("bytes", 256).alias("text_sha256")), "pipeline-ids")
 
 
 STAGES = [

@@ -57,10 +57,11 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows (doc_id, ids, n_tokens, text_sha256): ids of each document, and the digest of
     the bytes that they decode to. Null and empty texts have no ids; every row gives a row.
     Written at once, as in ``select_quality``."""
-    decoded = byte_bpe.decode(byte_bpe.encode(docs))
     size = F.size("ids").cast("long").alias("n_tokens")
     with small_batches(spark):
-        return staged(decoded.select("doc_id", "ids", size, F.sha2("bytes", 256).alias("text_sha256")), "pipeline-ids")
+        # written in between, so that a task has one Python process at a time
+        decoded = byte_bpe.decode(staged(byte_bpe.encode(docs), "pipeline-ids"))
+        return staged(decoded.select("doc_id", "ids", size, F.sha2("bytes", 256).alias("text_sha256")), "pipeline-decoded")
 
 
 STAGES = [

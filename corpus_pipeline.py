@@ -24,11 +24,10 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a model of the labels expects to be good. Null and empty texts are
     scored as texts without words, long ones whole, and every row on its own, repeated or not;
-    without any label all stay. Written at once, a bounded number of texts at a time in a task."""
+    without any label all stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     ratings = labels.select("doc_id", quality.grade().alias("grade"))
-    with small_batches(spark):
-        return staged(quality.select(docs, quality.fit(docs, ratings)), "pipeline-good")
+    return quality.select(docs, quality.fit(docs, ratings))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +55,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows (doc_id, ids, n_tokens, text_sha256): ids of each document, and the digest of
     the bytes that they decode to. Null and empty texts have no ids; every row gives a row.
-    Written at once, as in ``select_quality``."""
+    Written at once, a bounded number of texts at a time in a task."""
     size = F.size("ids").cast("long").alias("n_tokens")
     with small_batches(spark):
         # written in between, so that a task has one Python process at a time

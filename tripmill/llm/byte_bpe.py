@@ -199,6 +199,7 @@ def _blocks(batches, pattern: str, parts: int, distinct: int, words: int, schema
     if keys:
         yield group()
     yield from dictionary()
+    T.release()
 
 
 class _Merged(dict):
@@ -240,6 +241,8 @@ def _merge(batches, ranks, name: str, pattern: str, schema: pa.Schema) -> Iterat
             lengths = np.fromiter(map(len, ids), np.uint32, len(ids))
             flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum()))
             yield _row(schema, block=row["block"], n=row["n"], lengths=_pack(lengths), numbers=row["numbers"], ids=_pack(flat))
+    del known  # the memory of a task ends with it
+    T.release()
 
 
 def _assemble(merged: pa.Table, texts: pa.Table, schema: pa.Schema) -> pa.Table:
@@ -262,6 +265,8 @@ def _assemble(merged: pa.Table, texts: pa.Table, schema: pa.Schema) -> pa.Table:
         ends = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(row["counts"], dtype=np.int64)]]
         ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(T.gather(values, starts[numbers], size)))
         out.append(pa.RecordBatch.from_arrays([pa.array(row["keys"], schema.field(0).type), ids], schema=schema))
+    del flat, values
+    T.release()
     return pa.Table.from_batches(out, schema=schema)
 
 
@@ -337,6 +342,8 @@ def _decode(batches, ranks, name: str, schema: pa.Schema) -> Iterator[pa.RecordB
         at = np.frombuffer(at, np.int64)[tokens.offset : tokens.offset + len(tokens) + 1] if len(tokens) else np.zeros(1, np.int64)
         joined = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(at[known].copy()), data])
         yield pa.RecordBatch.from_arrays([batch.column(0), ids, joined.cast(pa.binary())], schema=schema)
+        del tokens, data, joined
+        T.release()
 
 
 def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", ranks_path: str = RANKS) -> DataFrame:

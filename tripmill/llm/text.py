@@ -7,6 +7,7 @@ length: every step is a bijection there.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,16 @@ PIECE_BYTES = 1 << 20
 _LANE_MASK = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=U64)
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+
+
+def release() -> None:
+    """Gives free memory back to the system, as Python processes outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` with about ``limit`` bytes of text each, one row at least."""
     if not batch.num_rows:
@@ -33,7 +44,7 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
         end = max(begin + 1, int(np.searchsorted(ends, done + limit, side="right")))
         yield batch.slice(begin, end - begin)
         begin, done = end, int(ends[end - 1])
-    pa.default_memory_pool().release_unused()  # Python processes outlive their tasks
+    release()
 
 
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 #: Rows of the key sample per shard; the sample fixes where shards begin and nothing else.
 SAMPLE_PER_SHARD = 64
+#: Most range shards. Beyond them shards grow with the table, so that the driver holds a
+#: sample of some 4 million keys (32 MB) at most, however large the table is.
+MOST_SHARDS = 1 << 16
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -51,14 +54,17 @@ def shard_bounds(df: DataFrame, key: str, shards: int, rows: int) -> np.ndarray:
     """Keys at which the second and later of about equal range shards begin.
 
     A function of the keys alone, so a second run cuts alike: keys whose hash falls into
-    a fixed class are the sample, about ``SAMPLE_PER_SHARD`` per shard.
+    a fixed class are the sample, about ``SAMPLE_PER_SHARD`` per shard. There are at most
+    ``MOST_SHARDS`` shards. Null keys count for nothing; without any key there is one shard.
     """
+    shards = min(shards, MOST_SHARDS)
     if shards < 2:
         return np.zeros(0, np.int64)
     every = max(1, rows // (shards * SAMPLE_PER_SHARD))
     chosen = df.where(F.pmod(F.xxhash64(key), F.lit(every)) == 0).where(F.col(key).isNotNull())
     # a key repeated very often counts once, which keeps the sample small
-    keys = np.array(sorted(r[0] for r in chosen.select(key).distinct().collect()), dtype=np.int64)
+    found = chosen.select(F.col(key).cast("long").alias("key")).distinct().toArrow().column("key")
+    keys = np.sort(found.to_numpy())
     if not len(keys):
         return np.zeros(0, np.int64)
     return np.unique(keys[(np.arange(1, shards) * len(keys)) // shards])

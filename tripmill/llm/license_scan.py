@@ -51,9 +51,36 @@ SENTENCES = {
     " the free software foundation either version 2 of the license or at your option any later version",
     "gpl-3-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by"
     " the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl-free-software": "this library is free software",
+    "lgpl-2.1-terms": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as"
+    " published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl-3-terms": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as"
+    " published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-3-terms": "you can redistribute it and or modify it under the terms of the gnu affero general public license as"
+    " published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl-2-title": "gnu general public license v2 0",
+    "gpl-3-title": "gnu general public license v3 0",
+    "lgpl-2.1-title": "gnu lesser general public license v2 1",
+    "lgpl-3-title": "gnu lesser general public license v3 0",
+    "agpl-3-title": "gnu affero general public license v3 0",
     "bsd-grant": "redistribution and use in source and binary forms with or without modification are permitted provided that"
     " the following conditions are met",
+    "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the"
+    " following disclaimer",
+    "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the"
+    " following disclaimer in the documentation and or other materials provided with the distribution",
+    "bsd-names": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+    " products derived from this software without specific prior written permission",
     "bsd-reference": "released under the bsd license",
+    "bsd-2-reference": "licensed under the bsd 2 clause license",
+    "bsd-3-reference": "licensed under the bsd 3 clause license",
+    "bsd-2-release": "released under the bsd 2 clause license",
+    "bsd-3-release": "released under the bsd 3 clause license",
+    "bsd-2-title": "bsd 2 clause license",
+    "bsd-3-title": "bsd 3 clause license",
+    "epl-2-terms": "this program and the accompanying materials are made available under the terms of the eclipse public license"
+    " 2 0 which is available at https www eclipse org legal epl 2 0",
+    "epl-2-title": "eclipse public license v 2 0",
     "mpl-2-reference": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby"
     " granted provided that the above copyright notice and this permission notice appear in all copies",
@@ -86,8 +113,29 @@ RULES = (
     ("GPL-2.0-or-later", ("gpl-2-terms",)),
     ("GPL-3.0-only", ("gpl-3-reference",)),
     ("GPL-2.0-only", ("gpl-2-reference",)),
+    ("LGPL-2.1-or-later", ("lgpl-free-software", "lgpl-2.1-terms")),
+    ("LGPL-2.1-or-later", ("lgpl-2.1-terms",)),
+    ("LGPL-3.0-or-later", ("lgpl-free-software", "lgpl-3-terms")),
+    ("LGPL-3.0-or-later", ("lgpl-3-terms",)),
+    ("AGPL-3.0-or-later", ("gpl-free-software", "agpl-3-terms")),
+    ("AGPL-3.0-or-later", ("agpl-3-terms",)),
+    ("GPL-2.0", ("gpl-2-title",)),
+    ("GPL-3.0", ("gpl-3-title",)),
+    ("LGPL-2.1", ("lgpl-2.1-title",)),
+    ("LGPL-3.0", ("lgpl-3-title",)),
+    ("AGPL-3.0", ("agpl-3-title",)),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("BSD", ("bsd-grant",)),
     ("BSD", ("bsd-reference",)),
+    ("BSD-2-Clause", ("bsd-2-reference",)),
+    ("BSD-3-Clause", ("bsd-3-reference",)),
+    ("BSD-2-Clause", ("bsd-2-release",)),
+    ("BSD-3-Clause", ("bsd-3-release",)),
+    ("BSD-2-Clause", ("bsd-2-title",)),
+    ("BSD-3-Clause", ("bsd-3-title",)),
+    ("EPL-2.0", ("epl-2-terms",)),
+    ("EPL-2.0", ("epl-2-title",)),
     ("MPL-2.0", ("mpl-2-reference",)),
     ("ISC", ("isc-grant", "as-is")),
     ("ISC", ("isc-grant",)),
@@ -109,6 +157,9 @@ OPENING = rf"^(?:this|the) (?:{WORKS}) (?:is|are) (?=(?:released|licensed) )"
 OPENED = rf"^(?:this|the)(?: (?:source|(?:{WORKS})(?: (?:is|are))?))?$"
 KNOWN = {s: NUMBER[name] for name, s in SENTENCES.items()}
 KNOWN |= {re.sub(OPENING, "", s): n for s, n in KNOWN.items()}
+# conditions of a list may be numbered
+CONDITIONS = ("bsd-source", "bsd-binary", "bsd-names")
+KNOWN |= {f"{place} {SENTENCES[name]}": NUMBER[name] for place, name in enumerate(CONDITIONS, 1)}
 #: Words that a known sentence, with or without an opening, can begin with.
 BEGINS = "^(?:" + "|".join(sorted({s.split()[0] for s in KNOWN} | {"this", "the"})) + ")(?: |$)"
 LONGEST = max(len(s.split()) for s in KNOWN) + 5

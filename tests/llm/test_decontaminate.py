@@ -1,4 +1,6 @@
 import re
+from functools import lru_cache
+from operator import eq
 
 import regex
 
@@ -14,6 +16,7 @@ ITEM = (
 LETTER = rf"(?:(?![{dc.UNSPACED}])\p{{L}})"
 
 
+@lru_cache(None)
 def words(text):
     return regex.findall(rf"{LETTER}+|\p{{L}}|[0-9]+(?:[.,][0-9]+)*", text or "")
 
@@ -30,17 +33,26 @@ def template(raw):
     return out
 
 
+@lru_cache(None)
+def forms(text):
+    """Words of a text, their templates and their lower case."""
+    raw = words(text)
+    return raw, template(raw), [w.lower() for w in raw]
+
+
 def agrees(slots):
     return len({s[:2] for s in slots}) == len({(s[0], s[2]) for s in slots}) == len(set(slots))
 
 
 def compare(doc, item):
     """Best alignment over every shift, found without windows or hashes."""
-    a, b = words(doc), words(item)
-    ta, tb = template(a), template(b)
-    la, lb = [w.lower() for w in a], [w.lower() for w in b]
+    (a, ta, la), (b, tb, lb) = forms(doc), forms(item)
     need, window, best = min(dc.RUN, len(b)), min(dc.WINDOW, len(b)), None
     for shift in range(-len(b), len(a)):
+        lo, hi = max(0, -shift), min(len(b), len(a) - shift)
+        # every word of a passage is equal or alike: with fewer than a passage has, there is none
+        if sum(map(eq, la[shift + lo : shift + hi], lb[lo:hi])) + sum(map(eq, ta[shift + lo : shift + hi], tb[lo:hi])) < need:
+            continue
         at = [shift + k if 0 <= shift + k < len(a) else None for k in range(len(b))]
         equal = [i is not None and la[i] == lb[k] for k, i in enumerate(at)]
         alike = [i is not None and ta[i] == tb[k] for k, i in enumerate(at)]

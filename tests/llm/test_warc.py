@@ -74,6 +74,23 @@ def test_gzip_reads_the_files(spark, tmp_path):
     assert gzip.open(f"{tmp_path}/w/{name}").read().count(b"WARC/1.1\r\n") == len(PAGES) + 1
 
 
+@pytest.mark.parametrize("rows", [PAGES, [*PAGES, (3, None, LONG)]])
+def test_revisits_name_url_and_date_of_what_they_refer_to(spark, tmp_path, rows):
+    warc.write(frame(spark, rows), f"{tmp_path}/w", date="2020-02-02T00:00:00Z")
+    (name,) = [r["file"] for r in warc.manifest(spark, f"{tmp_path}/w").collect()]
+    with files.opened(f"file://{tmp_path}/w", name) as f:
+        headers = [warc.parse(record)[0] for record in warc.members(f)]
+    by_id = {h["WARC-Record-ID"]: h for h in headers}
+    assert len(by_id) == len(headers)
+    revisits = [h for h in headers if h["WARC-Type"] == "revisit"]
+    assert len(revisits) == sum(r[2] == "revisit" for r in expected(rows))
+    for h in revisits:
+        response = by_id[h["WARC-Refers-To"]]
+        assert response["WARC-Type"] == "response" and response["WARC-Payload-Digest"] == h["WARC-Payload-Digest"]
+        assert h.get("WARC-Refers-To-Target-URI") == response.get("WARC-Target-URI")
+        assert h["WARC-Refers-To-Date"] == response["WARC-Date"] == "2020-02-02T00:00:00Z"
+
+
 def test_damage_is_found(spark, tmp_path):
     warc.write(frame(spark, PAGES), f"{tmp_path}/w")
     (name,) = [r["file"] for r in warc.manifest(spark, f"{tmp_path}/w").collect()]

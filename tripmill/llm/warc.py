@@ -66,7 +66,7 @@ def _uri(url: str | None) -> str | None:
     return None if url is None else re.sub(r"[\x00-\x20%\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
 
 
-def page_record(page_id, url, payload: bytes, digest: str, copy: int, refers_to, date: str) -> bytes:
+def page_record(page_id, url, payload: bytes, digest: str, copy: int, refers_to, date: str, refers_to_url=None) -> bytes:
     kind = "response" if refers_to is None else "revisit"
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     headers = [
@@ -75,7 +75,9 @@ def page_record(page_id, url, payload: bytes, digest: str, copy: int, refers_to,
         ("X-Page-Id", None if page_id is None else str(page_id)),
     ]
     if kind == "revisit":
-        headers += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to, digest, 0)), ("X-Refers-To-Page-Id", str(refers_to))]
+        headers += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to, digest, 0)),
+                    ("WARC-Refers-To-Target-URI", _uri(refers_to_url)), ("WARC-Refers-To-Date", date),
+                    ("X-Refers-To-Page-Id", str(refers_to))]
         payload = b""
     return _record(kind, headers, http + payload)
 
@@ -87,25 +89,26 @@ def _member(data: bytes, level: int) -> bytes:
 
 
 def _sorted_records(batches, least: int, date: str) -> Iterator[bytes]:
-    """Record of every page; rows come by page id, decisions before their pages."""
-    current, firsts, seen, copies = object(), {}, set(), {}
+    """Record of every page; rows come by page id, decisions before their pages. ``seen`` and
+    ``firsts`` hold what a record refers to: page id and URL of the response of a payload."""
+    current, firsts, seen, copies = object(), {}, {}, {}
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("key", "first", "digest", "url")]
         payloads = batch.column("payload")
         for i, (key, first, digest, url) in enumerate(zip(*columns)):
             if key != current:
-                current, firsts, seen, copies = key, {}, set(), {}
+                current, firsts, seen, copies = key, {}, {}, {}
             if first is not None:
-                firsts[digest] = first
+                firsts[digest] = first, url
                 continue
             payload = payloads[i].as_py()
-            refers_to = None
+            refers_to, refers_to_url = None, None
             if key is not None and len(payload) >= least:
                 # a repeated row of the smallest page id refers to that page, too
-                refers_to = firsts.get(digest, key if digest in seen else None)
-                seen.add(digest)
+                refers_to, refers_to_url = firsts.get(digest, seen.get(digest, (None, None)))
+                seen.setdefault(digest, (key, url))
             copy = copies[digest] = copies.get(digest, -1) + 1
-            yield page_record(key, url, payload, digest, copy, refers_to, date)
+            yield page_record(key, url, payload, digest, copy, refers_to, date, refers_to_url)
 
 
 def _write(batches, folder: str, roll: int, least: int, level: int, date: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -154,7 +157,8 @@ def write(
 
     A null payload is empty. Payloads under ``revisit_bytes`` and those of rows without a
     page id are always responses. Where the smallest page id of a payload has several
-    rows, the first of them in order of URL is the response. A null URL has no header.
+    rows, the first of them in order of URL is the response. A null URL has no header,
+    neither in its own record nor in those that refer to it. All records carry ``date``.
     An empty table writes an empty manifest. Other columns are ignored. Runs jobs.
     """
     spark = pages.sparkSession
@@ -166,9 +170,12 @@ def write(
     rows, size = source.agg(F.count(F.lit(1)), F.sum(F.octet_length("payload"))).first()
     bounds = files.shard_bounds(source, "key", max(1, -(-(size or 0) // shard_bytes)), rows)
 
-    digests = source.where((F.octet_length("payload") >= revisit_bytes) & F.col("key").isNotNull()).select("key", "digest")
+    digests = source.where((F.octet_length("payload") >= revisit_bytes) & F.col("key").isNotNull()).select("key", "digest", "url")
     firsts = digests.groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    decided = digests.join(firsts.drop("n"), "digest").where(F.col("key") > F.col("first")).select("key", "digest", "first")
+    copies = digests.join(firsts.drop("n"), "digest")
+    # the URL of the response, null before any other as in the order of the records
+    urls = copies.where(F.col("key") == F.col("first")).groupBy("digest").agg(F.min(F.struct("url")).alias("of"))
+    decided = copies.where(F.col("key") > F.col("first")).join(urls, "digest").select("key", "digest", "first", F.col("of.url").alias("url"))
 
     @F.pandas_udf("int")
     def shard_of(ids):

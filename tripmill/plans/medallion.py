@@ -49,8 +49,8 @@ def write_bronze(raw: DataFrame, lake: Lake, mode: str = "overwrite") -> int:
         L.delete(raw.sparkSession, lake.index)
     seen = Observation()
     rows = lake.with_partition(ingest.with_trip_date(raw))
-    counted = rows.hint("rebalance", lake.partition).observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.mode(mode).partitionBy(lake.partition).format(lake.format)
+    counted = lake.gathered(rows, lake.partition).observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = counted.write.mode(mode).partitionBy(lake.partition).format(lake.format).option("compression", L.CODEC)
     writer.option("partitionOverwriteMode", "static").save(lake.bronze)
     return seen.get["rows"]
 

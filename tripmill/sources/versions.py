@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.schema import REJECT_REASON, VALID, ContractError
-from tripmill.sources.lake import Lake, exists, partition_folder, subfolders
+from tripmill.sources.lake import CODEC, Lake, exists, partition_folder, subfolders
 from tripmill.sources.staging import delete, file_system
 
 #: Versions that stay readable, the one in force included.
@@ -123,15 +123,16 @@ class Written:
 def write(tagged: DataFrame, lake: Lake) -> Written:
     """Write tagged rows as a new run that no version names yet, and count them as read back.
 
-    One shuffle gathers the rows of a partition and reason and spreads large ones. The rows
-    are counted while they are written; what the files say is held against that.
+    One shuffle gathers the rows of a partition and reason and spreads large ones, unless
+    partitions are years (see ``Lake.gathers``). The rows are counted while they are written;
+    what the files say is held against that.
     """
     spark, run, seen = tagged.sparkSession, uuid.uuid4().hex, Observation()
     by = [REJECT_REASON, lake.partition]
-    rows = tagged.hint("rebalance", *by).observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows = lake.gathered(tagged, *by).observe(seen, F.count(F.lit(1)).alias("rows"))
     folder = f"{_runs(lake)}/{RUN}={run}"
     try:
-        rows.write.partitionBy(*by).format(lake.format).save(folder)
+        rows.write.partitionBy(*by).format(lake.format).option("compression", CODEC).save(folder)
         found = Written(run, _counted(spark, lake, tagged.schema, folder))
         if found.rows != seen.get["rows"]:
             raise ContractError(f"row counts differ after writing {folder}: {found.rows} read, {seen.get['rows']} expected")

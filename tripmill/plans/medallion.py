@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.functions.columns import speed_mph, wall_clock
-from tripmill.operators import gold, ingest, quality, sketches
+from tripmill.operators import gold, id_bits, ingest, quality, sketches
 from tripmill.operators.dedup import CopyPolicy
 from tripmill.operators.quality import Thresholds
 from tripmill.schema import DUPLICATE_RANK, REJECT_REASON, SPEED, VALID, ContractError, require_columns, require_types
@@ -108,18 +108,27 @@ def affected_partitions(index: DataFrame, changed: DataFrame, partition: str) ->
     """Partitions whose result may change with ``changed`` rows: their own, and those of
     every row that shares a trip id with them, since copies are ranked across days.
     ``index`` has the pairs (trip_id, partition) of bronze, or is bronze itself."""
+    own = [row[0] for row in changed.select(partition).distinct().collect()]
+    others = index.filter(~F.coalesce(L.among(partition, own), F.lit(False)))
+    if others.isEmpty():
+        return own
     ids = changed.select("trip_id").distinct()
-    own = changed.select(partition)
-    related = index.join(ids, "trip_id", "left_semi").select(partition)
-    return [row[0] for row in own.unionByName(related).distinct().collect()]
+    related = others.join(ids, "trip_id", "left_semi").select(partition).distinct()
+    return own + [row[0] for row in related.collect()]
 
 
-def _rows_to_rank(bronze: DataFrame, partitions: list, partition: str, index: DataFrame | None) -> DataFrame:
-    """Rows of the partitions and, from all others, the copies of their trip ids. With an
-    index only those other partitions are read that have copies."""
+def _rows_to_rank(
+    bronze: DataFrame, partitions: list, partition: str, index: DataFrame | None, policy: CopyPolicy
+) -> DataFrame:
+    """Rows of the partitions and, from all others, at least the copies of their trip ids. With
+    an index only those other partitions are read that have copies. The copies are found by a
+    bitmap of the ids, without a shuffle: that some rows of other ids come along changes no
+    rank. Where the ids are too many for it, by a join."""
     chosen = L.among(partition, partitions)
     inside = bronze.filter(chosen)
     outside = bronze.filter(~F.coalesce(chosen, F.lit(False)))
+    if outside.isEmpty():
+        return inside
     ids = inside.select("trip_id").filter(F.col("trip_id").isNotNull()).distinct()
     if index is not None:
         elsewhere = index.filter(~F.coalesce(chosen, F.lit(False)))
@@ -127,6 +136,11 @@ def _rows_to_rank(bronze: DataFrame, partitions: list, partition: str, index: Da
         if not found:
             return inside
         outside = bronze.filter(L.among(partition, [row[0] for row in found]))
+    n_rows = inside.count()
+    bits = id_bits.bits_for(n_rows, policy.broadcast_bytes)
+    if id_bits.false_share(n_rows, bits) <= policy.most_shuffled / 2:
+        told = id_bits.marked(outside, "trip_id", id_bits.bitmaps(inside, "trip_id", bits), bits, "_maybe")
+        return inside.unionByName(told.filter("_maybe").drop("_maybe"))
     return inside.unionByName(outside.join(ids, "trip_id", "left_semi").select(bronze.columns))
 
 
@@ -155,8 +169,9 @@ def run_silver(
         raise ContractError("bronze has no rows")
     column = lake.partition
     before = versions.current(spark, lake)
+    policy = replace(policy, stored=True)
     with staging_scope(spark):
-        rows = bronze if partitions is None else _rows_to_rank(bronze, partitions, column, index)
+        rows = bronze if partitions is None else _rows_to_rank(bronze, partitions, column, index, policy)
         tagged = quality.tagged(rows, limits, tie_break, dedup_after_validation, policy)
         require_types(tagged)
         if partitions is not None:

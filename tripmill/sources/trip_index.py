@@ -22,8 +22,9 @@ _BASE = "batch=base"
 
 
 def _pairs(rows: DataFrame, lake: Lake) -> DataFrame:
-    pairs = rows.select("trip_id", lake.partition).filter(F.col("trip_id").isNotNull()).distinct()
-    return pairs.repartitionByRange("trip_id").sortWithinPartitions("trip_id")
+    pairs = rows.select("trip_id", lake.partition).filter(F.col("trip_id").isNotNull())
+    # equal pairs are in one range: no second shuffle
+    return pairs.repartitionByRange("trip_id").distinct().sortWithinPartitions("trip_id")
 
 
 def read(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -49,6 +50,9 @@ def append(spark: SparkSession, lake: Lake, batch: DataFrame, name: str) -> None
             delete(spark, f"{lake.index}/{folder}")
 
 
-def ensure(spark: SparkSession, lake: Lake, bronze: DataFrame) -> None:
-    if not exists(spark, lake.index):
-        rebuild(spark, lake, bronze)
+def ensure(spark: SparkSession, lake: Lake, bronze: DataFrame) -> bool:
+    """Index all of ``bronze`` where there is no index yet; returns whether that was so."""
+    if exists(spark, lake.index):
+        return False
+    rebuild(spark, lake, bronze)
+    return True

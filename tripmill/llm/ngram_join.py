@@ -22,8 +22,11 @@ it would give:
 
 In each list of the index all members are compared with the one that has the fewest
 n-grams of its own, which connects a group of near copies by as many comparisons as it has
-members. Further pairs are looked at only between components that are still apart, after a
-bound on their overlap: the n-grams that their prefixes share are counted, and whole sets
+members. Further pairs are looked at only between components that are still apart. In a long
+list those that share half with its middle member are told by the n-grams by which they differ
+from what most have: linked pairs differ by little or in the same n-grams, and the prefix
+principle holds for these as well. All others are pairs of their list. After a
+bound on their overlap, the n-grams that their prefixes share are counted, and whole sets
 are compared only where they share as many as the smaller of the two numbers ``l``. No list
 is cut, and every comparison is of whole sets.
 """
@@ -31,11 +34,12 @@ is cut, and every comparison is of whole sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
@@ -48,6 +52,8 @@ WORDS, PERCENT = 3, 90
 BLOCK_BYTES = 1 << 20
 #: Matches for which a prefix may be lengthened.
 MOST_MATCHES = 8
+#: Members of a list beyond which those close to its middle one are compared by their diffs.
+LONG_LIST = 32
 _SECOND = T.U64(0x94D049BB133111EB)
 
 
@@ -177,10 +183,82 @@ class _Bounds:
         most = F.least(n - own, other_n - other_own)
         return (100 + self.percent) * most >= self.percent * (n + other_n)
 
+    def excess(self, diff: Column, n: Column) -> Column:
+        """Of a set that differs by ``diff`` n-grams from another: two sets are linked if theirs add
+        up to no more than ``shared_excess`` of the n-grams by which both differ from it."""
+        return (100 + self.percent) * diff.cast("long") - (100 - self.percent) * n
+
+    def shared_excess(self, both: Column) -> Column:
+        return 2 * (100 + self.percent) * both
+
     def linked(self, both: Column, n: Column, other_n: Column) -> Column:
         return 100 * both >= self.percent * (n + other_n - both)
 
 
+def _larger_first() -> Column:
+    return (F.col("x_n") > F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_row") > F.col("y_row")))
+
+
+def _both(x: DataFrame, y: DataFrame, on: list[str]) -> DataFrame:
+    """Pairs of rows of different components that agree in ``on``, the larger set as x."""
+    x, y = (some.select(*on, *[F.col(c).alias(f"{side}_{c}") for c in some.columns if c not in on]) for some, side in ((x, "x"), (y, "y")))
+    return x.join(y, on).where((F.col("x_root") != F.col("y_root")) & _larger_first())
+
+
+def _across(x: DataFrame, y: DataFrame, need: _Bounds) -> DataFrame:
+    """Pairs (a, b), a the smaller set, of the members of the same lists."""
+    columns = ("gram", "row", "n", "own", "root")
+    possible = need.possible(F.col("x_n"), F.col("x_own"), F.col("y_n"), F.col("y_own"))
+    pairs = _both(x.select(*columns), y.where("as_smaller").select(*columns), ["gram"])
+    return pairs.where(possible).select(F.col("y_row").alias("a"), F.col("x_row").alias("b"))
+
+
+def _told_apart(held: DataFrame, sets: DataFrame, need: _Bounds) -> DataFrame:
+    """Rows (row, mid, n, root, diff, excess) of the members of lists that share at least half
+    with the middle one, ``mid``: by which n-grams they differ from what most of these have.
+
+    That is the set of the middle one but for the n-grams by which more than half differ from it.
+    Sets that differ by x and y from any third set differ by ``|x| + |y| - 2 * |x and y|`` from
+    each other. So two are linked exactly if their ``excess`` adds up to no more than
+    ``2 * (100 + percent)`` for each n-gram that both diffs have.
+    """
+    asked = held.select("row", "mid", "n", "root").distinct()
+    both = asked.join(sets, "row").join(sets.select(F.col("row").alias("mid"), F.col("grams").alias("mid_grams")), "mid")
+    diff = F.concat(F.array_except("grams", "mid_grams"), F.array_except("mid_grams", "grams"))
+    both = both.withColumn("diff", diff).where(3 * F.size("diff") <= F.size("grams") + F.size("mid_grams"))
+    close = staged(both.select("row", "mid", "n", "root", "diff"), "join-told")
+    members = close.groupBy("mid").agg(F.count(F.lit(1)).alias("members"))
+    times = close.select("mid", F.explode("diff").alias("gram")).groupBy("mid", "gram").agg(F.count(F.lit(1)).alias("times"))
+    most = times.join(members, "mid").where("2 * times > members").groupBy("mid").agg(F.collect_list("gram").alias("most"))
+    close = close.join(most, "mid", "left").withColumn("most", F.coalesce("most", F.array().cast("array<bigint>")))
+    close = close.withColumn("diff", F.concat(F.array_except("diff", "most"), F.array_except("most", "diff"))).drop("most")
+    return close.withColumn("excess", need.excess(F.size("diff"), F.col("n")))
+
+
+def _close_pairs(close: DataFrame, need: _Bounds) -> DataFrame:
+    """Pairs (a, b), a the smaller set, among those of ``_told_apart`` that connect all of the same
+    middle that are linked."""
+    # with an excess of no more than zero together: then each is linked to that of the least
+    least = close.groupBy("mid").agg(F.min(F.struct("excess", "row", "n", "root")).alias("o"))
+    sure = close.join(least, "mid").where((F.col("excess") + F.col("o.excess") <= 0) & (F.col("root") != F.col("o.root")))
+    this, other = F.struct("n", "row"), F.struct("o.n", "o.row")
+    sure = sure.select(F.least(this, other)["row"].alias("a"), F.greatest(this, other)["row"].alias("b"))
+
+    # the others have n-grams of their diffs in common: prefixes of the rarest of them
+    grams = close.select("row", "mid", "n", "root", "excess", F.explode("diff").alias("gram"))
+    ends = F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("times")
+    shared = grams.groupBy("mid", "gram").agg(*ends).where("low <> high").select("mid", "gram", "times")
+    own = Window.partitionBy("mid", "row")
+    place = F.row_number().over(own.orderBy(F.desc("times"), F.desc("gram"))).cast("long")
+    # from this one to the last
+    index = grams.join(shared, ["mid", "gram"]).withColumn("left", place).drop("times")
+    index = staged(index, "join-diffs")
+    pairs = _both(index, index, ["mid", "gram"])
+    together = F.col("x_excess") + F.col("y_excess")
+    pairs = pairs.where((together > 0) & (together <= need.shared_excess(F.least("x_left", "y_left"))))
+    return sure.unionByName(pairs.select(F.col("y_row").alias("a"), F.col("x_row").alias("b")))
+
+
 def _matches(need: _Bounds) -> Column:
     """For how many matches the prefix of a set (n, own, rare) is lengthened: the number of
     the least estimated cost, and of the overlap that any partner needs at most.
@@ -321,15 +399,19 @@ def _join(blocks: DataFrame, words: int, percent: int) -> DataFrame:
     # pairs between components that are still apart
     joined = index.join(components(found).withColumnRenamed("node", "row"), "row", "left")
     joined = staged(joined.withColumn("root", F.coalesce("root", "row")), "join-apart")
-    apart = joined.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("gram")
-    opened = joined.join(apart, "gram", "left_semi")
-    columns = ("row", "n", "own", "root")
-    x = opened.select("gram", *[F.col(c).alias(f"x_{c}") for c in columns])
-    y = opened.where("as_smaller").select("gram", *[F.col(c).alias(f"y_{c}") for c in columns])
-    larger_first = (F.col("x_n") > F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_row") > F.col("y_row")))
-    possible = need.possible(F.col("x_n"), F.col("x_own"), F.col("y_n"), F.col("y_own"))
-    across = x.join(y, "gram").where((F.col("x_root") != F.col("y_root")) & larger_first & possible)
-    pairs = staged(across.select(F.col("y_row").alias("a"), F.col("x_row").alias("b")).distinct(), "join-pairs")
+    ends = F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("times")
+    apart = joined.groupBy("gram").agg(*ends).where("low <> high").select("gram", (F.col("times") > LONG_LIST).alias("long"))
+    opened = joined.join(apart, "gram")
+    short = opened.where("not long")
+    # the middle member of a long list was compared with all others of it
+    held = opened.where("long").join(middles.select("gram", F.col("m.row").alias("mid")), "gram").where("row <> mid")
+    close = staged(_told_apart(held, sets, need), "join-close")
+    held = held.join(close.select("row", "mid", F.lit(True).alias("close")), ["row", "mid"], "left")
+    held = staged(held.withColumn("close", F.coalesce("close", F.lit(False))), "join-held")
+    far = held.where("not close")
+    across = [_across(x, y, need) for x, y in ((short, short), (far, held), (held.where("close"), far))]
+    across = reduce(DataFrame.unionByName, [*across, _close_pairs(close, need)])
+    pairs = staged(across.distinct(), "join-pairs")
     # prefixes for l matches share l n-grams, and the longer of two contains one for the fewer
     low = prefixes.select(F.col("row").alias("a"), F.col("matches").alias("a_matches"), F.col("smaller").alias("a_prefix"))
     high = prefixes.select(F.col("row").alias("b"), F.col("matches").alias("b_matches"), F.col("larger").alias("b_prefix"))

@@ -222,8 +222,10 @@ def _told_apart(held: DataFrame, sets: DataFrame, need: _Bounds) -> DataFrame:
     each other. So two are linked exactly if their ``excess`` adds up to no more than
     ``2 * (100 + percent)`` for each n-gram that both diffs have.
     """
-    asked = held.select("row", "mid", "n", "root").distinct()
-    both = asked.join(sets, "row").join(sets.select(F.col("row").alias("mid"), F.col("grams").alias("mid_grams")), "mid")
+    # each written before it meets the sets, so that few of them don't have all sets shuffled
+    asked = staged(held.select("row", "mid", "n", "root").distinct(), "join-asked")
+    asked = staged(asked.join(sets, "row"), "join-asked-sets")
+    both = asked.join(sets.select(F.col("row").alias("mid"), F.col("grams").alias("mid_grams")), "mid")
     diff = F.concat(F.array_except("grams", "mid_grams"), F.array_except("mid_grams", "grams"))
     both = both.withColumn("diff", diff).where(3 * F.size("diff") <= F.size("grams") + F.size("mid_grams"))
     close = staged(both.select("row", "mid", "n", "root", "diff"), "join-told")
@@ -401,10 +403,11 @@ def _join(blocks: DataFrame, words: int, percent: int) -> DataFrame:
     joined = staged(joined.withColumn("root", F.coalesce("root", "row")), "join-apart")
     ends = F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("times")
     apart = joined.groupBy("gram").agg(*ends).where("low <> high").select("gram", (F.col("times") > LONG_LIST).alias("long"))
-    opened = joined.join(apart, "gram")
+    opened = staged(joined.join(apart, "gram"), "join-opened")
     short = opened.where("not long")
     # the middle member of a long list was compared with all others of it
-    held = opened.where("long").join(middles.select("gram", F.col("m.row").alias("mid")), "gram").where("row <> mid")
+    held = opened.where("long")
+    held = held.join(held.groupBy("gram").agg(middle).select("gram", F.col("m.row").alias("mid")), "gram").where("row <> mid")
     close = staged(_told_apart(held, sets, need), "join-close")
     held = held.join(close.select("row", "mid", F.lit(True).alias("close")), ["row", "mid"], "left")
     held = staged(held.withColumn("close", F.coalesce("close", F.lit(False))), "join-held")

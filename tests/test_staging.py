@@ -29,6 +29,22 @@ def test_scope_deletes_after_a_failure(spark):
     assert not os.path.exists(path)
 
 
+def test_what_outlives_a_scope_goes_with_the_next(spark):
+    with staging_scope(spark):
+        with staging_scope(spark):
+            inner = folder_of(staged(spark.range(3), "inner"))
+            held = staged(spark.range(4), "held", outlives=True)
+        assert not os.path.exists(inner) and held.count() == 4
+        with staging_scope(spark):
+            pass
+        path = folder_of(held)
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+    with staging_scope(spark):
+        last = staged(spark.range(5), "last", outlives=True)
+    assert last.count() == 5
+
+
 def test_the_shared_folder_is_that_of_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 

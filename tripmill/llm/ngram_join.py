@@ -7,9 +7,11 @@ documents, two sets with overlap ``t`` share at least ``l`` of their first
 prefix, the more n-grams they must share. How long a prefix is depends on what candidates
 it would give:
 
-1. Every representative has a prefix in order of hash, longer than the shortest possible.
-   If enough of its n-grams occur in no other prefix, the document has no candidate and is
-   done; that holds for nearly all.
+1. Every representative has a prefix in order of hash. In that order, linked sets also share
+   pairs of neighbours: of all that both share up to where the first of two prefixes ends, only
+   those with an n-gram of one set alone in between are none. If too many pairs of a prefix
+   occur in no other one, the document has no candidate and is done; that holds for nearly all.
+   Common passages hardly matter, as n-grams of different ones are neighbours.
 2. The rest lengthen their prefix to the whole set. Those with so many n-grams of their
    own that no overlap can reach the threshold are done.
 3. What remains is indexed by its rarest n-grams, by counts among what remains: in a pair
@@ -44,12 +46,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 from tripmill.llm import text as T
-from tripmill.llm.blocks import bucketed, few_files
+from tripmill.llm.blocks import bucketed, few_files, shuffles_dropped
 from tripmill.llm.components import components
-from tripmill.sources.staging import staged
+from tripmill.sources.staging import staged, staging_scope
 
 WORDS, PERCENT = 3, 90
 BLOCK_BYTES = 1 << 20
+#: The first prefix is lengthened by one n-gram for so many of its set.
+EXTRA = 40
 #: Matches for which a prefix may be lengthened.
 MOST_MATCHES = 8
 #: Members of a list beyond which those close to its middle one are compared by their diffs.
@@ -124,15 +128,21 @@ SETS = S.StructType([S.StructField("block", S.LongType()), S.StructField("at", S
                      S.StructField("grams", S.ArrayType(S.LongType()))])
 
 
-def _grams(blocks: pa.Table, wanted: pa.Table, words: int, schema: pa.Schema) -> pa.Table:
-    """The first ``take`` n-grams, by hash, of each wanted document of one block."""
+def _grams(blocks: pa.Table, wanted: pa.Table, words: int, schema: pa.Schema, pairs: bool = False) -> pa.Table:
+    """The first ``take`` n-grams, by hash, of each wanted document of one block, or the
+    ``pairs`` of neighbours among them."""
     if not wanted.num_rows:
         return schema.empty_table()
     grams, first = _sets_of(blocks, words)
     at = wanted.column("at").to_numpy()
     count = np.minimum(wanted.column("take").to_numpy(), np.diff(first)[at])
     chosen = T.gather(grams, first[at], count)
-    columns = [np.full(len(chosen), blocks.column("block")[0].as_py()), np.repeat(at, count), chosen.view(np.int64)]
+    at = np.repeat(at, count)
+    if pairs:
+        same = at[1:] == at[:-1]
+        # 48 bits: pairs that are mistaken for equal ones only keep a document
+        at, chosen = at[1:][same], T.mix(T.mix(chosen[:-1]) + chosen[1:])[same] >> T.U64(16)
+    columns = [np.full(len(chosen), blocks.column("block")[0].as_py()), at, chosen.view(np.int64)]
     return pa.Table.from_arrays([pa.array(c) for c in columns], schema=schema)
 
 
@@ -174,9 +184,25 @@ class _Bounds:
         return F.ceil(n * (2 * self.percent) / (100.0 + self.percent) - 1e-9).cast("long")
 
     def extra(self, n: Column) -> Column:
-        """How many n-grams more than the shortest prefix the first prefix has; never
-        fewer for a larger set."""
-        return F.floor(n / 20).cast("long") + 3
+        """How many pairs a first prefix shares at least with a linked set's, if it is no
+        shorter than asked; never fewer for a larger set."""
+        return F.floor(n / EXTRA).cast("long") + 3
+
+    @property
+    def _apart(self) -> float:
+        """What may part neighbours of a set, as a share of its size: each of its n-grams that a
+        linked set lacks takes itself and one pair, each that it lacks itself one pair."""
+        return max(2 * (100 - self.percent) / 100, (100 - self.percent) / self.percent)
+
+    def prefix(self, n: Column) -> Column:
+        """Length of the first prefix, of which ``l`` n-grams have ``l - 1`` pairs."""
+        return F.least(n, F.floor(n * self._apart + 1e-9).cast("long") + 1 + self.extra(n))
+
+    def pairs(self, n: Column) -> Column:
+        """How many pairs of a first prefix are shared with that of any linked set: what the
+        shorter one shares at least, be that of the smallest possible set."""
+        least = self.overlap(n)
+        return F.least(self.extra(least), F.ceil(least * (1 - self._apart) - 1e-9).cast("long") - 1)
 
     def possible(self, n: Column, own: Column, other_n: Column, other_own: Column) -> Column:
         """Whether sets with so many n-grams of their own can overlap enough."""
@@ -315,65 +341,78 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
 
 
 def _join(blocks: DataFrame, words: int, percent: int) -> DataFrame:
+    spark = blocks.sparkSession
+    row = F.struct("block", "at").alias("row")
+    rows = blocks.select("block", F.explode("docs").alias("d")).select("block", "d.*").withColumn("row", row)
+    full = rows.where("n > 0")
+    n_docs = blocks.agg(F.sum(F.size("docs"))).first()[0] or 0
+    with shuffles_dropped(spark):
+        classes = full.groupBy("one", "two", "n").agg(F.min("row").alias("class"))
+        classes = staged(few_files(classes, n_docs), "join-classes")
+        # nothing of what is written on the way to the links is read after them
+        with staging_scope(spark):
+            found = _links(blocks, classes, n_docs, words, percent)
+            roots = staged(components(found).withColumnRenamed("node", "class"), "join-roots", outlives=True)
+    named = full.join(classes, ["one", "two", "n"]).join(roots, "class", "left")
+    named = named.select("row", "key", "n", "class", F.coalesce("root", "class").alias("root"))
+    empty = rows.where("n = 0").select("row", "key", "n", F.col("row").alias("class"), F.col("row").alias("root"))
+    return named.unionByName(empty)
+
+
+def _links(blocks: DataFrame, classes: DataFrame, n_docs: int, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of linked representatives, enough of them to connect all that are."""
     need = _Bounds(percent)
+    spark = blocks.sparkSession
+    row = F.struct("block", "at").alias("row")
     grams_schema, sets_schema = _arrow(GRAMS), _arrow(SETS)
     texts = blocks.select("block", "sizes", "bytes", "text")
 
     def from_blocks(wanted: DataFrame, work, schema: S.StructType) -> DataFrame:
         return texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(work, schema)
 
-    n_docs = blocks.agg(F.sum(F.size("docs"))).first()[0] or 0
-
-    def stored(some: DataFrame, label: str) -> DataFrame:
+    def stored(some: DataFrame, label: str, **options) -> DataFrame:
         """Written: a row per document at most."""
-        return staged(few_files(some, n_docs), label)
+        return staged(few_files(some, n_docs), label, **options)
 
-    row = F.struct("block", "at").alias("row")
-    rows = blocks.select("block", F.explode("docs").alias("d")).select("block", "d.*").withColumn("row", row)
-    full = rows.where("n > 0")
-    classes = stored(full.groupBy("one", "two", "n").agg(F.min("row").alias("class")), "join-classes")
     chosen = classes.select("class.block", "class.at", "n")
 
-    # 1. prefixes by hash: how many of their n-grams occur in no other prefix
-    shortest = F.col("n") - need.overlap(F.col("n"))
-    first = chosen.select("block", "at", "n", (shortest + 1 + need.extra(F.col("n"))).alias("take"))
-    prefix = from_blocks(first, lambda a, b: _grams(a, b, words, grams_schema), GRAMS)
-
-    def own_grams(grams: DataFrame) -> DataFrame:
-        alone = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("times"), F.min("block").alias("block"), F.min("at").alias("at"))
-        return alone.where("times = 1").groupBy("block", "at").agg(F.count(F.lit(1)).alias("own"))
+    # 1. prefixes by hash: how many of their pairs occur in no other prefix
+    first = chosen.select("block", "at", "n", need.prefix(F.col("n")).alias("take"))
+    pairs = from_blocks(first, lambda a, b: _grams(a, b, words, grams_schema, pairs=True), GRAMS)
 
     def with_own(some: DataFrame, grams: DataFrame) -> DataFrame:
-        return some.join(own_grams(grams), ["block", "at"], "left").withColumn("own", F.coalesce("own", F.lit(0).cast("long")))
+        alone = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("times"), F.min("block").alias("block"), F.min("at").alias("at"))
+        own = alone.where("times = 1").groupBy("block", "at").agg(F.count(F.lit(1)).alias("own"))
+        return some.join(own, ["block", "at"], "left").withColumn("own", F.coalesce("own", F.lit(0).cast("long")))
 
-    # a partner's prefix may be longer than the shortest by what the smallest partner has
-    smallest = need.overlap(F.col("n"))
-    has = F.least(F.col("n"), F.col("take"))
-    searched = has - need.extra(smallest)
-    playing = stored(with_own(first, prefix).where(F.col("own") < F.greatest(searched, F.lit(1))).select("block", "at", "n"), "join-playing")
+    shared = F.col("take") - 1 - F.col("own")
+    playing = stored(with_own(first, pairs).where(shared >= need.pairs(F.col("n"))).select("block", "at", "n"), "join-playing")
 
     # 2. whole sets of those: n-grams of their own can't be shared
     whole = from_blocks(playing.withColumn("take", F.col("n")), lambda a, b: _grams(a, b, words, grams_schema), GRAMS)
     able = stored(with_own(playing, whole).where(F.col("n") - F.col("own") >= need.overlap(F.col("n"))).select("block", "at", "n"), "join-able")
 
     # 3. their rarest n-grams
-    grams = staged(
-        from_blocks(able.withColumn("take", F.col("n")), lambda a, b: _grams(a, b, words, grams_schema), GRAMS), "join-grams"
-    )
-    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    rarest = F.sort_array(F.collect_list(F.struct("times", "gram")))  # as many as the document has
-    lists = grams.join(counts, "gram").groupBy("block", "at").agg(rarest.alias("rare")).join(able, ["block", "at"])
-    lists = lists.withColumn("own", F.col("n") - F.size("rare"))
-    larger = F.col("n") - need.overlap(F.col("n")) - F.col("own")
-    smaller = F.col("n") - need.overlap_as_smaller(F.col("n")) - F.col("own")
-    lists = lists.where(larger >= 0).withColumn("matches", _matches(need))
-    lists = lists.select(
-        row, "n", "own", "matches", F.transform("rare", lambda g: g["gram"]).alias("rare"),
-        *[(c + extra).cast("int").alias(f"{name}{suffix}") for name, c in (("larger", larger), ("smaller", smaller))
-          for suffix, extra in (("", 1), ("_long", F.col("matches")))],
-    )
-    rare = lambda size: F.slice("rare", F.lit(1), F.greatest(F.col(size), F.lit(0)))
-    lists = stored(lists.withColumn("rare", F.slice("rare", F.lit(1), F.col("larger_long"))), "join-prefixes")
+    with staging_scope(spark):
+        grams = staged(
+            from_blocks(able.withColumn("take", F.col("n")), lambda a, b: _grams(a, b, words, grams_schema), GRAMS), "join-grams"
+        )
+        # written, so that its shuffle is gone before that of the lists
+        counts = staged(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "join-counts")
+        # as many as the document has; two lists in the same order are half as large as one of structs
+        rarest = F.sort_array(F.arrays_zip(F.collect_list("times").alias("times"), F.collect_list("gram").alias("gram")))
+        lists = grams.join(counts, "gram").groupBy("block", "at").agg(rarest.alias("rare")).join(able, ["block", "at"])
+        lists = lists.withColumn("own", F.col("n") - F.size("rare"))
+        larger = F.col("n") - need.overlap(F.col("n")) - F.col("own")
+        smaller = F.col("n") - need.overlap_as_smaller(F.col("n")) - F.col("own")
+        lists = lists.where(larger >= 0).withColumn("matches", _matches(need))
+        lists = lists.select(
+            row, "n", "own", "matches", F.transform("rare", lambda g: g["gram"]).alias("rare"),
+            *[(c + extra).cast("int").alias(f"{name}{suffix}") for name, c in (("larger", larger), ("smaller", smaller))
+              for suffix, extra in (("", 1), ("_long", F.col("matches")))],
+        )
+        rare = lambda size: F.slice("rare", F.lit(1), F.greatest(F.col(size), F.lit(0)))
+        lists = stored(lists.withColumn("rare", F.slice("rare", F.lit(1), F.col("larger_long"))), "join-prefixes", outlives=True)
     prefixes = lists.select("row", "matches", rare("larger_long").alias("larger"), rare("smaller_long").alias("smaller"))
     index = lists.select("row", "n", "own", "smaller", F.posexplode(rare("larger")).alias("place", "gram"))
     index = staged(index.select("row", "n", "own", "gram", (F.col("place") < F.col("smaller")).alias("as_smaller")), "join-index")
@@ -420,21 +459,18 @@ def _join(blocks: DataFrame, words: int, percent: int) -> DataFrame:
     high = prefixes.select(F.col("row").alias("b"), F.col("matches").alias("b_matches"), F.col("larger").alias("b_prefix"))
     shared = F.size(F.array_intersect("a_prefix", "b_prefix"))
     pairs = pairs.join(low, "a").join(high, "b").where(shared >= F.least("a_matches", "b_matches")).select("a", "b")
-    found = found.unionByName(links(pairs))
-
-    roots = components(found).withColumnRenamed("node", "class")
-    named = full.join(classes, ["one", "two", "n"]).join(roots, "class", "left")
-    named = named.select("row", "key", "n", "class", F.coalesce("root", "class").alias("root"))
-    empty = rows.where("n = 0").select("row", "key", "n", F.col("row").alias("class"), F.col("row").alias("root"))
-    return named.unionByName(empty)
+    return found.unionByName(links(pairs))
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Rows (key, n_shingles, component_id): the component's smallest key names it. Null
     keys are passed over; a component with null keys alone has a null name."""
-    joined = staged(join(docs, key, text, **options), "join-result")
-    # written, so that the join is between plain tables and a large component can be split
-    names = staged(joined.groupBy("root").agg(F.min(key).alias("component_id")), "join-names")
+    spark = docs.sparkSession
+    with shuffles_dropped(spark):
+        with staging_scope(spark):
+            joined = staged(join(docs, key, text, **options), "join-result", outlives=True)
+        # written, so that the join is between plain tables and a large component can be split
+        names = staged(joined.groupBy("root").agg(F.min(key).alias("component_id")), "join-names")
     return joined.join(names, "root").select(key, "n_shingles", "component_id")
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm import byte_bpe, decontaminate, ngram_join, quality, substring_dedup
-from tripmill.llm.blocks import small_batches
-from tripmill.sources.staging import staged
+from tripmill.llm.blocks import shuffles_dropped, small_batches
+from tripmill.sources.staging import staged, staging_scope
 
 #: The whole chain can't be said in SQL: a fitted model and a tokenizer are part of it.
 ORACLE_SQL = None
@@ -57,10 +57,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     the bytes that they decode to. Null and empty texts have no ids; every row gives a row.
     Written at once, a bounded number of texts at a time in a task."""
     size = F.size("ids").cast("long").alias("n_tokens")
-    with small_batches(spark):
-        # written in between, so that a task has one Python process at a time
-        decoded = byte_bpe.decode(staged(byte_bpe.encode(docs), "pipeline-ids"))
-        return staged(decoded.select("doc_id", "ids", size, F.sha2("bytes", 256).alias("text_sha256")), "pipeline-decoded")
+    with small_batches(spark), shuffles_dropped(spark), staging_scope(spark):
+        # written in between, so that a task has one Python process at a time; blocks and ids
+        # go as soon as what was made of them is written
+        with staging_scope(spark):
+            ids = staged(byte_bpe.encode(docs), "pipeline-ids", "zstd", outlives=True)
+        decoded = byte_bpe.decode(ids).select("doc_id", "ids", size, F.sha2("bytes", 256).alias("text_sha256"))
+        return staged(decoded, "pipeline-decoded", "zstd", outlives=True)
 
 
 STAGES = [

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+import corpus_pipeline as cp
 from tests.llm.helpers import odd_documents
 from tripmill.llm import ngram_join as J
 from tripmill.llm.blocks import shuffles_dropped
@@ -50,6 +51,14 @@ def test_join_keeps_what_its_result_reads(spark):
     assert kept.count() == 60
 
 
+def test_encode_leaves_only_its_result(spark):
+    staged(spark.range(1), "first")
+    before = left(spark)
+    done = cp.encode(spark, some_documents(spark, 5), "unused")
+    assert labels(spark, before) == ["pipeline-decoded"]
+    assert done.count() == 10 and done.where("n_tokens > 0").count() == 10
+
+
 def shuffle_files(spark):
     folder = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()[0].getPath()
     return set(glob.glob(f"{folder}/*/shuffle_*.data"))

@@ -352,7 +352,7 @@ def _join(blocks: DataFrame, words: int, percent: int) -> DataFrame:
         # nothing of what is written on the way to the links is read after them
         with staging_scope(spark):
             found = _links(blocks, classes, n_docs, words, percent)
-            roots = staged(components(found).withColumnRenamed("node", "class"), "join-roots", outlives=True)
+            roots = staged(components(found).withColumnRenamed("node", "class"), "join-roots", None, True)
     named = full.join(classes, ["one", "two", "n"]).join(roots, "class", "left")
     named = named.select("row", "key", "n", "class", F.coalesce("root", "class").alias("root"))
     empty = rows.where("n = 0").select("row", "key", "n", F.col("row").alias("class"), F.col("row").alias("root"))
@@ -370,9 +370,9 @@ def _links(blocks: DataFrame, classes: DataFrame, n_docs: int, words: int, perce
     def from_blocks(wanted: DataFrame, work, schema: S.StructType) -> DataFrame:
         return texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(work, schema)
 
-    def stored(some: DataFrame, label: str, **options) -> DataFrame:
+    def stored(some: DataFrame, label: str, *options) -> DataFrame:
         """Written: a row per document at most."""
-        return staged(few_files(some, n_docs), label, **options)
+        return staged(few_files(some, n_docs), label, *options)
 
     chosen = classes.select("class.block", "class.at", "n")
 
@@ -412,7 +412,7 @@ def _links(blocks: DataFrame, classes: DataFrame, n_docs: int, words: int, perce
               for suffix, extra in (("", 1), ("_long", F.col("matches")))],
         )
         rare = lambda size: F.slice("rare", F.lit(1), F.greatest(F.col(size), F.lit(0)))
-        lists = stored(lists.withColumn("rare", F.slice("rare", F.lit(1), F.col("larger_long"))), "join-prefixes", outlives=True)
+        lists = stored(lists.withColumn("rare", F.slice("rare", F.lit(1), F.col("larger_long"))), "join-prefixes", None, True)
     prefixes = lists.select("row", "matches", rare("larger_long").alias("larger"), rare("smaller_long").alias("smaller"))
     index = lists.select("row", "n", "own", "smaller", F.posexplode(rare("larger")).alias("place", "gram"))
     index = staged(index.select("row", "n", "own", "gram", (F.col("place") < F.col("smaller")).alias("as_smaller")), "join-index")
@@ -468,7 +468,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     spark = docs.sparkSession
     with shuffles_dropped(spark):
         with staging_scope(spark):
-            joined = staged(join(docs, key, text, **options), "join-result", outlives=True)
+            joined = staged(join(docs, key, text, **options), "join-result", None, True)
         # written, so that the join is between plain tables and a large component can be split
         names = staged(joined.groupBy("root").agg(F.min(key).alias("component_id")), "join-names")
     return joined.join(names, "root").select(key, "n_shingles", "component_id")

@@ -1,4 +1,6 @@
 import time
+from contextlib import nullcontext
+from pathlib import Path
 
 import pytest
 
@@ -6,6 +8,8 @@ from tests.helpers import raw, rows
 from tests.test_lake import SAMPLE, day
 from tripmill.operators import quality
 from tripmill.plans import medallion as M
+from tripmill.plans import queries as Q
+from tripmill.session import STATE, STORES_PER_CORE, state_on_disk
 from tripmill.sources.lake import Lake
 from tripmill.streaming import jobs
 
@@ -118,3 +122,62 @@ def test_daily_totals_and_late_rows(spark, lake):
     assert waited(lambda: dropped.rows(query)) == 1
     spark.streams.removeListener(dropped)
     assert out.count() == 2
+
+
+PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+@pytest.fixture
+def plain(spark):
+    """The session as one that sets nothing about state, with many partitions."""
+    before = {key: spark.conf.get(key, None) for key in (*STATE, PARTITIONS)}
+    for key in STATE:
+        spark.conf.unset(key)
+    spark.conf.set(PARTITIONS, "100")
+    yield spark
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def stores(lake, step=0):
+    """Names of the files of each store of a step of the stream ``seen``."""
+    folders = (Path(lake.root) / "checkpoints/seen/state" / str(step)).glob("[0-9]*")
+    return [{p.name for p in folder.iterdir()} for folder in folders]
+
+
+def seen(spark, lake):
+    out = Q._drained(jobs.first_seen(typed_stream(spark, lake), "30 days").select("trip_id"), lake, "seen")
+    return sorted(r[0] for r in out.collect())
+
+
+def test_state_is_on_disk_in_few_stores_whatever_the_session_says(plain, lake):
+    land(plain, lake, day(1), day(1, note="again"), day(2), day(3, trip_id=None))
+    assert seen(plain, lake) == ["D1-0", "D2-0"]
+    assert [plain.conf.get(key, None) for key in STATE] == [None] * len(STATE) and plain.conf.get(PARTITIONS) == "100"
+    for step in (0, 1):  # snapshots of a store on disk, no logs of one on the heap
+        assert len(stores(lake, step)) == STORES_PER_CORE * plain.sparkContext.defaultParallelism < 100
+        assert all("1.zip" in names and not any(n.endswith(".delta") for n in names) for names in stores(lake, step))
+    plain.conf.set(PARTITIONS, "3")  # a checkpoint keeps its partitions
+    land(plain, lake, day(2, note="later"), day(4))
+    assert seen(plain, lake) == ["D1-0", "D2-0", "D4-0"]
+    assert len(stores(lake)) == STORES_PER_CORE * plain.sparkContext.defaultParallelism
+
+
+def test_a_checkpoint_from_before_goes_on_with_its_store(plain, lake, monkeypatch):
+    plain.conf.set(PARTITIONS, "5")
+    land(plain, lake, day(1), day(2))
+    with monkeypatch.context() as patched:
+        patched.setattr(Q, "state_on_disk", nullcontext)
+        assert seen(plain, lake) == ["D1-0", "D2-0"]
+    land(plain, lake, day(2, note="later"), day(4))
+    assert seen(plain, lake) == ["D1-0", "D2-0", "D4-0"]
+    assert len(stores(lake)) == 5 and all("1.delta" in names and "1.zip" not in names for names in stores(lake))
+
+
+def test_what_the_session_says_about_state_stays(plain):
+    provider, memory = list(STATE)[0], "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB"
+    plain.conf.set(memory, "100")
+    with pytest.raises(RuntimeError), state_on_disk(plain):
+        assert plain.conf.get(memory) == "100" and plain.conf.get(provider) == STATE[provider]
+        raise RuntimeError
+    assert plain.conf.get(memory) == "100" and plain.conf.get(provider, None) is None

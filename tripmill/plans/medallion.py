@@ -118,7 +118,7 @@ def affected_partitions(index: DataFrame, changed: DataFrame, partition: str) ->
 
 
 def _rows_to_rank(
-    bronze: DataFrame, partitions: list, partition: str, index: DataFrame | None, policy: CopyPolicy
+    bronze: DataFrame, partitions: list, partition: str, index: DataFrame | None, policy: CopyPolicy = CopyPolicy()
 ) -> DataFrame:
     """Rows of the partitions and, from all others, at least the copies of their trip ids. With
     an index only those other partitions are read that have copies. The copies are found by a
